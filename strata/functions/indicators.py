@@ -127,7 +127,10 @@ def month_slice(df: DataFrame, month: str | None, date_col: str = "date") -> Dat
 def star_join(fact: DataFrame, dim_date: DataFrame, dim_company: DataFrame | None = None) -> DataFrame:
     """fact ⋈ dim_date (on date) [⋈ dim_company (on symbol)]: both dimensions
     are broadcast after a size check; facts never move for a dimension."""
-    out = lookup(fact, dim_date.select("date", "year", "quarter", "month", "week_day", "is_month_end"), ["date"])
+    wanted = ["year", "quarter", "month", "week_day", "is_month_end"]
+    extra = [c for c in wanted if c not in fact.columns]
+    # A fact partitioned by year/month already carries those two columns.
+    out = lookup(fact, dim_date.select("date", *extra), ["date"])
     if dim_company is not None:
         out = lookup(out, dim_company, ["symbol"])
     return out

@@ -50,6 +50,14 @@ def _day(c) -> Column:
     return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd")
 
 
+def calendar_end_year(spark: SparkSession, sf_dir: str) -> int:
+    """Two years past the latest date of any feed source (one scalar)."""
+    li = table(spark, sf_dir, "lineitem").agg(F.max(F.year("l_shipdate")).alias("y"))
+    ev = table(spark, sf_dir, "events").agg(F.max(F.year("ts")).alias("y"))
+    row = li.unionByName(ev).agg(F.max("y").alias("y")).first()
+    return int(row["y"]) + 2
+
+
 # bars ----------------------------------------------------------------------
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
@@ -165,7 +173,7 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     per_year = o.groupBy("o_custkey", F.year("o_orderdate").alias("fy")).agg(
         F.max("o_orderdate").alias("last_order"),
-        F.sum("o_totalprice").alias("revenue"),
+        F.round(F.sum("o_totalprice"), 2).alias("revenue"),
         F.count(F.lit(1)).alias("n_orders"),
     )
     cn = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
