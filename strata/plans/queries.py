@@ -956,3 +956,38 @@ def star_join(spark, sf_dir):
         F.sum("volume").cast("long").alias("volume"),
         F.sum(F.when(F.col("week_day") >= 5, 1).otherwise(0)).cast("long").alias("weekend_days"),
     )
+
+
+# ============================================================================
+# ST1, ST2: streaming ingest
+# ============================================================================
+@query("stream_ingest", f"""
+WITH {S.TSD_BRONZE}
+SELECT {S.TSD_COLS}, filename FROM tsd_bronze""")
+def stream_ingest(spark, sf_dir):
+    """ST1: availableNow file stream, two files per micro-batch; the
+    checkpoint is the file ledger and each batch overwrites only itself."""
+    from strata.streaming.ingest import ingest_bronze
+
+    out = work_path(spark, "stream", "bronze")
+    ingest_bronze(
+        spark, A.landing(spark, sf_dir, spec.TSD.name), spec.TSD, out, work_path(spark, "stream", "quarantine"),
+        work_path(spark, "stream", "ckpt"), RUN_TS, max_files_per_trigger=2,
+    )
+    cols = [f.name for f in spec.TSD_CONTRACT.fields] + ["filename"]
+    return spark.read.parquet(out).select(*cols)
+
+
+@query("stream_upsert", f"""
+WITH {S.TSD_SILVER}
+SELECT {S.TSD_COLS}, filename, year, month FROM tsd_silver""")
+def stream_upsert(spark, sf_dir):
+    """ST2: foreachBatch upsert of each micro-batch into the silver table."""
+    from strata.streaming.ingest import upsert_silver
+
+    name = _tname(spark, "silver_tsd")
+    upsert_silver(
+        spark, A.landing(spark, sf_dir, spec.TSD.name), spec.TSD, name, work_path(spark, "tables", "stream_silver"),
+        work_path(spark, "stream", "ckpt"), RUN_TS, max_files_per_trigger=3,
+    )
+    return _no_ts(spark.table(name))

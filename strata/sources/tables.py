@@ -157,7 +157,8 @@ def upsert_table(
     merged = upsert(old, src, keys, null_safe, newest)
     staged = work_path(spark, "staging", name.replace(".", "_"))
     write_snapshot(merged, staged, parts)
-    restaged = spark.read.parquet(staged).select(*[q(c) for c in target.columns])
+    # Explicit schema: an empty batch leaves no files to infer it from.
+    restaged = spark.read.schema(merged.schema).parquet(staged).select(*[q(c) for c in target.columns])
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
