@@ -208,7 +208,7 @@ def company_documents(f: DataFrame) -> DataFrame:
         "Extra": F.lit("x"),
     }
     doc = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
-    obj = F.concat(F.lit("overview_"), F.lower(F.regexp_replace("n_name", "[^A-Za-z]", "")))
+    obj = F.concat(F.lit("overview_"), F.lower(F.regexp_replace("n_name", "[^A-Za-z0-9]", "")))
     return f.select(obj.alias("object"), doc.alias("doc"))
 
 

@@ -135,7 +135,10 @@ class Lake:
         mark = mark_value(marks, "silver", entity.name)
         batch = incremental(self.read(f"bronze_{entity.name}"), "ingestion_timestamp", mark, inclusive)
         cleaned = silver(batch, entity)
-        new_mark = batch_mark(cleaned, "ingestion_timestamp")
+        # The mark is the max timestamp of the cleaned batch (I5). De-duplication
+        # keeps the newest row per key, so it cannot change that maximum: take
+        # it from the rule-filtered rows and skip the dedup shuffle.
+        new_mark = batch_mark(apply_rules(batch, entity.rules), "ingestion_timestamp")
         if new_mark is None:
             return False
         restamped = cleaned.withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp"))

@@ -172,7 +172,7 @@ def company_bronze_select() -> str:
     for f in spec.COMPANY_CONTRACT.fields:
         v = _COMPANY_VALUES.get(f.name)
         cols.append(f'CAST({v if v else "NULL"} AS {_duck_type(f)}) AS "{f.name}"')
-    cols.append("'overview_' || lower(regexp_replace(n_name, '[^A-Za-z]', '', 'g')) AS filename")
+    cols.append("'overview_' || lower(regexp_replace(n_name, '[^A-Za-z0-9]', '', 'g')) AS filename")
     return "SELECT " + ",\n       ".join(cols) + " FROM filings"
 
 
