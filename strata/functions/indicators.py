@@ -18,6 +18,7 @@ from strata import spec
 from strata.operators.joins import lookup
 from strata.operators.shape import q
 from strata.operators.window import rolling_mean
+from strata.session import materialize
 
 _MINUTES = {"1min": 1, "5min": 5, "15min": 15, "30min": 30, "60min": 60}
 _TRUNC = {"weekly": "week", "monthly": "month"}
@@ -81,6 +82,7 @@ def simple_moving_average(
     keys=("symbol",),
     date_col: str = "date",
     scale: int = 4,
+    materialize_input: bool = True,
 ) -> DataFrame:
     """SMA over the last ``time_period`` bars per symbol, full windows only,
     rounded to ``scale`` decimals. Weekly/monthly resample first."""
@@ -88,6 +90,10 @@ def simple_moving_average(
     if interval in _MINUTES:
         raise ValueError("intraday SMA needs tick data: resample_ticks first")
     src = resample_bars(bars, interval, keys, date_col)
+    if materialize_input:
+        # The rolling window reads its input in two branches (row ordinals and
+        # per-month counts); evaluate the bars once.
+        src = materialize(src)
     if time_period <= 0:
         return src.limit(0).select(*[q(k) for k in keys], q(date_col), F.lit(None).cast("double").alias("sma"))
     out = rolling_mean(src, keys, [date_col], series_type, time_period, "sma")

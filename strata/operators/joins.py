@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.shape import q
+from strata.session import materialize
 
 # A dimension is broadcast only when its row count is at most this; above it
 # the lookup stays a shuffled join (AQE may still switch it at run time
@@ -16,9 +17,11 @@ MAX_BROADCAST_ROWS = 2_000_000
 def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(dim)`` when ``dim`` has at most ``max_rows`` rows.
 
-    The check is one ``count`` of the dimension (cheap: dimensions are small
-    or already materialised tables); the fact side is never counted.
+    The dimension is materialised once (a reliable checkpoint), so the count
+    and the join read the same small result instead of evaluating a derived
+    dimension twice; the fact side is never counted.
     """
+    dim = materialize(dim)
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 

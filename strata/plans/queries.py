@@ -937,8 +937,8 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice FROM orders
 WHERE CAST(o_orderdate AS DATE) >= DATE '1998-03-01' AND CAST(o_orderdate AS DATE) < DATE '1998-04-01'""")
 def month_slice(spark, sf_dir):
     """One ``YYYY-MM`` month as a pushed-down date range."""
-    o = T(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"), "o_totalprice")
-    return N.month_slice(o, "1998-03", "date")
+    o = N.month_slice(T(spark, sf_dir, "orders"), "1998-03", "o_orderdate")
+    return o.select("o_orderkey", F.to_date("o_orderdate").alias("date"), "o_totalprice")
 
 
 @query("star_join", f"""

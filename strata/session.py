@@ -84,3 +84,14 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path)
+
+
+def materialize(df):
+    """Evaluate ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    Used where one expensive input feeds two branches of a plan (Spark would
+    otherwise compute it twice) and before writes that replace a table. A
+    reliable checkpoint survives executor loss; ``localCheckpoint`` would not.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.shape import q
+from strata.operators.dedup import dedup_latest
 from strata.operators.upsert import delete_where, upsert
-from strata.session import work_path
+from strata.session import materialize, work_path
 
 
 def _quote_name(name: str) -> str:
@@ -140,21 +141,25 @@ def upsert_table(
     ``year(date)`` with ``date`` in the key), so a restated row cannot move
     to another partition; :mod:`strata.spec` only declares such layouts.
     """
+    keys = list(keys)
+    # The de-duplicated source feeds the anti-join keys, the union and the
+    # touched-partition list: evaluate it once.
+    src = materialize(dedup_latest(source, keys, [newest] if newest else []))
     if not table_exists(spark, name):
-        replace_table(spark, name, upsert(None, source, keys, null_safe, newest), root, partition_by)
+        replace_table(spark, name, src, root, partition_by)
         return
     target = spark.table(name)
+    src = src.select(*[q(c) for c in target.columns])
     parts = _partition_columns(spark, name)
     if not parts:
-        merged = upsert(target, source.select(*[q(c) for c in target.columns]), keys, null_safe, newest)
+        merged = upsert(target, src, keys, null_safe, dedup_source=False)
         replace_table(spark, name, merged, root)
         return
-    src = source.select(*[q(c) for c in target.columns])
     touched = src.select(*[q(p) for p in parts]).distinct()
     # Semi-join on the partition columns: dynamic partition pruning limits
     # the target scan to the touched partitions.
     old = target.join(touched, parts, "left_semi")
-    merged = upsert(old, src, keys, null_safe, newest)
+    merged = upsert(old, src, keys, null_safe, dedup_source=False)
     staged = work_path(spark, "staging", name.replace(".", "_"))
     write_snapshot(merged, staged, parts)
     # Explicit schema: an empty batch leaves no files to infer it from.
