@@ -31,6 +31,7 @@ from strata.operators.shape import conform, explode_array_struct, explode_map, g
 from strata.sources import tables
 from strata.sources.landing import CORRUPT, scan_landing, split_corrupt, quarantine
 from strata.plans.analogs import LINEAGE_PATTERN
+from strata.session import materialize
 
 LINEAGE = ("filename",)
 
@@ -107,8 +108,11 @@ class Lake:
         of newly processed files. Data first, then the ledger."""
         raw = scan(self.spark, landing_path, entity)
         files = raw.select("filename").distinct()
-        todo = unprocessed_files(files, self.read("ledger"))
-        new_raw = raw.join(todo, ["filename"], "left_semi")
+        # Both are read by three writes (bronze, quarantine, ledger): evaluate
+        # once. ``todo`` is one row per new file; ``new_raw`` is this run's
+        # parsed lines only.
+        todo = materialize(unprocessed_files(files, self.read("ledger")))
+        new_raw = materialize(raw.join(todo, ["filename"], "left_semi"))
         good, bad = split_corrupt(new_raw)
         rows = bronze(good, entity, run_ts)
         name = f"bronze_{entity.name}"
@@ -124,7 +128,7 @@ class Lake:
             tables.replace_table(self.spark, self.t(qname), qrows, self._root(qname))
         ledger = mark_files(self.read("ledger"), todo, F.lit(run_ts))
         tables.replace_table(self.spark, self.t("ledger"), ledger, self._root("ledger"))
-        return self.read("ledger").filter(F.col("processed_time") == F.lit(run_ts)).count()
+        return todo.count()
 
     # silver ---------------------------------------------------------------
     def load_silver(self, entity: spec.EntitySpec, run_ts: dt.datetime, inclusive: bool = True) -> bool:
