@@ -48,6 +48,14 @@ def test_dimensions_are_broadcast_after_size_check(spark):
     assert "ResolvedHint" not in checked_broadcast(big, max_rows=5)._jdf.queryExecution().analyzed().toString()
 
 
+def test_flagship_tables_equals_entry(spark):
+    from strata.plans.flagship import flagship_tables
+
+    a = sorted(tuple(r) for r in flagship_tables(spark, SF_SMALL).collect())
+    b = sorted(tuple(r) for r in E.entry(spark).collect())
+    assert a == b
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
