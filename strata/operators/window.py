@@ -23,14 +23,6 @@ from pyspark.sql import functions as F
 from strata.operators.shape import q
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def row_ordinal(
     df: DataFrame,
     keys,
