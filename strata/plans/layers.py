@@ -138,17 +138,18 @@ class Lake:
         marks = self.read("marks")
         mark = mark_value(marks, "silver", entity.name)
         batch = incremental(self.read(f"bronze_{entity.name}"), "ingestion_timestamp", mark, inclusive)
-        cleaned = silver(batch, entity)
-        # The mark is the max timestamp of the cleaned batch (I5). De-duplication
-        # keeps the newest row per key, so it cannot change that maximum: take
-        # it from the rule-filtered rows and skip the dedup shuffle.
-        new_mark = batch_mark(apply_rules(batch, entity.rules), "ingestion_timestamp")
+        # One pass over the batch: clean + dedup, materialised; the mark (max
+        # timestamp of the cleaned batch, I5 -- dedup keeps the newest row per
+        # key, so it cannot change that maximum) is read from that copy.
+        cleaned = materialize(silver(batch, entity))
+        new_mark = batch_mark(cleaned, "ingestion_timestamp")
         if new_mark is None:
             return False
         restamped = cleaned.withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp"))
         tables.upsert_table(
             self.spark, self.t(f"silver_{entity.name}"), restamped, entity.keys,
             self._root(f"silver_{entity.name}"), entity.partition_by, newest="ingestion_timestamp",
+            prepared=True,
         )
         self._commit("silver", {entity.name: new_mark})
         return True

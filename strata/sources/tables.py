@@ -133,9 +133,13 @@ def upsert_table(
     partition_by=(),
     newest: str | None = None,
     null_safe: bool = True,
+    prepared: bool = False,
 ) -> None:
     """J1 on a stored table; S9: creates the table from the source when absent.
 
+    ``prepared=True`` means the source is already unique on ``keys`` and
+    materialised (the caller did it, e.g. to read metrics from it).
+
     Partitioned tables rewrite only the partitions present in the source.
     This relies on the partition columns being functions of the key (e.g.
     ``year(date)`` with ``date`` in the key), so a restated row cannot move
@@ -144,7 +148,7 @@ def upsert_table(
     keys = list(keys)
     # The de-duplicated source feeds the anti-join keys, the union and the
     # touched-partition list: evaluate it once.
-    src = materialize(dedup_latest(source, keys, [newest] if newest else []))
+    src = source if prepared else materialize(dedup_latest(source, keys, [newest] if newest else []))
     if not table_exists(spark, name):
         replace_table(spark, name, src, root, partition_by)
         return
