@@ -17,13 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back: evaluated once, lineage cut, and safe when executors are lost."""
+    back: evaluated once, lineage cut, and safe when executors are lost. Also
+    gives the folder, for tasks that read it themselves."""
     spark = df.sparkSession
     path = work_path(spark, "llm", name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return stored_at(df, name)[0]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, licenses, mixing, quality, secrets
+from strata.llm import chat, licenses, mixing, neighbours, packing, quality, secrets, toxicity, warc
 from strata.llm.common import table
 
 QUERIES: dict = {}
@@ -17,6 +17,18 @@ def query(fn):
     return fn
 
 
+def tokenizer_path() -> str:
+    """The public byte-level tokenizer that is installed on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(spark, table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -36,11 +48,26 @@ def op4_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.report(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query
 def op10_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
@@ -64,6 +91,15 @@ _FAILS = f"""(
     OR ({_count('x', _sql(quality.SEPARATOR))} >= 2 AND {_count('x', _sql(quality.SEPARATOR))} > 0.15 * {_count('x', _W)})
     OR regexp_matches({_LOW}, '{'|'.join(quality.BOILERPLATE)}'))"""
 
+ORACLES["op1_warc_round_trip"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM q)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} AND page_id <> f THEN f END AS refers_to
+FROM f"""
+
 ORACLES["op2_line_first_cleaning"] = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, {_W}) AS ws,
