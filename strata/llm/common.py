@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
+import strata
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, so that tasks can
+    import it wherever the session was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    home = os.path.dirname(os.path.dirname(os.path.abspath(strata.__file__)))
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strata-ship-"), "strata_package"), "zip", home, "strata")
+    sc.addPyFile(made)
+    sc._strata_shipped = True
+
+
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: evaluated once, lineage cut, and safe when executors are lost. Also

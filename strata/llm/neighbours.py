@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import quoted, stored, stored_at
+from strata.llm.common import quoted, ship, stored, stored_at
 
 PROJECTIONS = 64
 #: Half the window's width in standard deviations of a projected difference at
@@ -180,6 +180,7 @@ def _search(uri: str, k: int, first: float):
 def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every query row
     among all other rows."""
+    ship(rows.sparkSession)
     spark = rows.sparkSession
     good = rows.where(usable(quoted(embedding)) & quoted(key).isNotNull())
     vectors = good.select(quoted(key).cast("long").alias("id"), quoted(embedding).cast("array<double>").alias("vector"), is_query.alias("asks"))

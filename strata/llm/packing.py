@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import quoted
+from strata.llm.common import quoted, ship
 
 CAPACITY = 1024
 CLOSING_ID = 0
@@ -215,6 +215,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id
     """(key, start, length, ids, doc_tokens, sequence_id, offset) per piece;
     ``ids`` are little-endian unsigned 32-bit. ``tokenizer`` is the path of a
     tokenizers file that every executor has."""
+    ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     pieces = docs.select(quoted(key).alias("key"), quoted(text).alias("text")).mapInArrow(
         _cut(tokenizer, capacity, closing), f"key {kind}, start long, length int, ids binary, doc_tokens long"

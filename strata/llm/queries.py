@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, licenses, mixing, neighbours, packing, quality, secrets, toxicity, warc
+from strata.llm import chat, jaccard, licenses, mixing, neighbours, packing, quality, secrets, toxicity, warc
 from strata.llm.common import table
 
 QUERIES: dict = {}
@@ -68,6 +68,11 @@ def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import quoted, stored
+from strata.llm.common import quoted, ship, stored
 from strata.session import work_path
 
 LEAST_REVISIT = 100
@@ -172,6 +172,7 @@ def write(rows: DataFrame, key: str, target: str, payload: str, folder: str | No
           roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Write the archives and return their stored manifest."""
     spark = rows.sparkSession
+    ship(spark)
     folder = folder or work_path(spark, "llm", "warc")
     body = F.coalesce(quoted(payload).cast("binary"), F.lit(b""))
     pages = rows.select(
