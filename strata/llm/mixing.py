@@ -81,16 +81,15 @@ def targets(measured: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP) -> Da
 
 
 def sample(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights: tuple = WEIGHTS,
-           cap: int = CAP, seed: int = SEED, carry: tuple = ()) -> DataFrame:
-    """Per document: key, size, source_size, target, copies (``c_0`` ... the
-    carried columns). The regex runs once; the result of it is stored."""
+           cap: int = CAP, seed: int = SEED) -> DataFrame:
+    """Per document: key, tie (text hash), size, source_size, target, copies.
+    The regex runs once; the result of it is stored."""
     measured = stored(
         docs.select(
             quoted(key).alias("key"),
             quoted(source).alias("source"),
             sizes(quoted(text)).alias("size"),
             F.xxhash64(quoted(key), quoted(text)).alias("tie"),
-            *[quoted(c).alias(f"c_{i}") for i, c in enumerate(carry)],
         ),
         "sizes",
     )
@@ -113,7 +112,7 @@ def sample(docs: DataFrame, text: str = "text", source: str = "source", key: str
     placed = ranked.alias("d").join(groups.alias("g"), same).select("d.*", "g.base", "g.source_size", "g.target", "g.rate", "g.offset")
     upto = F.col("base") + F.col("at")
     copies = F.floor(F.col("offset") + F.col("rate") * upto) - F.floor(F.col("offset") + F.col("rate") * (upto - 1))
-    return placed.select("key", "size", "source_size", "target", copies.cast("long").alias("copies"), *[f"c_{i}" for i in range(len(carry))])
+    return placed.select("key", "tie", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
 def report(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **more) -> DataFrame:
