@@ -506,11 +506,11 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     word all stay."""
     got = grouped(docs, text, key).where(F.col("group").isNotNull())
     best = got.groupBy("group").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "tie")).alias("best"))
-    best = best.select(F.col("best.key").alias("key_"), F.col("best.tie").alias("tie_"))
-    tie = free_name(docs, "tie")
+    tie, its_key, its_tie = (free_name(docs, x) for x in ("tie", "key_", "tie_"))
+    best = best.select(F.col("best.key").alias(its_key), F.col("best.tie").alias(its_tie))
     worded = F.coalesce(quoted(text).rlike(WORD), F.lit(False))
     mine = docs.where(worded).withColumn(tie, F.xxhash64(quoted(text))).alias("d").join(
-        best.alias("b"), (F.col(f"d.`{tie}`") == F.col("b.tie_")) & F.col(f"d.`{key}`").eqNullSafe(F.col("b.key_"))
+        best, (F.col(f"d.`{tie}`") == F.col(its_tie)) & F.col(f"d.`{key}`").eqNullSafe(F.col(its_key))
     )
-    once = mine.dropDuplicates(["tie_", "key_"]).select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    once = mine.dropDuplicates([its_tie, its_key]).select(*[F.col(f"d.`{c}`") for c in docs.columns])
     return once.unionAll(docs.where(~worded))

@@ -117,10 +117,11 @@ def identify(docs: DataFrame, text: str = "text", known: dict[str, str] | None =
     )
     hit = lambda x: F.get(F.map_values(F.map_filter(by_digest, lambda k, v: k == F.sha2(canonical(x), 256))), F.lit(0))
     lines = let(likely, lambda ls: F.array_sort(F.array_distinct(F.filter(F.transform(ls, hit), lambda v: v.isNotNull()))))
+    known_digest, known_license = free_name(docs, "known_digest"), free_name(docs, "known_license")
     out = docs.withColumn(digest, F.sha2(canonical(quoted(text)), 256)).withColumn(notices, lines)
-    table = F.broadcast(known_table(docs.sparkSession, known).withColumnsRenamed({"digest": "known_digest", "license": "known_license"}))
-    joined = out.join(table, out[digest] == table["known_digest"], "left")
-    return joined.select(*[out[c] if "." not in c else quoted(c) for c in docs.columns], out[digest], F.col("known_license").alias(found), out[notices])
+    table = known_table(docs.sparkSession, known).select(F.col("digest").alias(known_digest), F.col("license").alias(known_license))
+    joined = out.join(F.broadcast(table), F.col(digest) == F.col(known_digest), "left")
+    return joined.select(*[quoted(c) for c in docs.columns], digest, F.col(known_license).alias(found), notices)
 
 
 def report(docs: DataFrame, text: str = "text", key: str = "doc_id", known: dict[str, str] | None = None) -> DataFrame:

@@ -126,12 +126,12 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     """``docs`` with each row as often as the mix takes it. Copies are joined
     back by key and text hash; rows that agree in both are interchangeable, so
     their copies are added up and dealt out among them."""
-    tie, m, c, no = (free_name(docs, x) for x in ("tie", "rows_alike", "copies_alike", "row_no"))
+    tie, m, c, no, its_key, its_tie = (free_name(docs, x) for x in ("tie", "rows_alike", "copies_alike", "row_no", "key_", "tie_"))
     got = sample(docs, text, source, key, **more).groupBy("key", "tie").agg(F.count("*").alias(m), F.sum("copies").alias(c))
     left = docs.withColumn(tie, F.xxhash64(quoted(key), quoted(text))).alias("d")
-    right = got.select(F.col("key").alias("key_"), F.col("tie").alias("tie_"), m, c).alias("g")
-    joined = left.join(right, (F.col(f"d.`{tie}`") == F.col("g.tie_")) & F.col(f"d.`{key}`").eqNullSafe(F.col("g.key_")))
-    alike = Window.partitionBy("tie_", "key_").orderBy("tie_")
+    right = got.select(F.col("key").alias(its_key), F.col("tie").alias(its_tie), m, c)
+    joined = left.join(right, (F.col(f"d.`{tie}`") == F.col(its_tie)) & F.col(f"d.`{key}`").eqNullSafe(F.col(its_key)))
+    alike = Window.partitionBy(its_tie, its_key).orderBy(its_tie)
     dealt = joined.withColumn(no, F.row_number().over(alike))
     copies = F.floor(F.col(c) / F.col(m)) + F.when(F.col(no) <= F.col(c) % F.col(m), 1).otherwise(0)
     repeated = dealt.where(copies > 0).withColumn(no, F.explode(F.sequence(F.lit(1), copies.cast("int"))))
