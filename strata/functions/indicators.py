@@ -85,17 +85,21 @@ def simple_moving_average(
     materialize_input: bool = True,
 ) -> DataFrame:
     """SMA over the last ``time_period`` bars per symbol, full windows only,
-    rounded to ``scale`` decimals. Weekly/monthly resample first."""
+    rounded to ``scale`` decimals. Weekly/monthly resample daily bars first;
+    for ``1min`` ... ``60min`` pass bars of that interval and their start
+    column, or use :func:`intraday_moving_average` on ticks."""
     interval, series_type = normalize_params(interval, series_type)
-    if interval in _MINUTES:
-        raise ValueError("intraday SMA needs tick data: resample_ticks first")
-    src = resample_bars(bars, interval, keys, date_col)
+    src = bars if interval in _MINUTES else resample_bars(bars, interval, keys, date_col)
     if materialize_input:
         # The rolling window reads its input in two branches (row ordinals and
         # per-month counts); evaluate the bars once.
         src = materialize(src)
     if time_period <= 0:
-        return src.limit(0).select(*[q(k) for k in keys], q(date_col), F.lit(None).cast("double").alias("sma"))
+        empty = src.limit(0).withColumn("sma", F.lit(None).cast("double"))
+        return empty.select(
+            *[q(k) for k in keys], F.lit(interval).alias("interval"), F.lit(time_period).alias("time_period"),
+            F.lit(series_type).alias("series_type"), q(date_col), "sma",
+        )
     out = rolling_mean(src, keys, [date_col], series_type, time_period, "sma")
     return out.select(
         *[q(k) for k in keys],
@@ -107,6 +111,24 @@ def simple_moving_average(
     )
 
 
+def intraday_moving_average(
+    ticks: DataFrame, time_period: int, series_type: str = "close", interval: str = "60min", keys=("symbol",),
+    ts_col: str = "ts", price_col: str = "value", tie_col: str | None = None, scale: int = 4,
+) -> DataFrame:
+    """N1 + N2: ticks to bars of ``interval``, then their moving average."""
+    bars = resample_ticks(ticks, interval, keys, ts_col, price_col, tie_col)
+    return simple_moving_average(bars, time_period, series_type, interval, keys, "bar_start", scale)
+
+
+def resample_rate(series: DataFrame, interval: str = "monthly", date_col: str = "date", value_col: str = "value", keys=()) -> DataFrame:
+    """A rate series to daily, weekly (from Monday) or monthly means; an
+    unknown interval counts as monthly."""
+    interval = interval if interval in spec.RATE_INTERVALS else "monthly"
+    unit = {"daily": "day", **_TRUNC}[interval]
+    period = F.to_date(F.date_trunc(unit, q(date_col))).alias(date_col)
+    return series.groupBy(*[q(k) for k in keys], period).agg(F.avg(q(value_col)).alias(value_col))
+
+
 # N3 ------------------------------------------------------------------------
 _MONTH = re.compile(r"^(\d{4})-(\d{2})$")
 
@@ -131,8 +153,8 @@ def month_slice(df: DataFrame, month: str | None, date_col: str = "date") -> Dat
 
 # N4 ------------------------------------------------------------------------
 def star_join(fact: DataFrame, dim_date: DataFrame, dim_company: DataFrame | None = None) -> DataFrame:
-    """fact ⋈ dim_date (on date) [⋈ dim_company (on symbol)]: both dimensions
-    are broadcast after a size check; facts never move for a dimension."""
+    """fact ⋈ dim_date (on date) [⋈ dim_company (on symbol)]; AQE broadcasts
+    the dimensions whose measured bytes allow it."""
     wanted = ["year", "quarter", "month", "week_day", "is_month_end"]
     extra = [c for c in wanted if c not in fact.columns]
     # A fact partitioned by year/month already carries those two columns.

@@ -7,11 +7,15 @@ task before the shuffle instead of being sorted in one task. The struct
 comparison is lexicographic with NULL lowest, which is exactly
 ``ORDER BY order DESC NULLS LAST, rest DESC NULLS LAST`` -- a total order, so
 the survivor is deterministic (fixes X4).
+
+A struct buffer makes this a sort-based aggregate. On nearly unique keys its
+map-side half saves nothing and costs a sort; there W1's form is the better
+choice, at the price of one task per hot key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.shape import q
@@ -82,12 +86,3 @@ def dup_key_report(df: DataFrame, keys: list[str] | tuple[str, ...], count_col:
         .agg(F.count(F.lit(1)).alias(count_col))
         .filter(F.col(count_col) > 1)
     )
-
-
-def null_safe_join_condition(left: DataFrame, right: DataFrame, keys) -> Column:
-    """``l.k1 <=> r.k1 AND ...`` (X8: NULL key parts match each other)."""
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond

@@ -12,7 +12,7 @@ from strata import spec
 from strata.operators.dedup import dedup_latest
 from strata.operators.joins import lookup
 from strata.operators.keys import hash_key_expr
-from strata.operators.shape import q
+from strata.operators.shape import q, typed_projection
 
 
 # G1 ------------------------------------------------------------------------
@@ -93,8 +93,8 @@ def dim_company(silver_company: DataFrame, newest: str | None = "ingestion_times
 # G5 ------------------------------------------------------------------------
 def fact_macro(feeds: dict[str, DataFrame], dim: DataFrame) -> DataFrame:
     """Macro facts: each feed tagged with its code, joined to the indicator
-    dimension on the full natural key (a broadcast lookup, J3, instead of a
-    driver round trip), typed, one row per (date, indicator_sk)."""
+    dimension on the full natural key (a join, J3, instead of a driver round
+    trip), typed, one row per (date, indicator_sk)."""
     tagged = reduce(
         DataFrame.unionByName,
         [
@@ -103,24 +103,22 @@ def fact_macro(feeds: dict[str, DataFrame], dim: DataFrame) -> DataFrame:
         ],
     )
     joined = lookup(tagged, dim.select(*INDICATOR_COLS, "indicator_sk"), INDICATOR_COLS)
-    typed = joined.select(
-        F.col("indicator_sk").cast("string").alias("indicator_sk"),
-        F.col("date").cast("date").alias("date"),
-        F.col("value").cast("double").alias("value"),
-    )
+    typed = typed_projection(joined, {"indicator_sk": "string", "date": "date", "value": "double"})
     one = dedup_latest(typed, ["date", "indicator_sk"], [])
     return one.withColumn("macro_indicator_sk", hash_key_expr(["indicator_sk", "date"]))
 
 
 # G6 ------------------------------------------------------------------------
-def fact_tsd(silver_tsd: DataFrame, newest: str | None = "ingestion_timestamp") -> DataFrame:
+def fact_tsd(silver_tsd: DataFrame, newest: str | None = "ingestion_timestamp", unique: bool = False) -> DataFrame:
+    """``unique`` states that the rows hold each key once already."""
     pruned = silver_tsd.drop("output_size", "time_zone")
-    one = dedup_latest(pruned, list(spec.TSD.keys), [newest] if newest and newest in pruned.columns else [])
+    one = pruned if unique else dedup_latest(pruned, list(spec.TSD.keys), [newest] if newest and newest in pruned.columns else [])
     return one.withColumn("tsd_sk", hash_key_expr(spec.TSD.keys))
 
 
 # G7 ------------------------------------------------------------------------
-def fact_sma(silver_sma: DataFrame, newest: str | None = "ingestion_timestamp") -> DataFrame:
+def fact_sma(silver_sma: DataFrame, newest: str | None = "ingestion_timestamp", unique: bool = False) -> DataFrame:
+    """``unique`` states that the rows hold each key once already."""
     pruned = silver_sma.drop("time_zone")
-    one = dedup_latest(pruned, list(spec.SMA.keys), [newest] if newest and newest in pruned.columns else [])
+    one = pruned if unique else dedup_latest(pruned, list(spec.SMA.keys), [newest] if newest and newest in pruned.columns else [])
     return one.withColumn("sma_sk", hash_key_expr(spec.SMA.keys))

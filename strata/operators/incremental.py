@@ -61,16 +61,18 @@ def mark_value(marks: DataFrame, consumer: str, source: str, default=DEFAULT_MAR
 
 
 # I2 / I3 -------------------------------------------------------------------
-def incremental(df: DataFrame, ts_col: str, mark, inclusive: bool) -> DataFrame:
+def incremental(df: DataFrame, ts_col: str, mark, inclusive: bool, distinct: bool = True) -> DataFrame:
     """Rows at or after (``inclusive``, silver) / strictly after (gold) the
-    mark, de-duplicated as whole rows. The comparison pushes into the Parquet
-    scan as a row-group filter."""
+    mark, de-duplicated as whole rows unless a keyed de-duplication follows
+    (``distinct=False``). The comparison pushes into the Parquet scan as a
+    row-group filter."""
     c = q(ts_col)
     m = F.lit(mark)
     if isinstance(mark, dt.datetime) and df.schema[ts_col].dataType == T.TimestampNTZType():
         m = m.cast("timestamp_ntz")
     cond = c >= m if inclusive else c > m
-    return df.filter(cond).distinct()
+    rows = df.filter(cond)
+    return rows.distinct() if distinct else rows
 
 
 def incremental_since(marks: DataFrame, df: DataFrame, consumer: str, source: str, ts_col: str, inclusive: bool) -> DataFrame:
@@ -83,15 +85,21 @@ def batch_mark(cleaned: DataFrame, ts_col: str):
     return None if row is None else row["m"]
 
 
+def mark_rows(spark: SparkSession, consumer: str, new_marks: dict[str, object]) -> DataFrame:
+    """Rows to append to the marks table; a NULL mark is left out (X10: an
+    empty feed leaves its mark alone). The mark is the greatest one kept."""
+    return spark.createDataFrame([(consumer, s, m) for s, m in new_marks.items() if m is not None], MARKS_SCHEMA)
+
+
 def commit_marks(marks: DataFrame, consumer: str, new_marks: dict[str, object]) -> DataFrame:
-    """J2 on the marks table: move ``processed_time`` for each source whose new
-    mark is not NULL (X10: an empty feed leaves its mark alone)."""
-    spark = marks.sparkSession
-    rows = [(consumer, s, m) for s, m in new_marks.items() if m is not None]
-    if not rows:
-        return marks
-    updates = spark.createDataFrame(rows, MARKS_SCHEMA)
-    return upsert_columns(marks, updates, ["consumer", "source"], ["processed_time"])
+    """J2 on the marks table: move ``processed_time`` of each source."""
+    return upsert_columns(marks, mark_rows(marks.sparkSession, consumer, new_marks), ["consumer", "source"], ["processed_time"])
+
+
+def next_stamp(run_ts: dt.datetime, last: dt.datetime) -> dt.datetime:
+    """A stamp later than any given out before, even if two runs carry the same
+    time or the clock went back (readers after a mark must not miss rows)."""
+    return max(run_ts, last + dt.timedelta(microseconds=1))
 
 
 def reset_mark(marks: DataFrame, consumer: str, source: str | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Dimension lookups with a checked broadcast."""
+"""Dimension lookups."""
 
 from __future__ import annotations
 
@@ -6,44 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.shape import q
-from strata.session import materialize
 
-# A dimension is broadcast only when its row count is at most this; above it
-# the lookup stays a shuffled join (AQE may still switch it at run time
-# from measured shuffle sizes).
-MAX_BROADCAST_ROWS = 2_000_000
 
-
-def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when ``dim`` has at most ``max_rows`` rows.
-
-    The dimension is materialised once (a reliable checkpoint), so the count
-    and the join read the same small result instead of evaluating a derived
-    dimension twice; the fact side is never counted.
-    """
-    dim = materialize(dim)
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    keys,
-    how: str = "inner",
-    null_safe: bool = True,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, keys, how: str = "inner", null_safe: bool = True) -> DataFrame:
     """Join a fact to a dimension on ``keys`` (NULL-safe by default).
 
     Replaces the reference's driver round trip (``first()`` + ``lit``). The
-    dimension's key columns are not repeated in the output.
+    dimension's key columns are not repeated in the output. No broadcast is
+    forced: AQE broadcasts the dimension when its measured bytes are below
+    ``autoBroadcastJoinThreshold`` and splits skewed keys otherwise.
     """
     keys = list(keys)
-    d = checked_broadcast(dim, max_broadcast_rows)
-    renamed = d.select(
+    renamed = dim.select(
         *[q(k).alias(f"_dk{i}") for i, k in enumerate(keys)],
-        *[q(c) for c in d.columns if c not in keys],
+        *[q(c) for c in dim.columns if c not in keys],
     )
     cond: Column | None = None
     for i, k in enumerate(keys):

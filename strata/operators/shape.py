@@ -130,19 +130,6 @@ def _reject_columns(df, contract, rename, null_tokens):
     return out
 
 
-def reject_flags(
-    df: DataFrame,
-    contract: T.StructType,
-    rename: dict[str, str] | None = None,
-    null_tokens: tuple[str, ...] = (),
-) -> list[Column]:
-    """Per contract column: 1 when a raw value is present but does not cast."""
-    return [
-        F.when(bad, 1).otherwise(0).alias(name)
-        for name, bad in _reject_columns(df, contract, rename, null_tokens)
-    ]
-
-
 def reject_counts(
     df: DataFrame,
     contract: T.StructType,
@@ -162,23 +149,13 @@ def reject_counts(
     return out.select("*", total.alias("rejected"))
 
 
-# P8 / P9 -------------------------------------------------------------------
+# P8 -------------------------------------------------------------------
 def drop_columns(df: DataFrame, cols) -> DataFrame:
     """Drop many columns in one projection."""
     return df.drop(*cols)
 
 
-def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """P9."""
-    return df.withColumnsRenamed(mapping)
-
-
-# P10 / P11 -----------------------------------------------------------------
-def with_literal(df: DataFrame, name: str, value, dtype: str | None = None) -> DataFrame:
-    c = F.lit(value)
-    return df.withColumn(name, c.cast(dtype) if dtype else c)
-
-
+# P11 -----------------------------------------------------------------
 def typed_projection(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Select the listed columns cast to the given types, in that order."""
     return df.select(*[q(c).cast(t).alias(c) for c, t in types.items()])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedup import dedup_latest
 from strata.operators.shape import q
+from strata.session import materialize
 
 
 def _key_condition(t: DataFrame, s: DataFrame, keys, null_safe: bool):
@@ -46,6 +47,9 @@ def upsert(
     src = dedup_latest(source, keys, [newest] if newest else []) if dedup_source else source
     if target is None:
         return src
+    if dedup_source:
+        # Both the anti-join and the union read it: evaluate it once.
+        src = materialize(src)
     src = src.select(*[q(c) for c in target.columns]) if set(src.columns) == set(target.columns) else src
     t = target.alias("_t")
     s_keys = src.select(*[q(k) for k in keys]).alias("_s")

@@ -45,7 +45,8 @@ def row_ordinal(
     w_off = Window.partitionBy(*[q(k) for k in keys]).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
     offs = offs.select(*[q(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_ob"), "_off")
-    cond = F.col("_b") == F.col("_ob")
+    # Rows with a NULL order column form a bucket of their own, the first.
+    cond = F.col("_b").eqNullSafe(F.col("_ob"))
     for i, k in enumerate(keys):
         cond = cond & q(k).eqNullSafe(F.col(f"_k{i}"))
     joined = x.join(offs, cond, "inner")

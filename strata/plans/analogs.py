@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from strata import spec
 from strata.operators.window import rolling_mean
-from strata.session import work_path
+from strata.session import materialize, work_path
 from strata.sources.landing import object_name
 
 TABLES = (
@@ -52,10 +52,10 @@ def _day(c) -> Column:
 
 def calendar_end_year(spark: SparkSession, sf_dir: str) -> int:
     """Two years past the latest date of any feed source (one scalar)."""
-    li = table(spark, sf_dir, "lineitem").agg(F.max(F.year("l_shipdate")).alias("y"))
-    ev = table(spark, sf_dir, "events").agg(F.max(F.year("ts")).alias("y"))
-    row = li.unionByName(ev).agg(F.max("y").alias("y")).first()
-    return int(row["y"]) + 2
+    # The maximum of the bare column, which Parquet statistics can answer.
+    li = table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").alias("d"))
+    ev = table(spark, sf_dir, "events").agg(F.max("ts").alias("d"))
+    return max(r["d"].year for r in li.unionAll(ev).collect() if r["d"] is not None) + 2
 
 
 # bars ----------------------------------------------------------------------
@@ -98,11 +98,11 @@ def tsd_documents(b: DataFrame, with_truncated: bool = True) -> DataFrame:
     obj = object_name("tsd", F.col("symbol"), _day("first"), _day("last"))
     out = docs.select(obj.alias("object"), doc.alias("doc"))
     if with_truncated:
-        cut = out.select(
+        cut = F.struct(
             F.concat(F.col("object"), F.lit("_partial")).alias("object"),
             F.substring(F.col("doc"), 1, (F.length("doc") / 2).cast("int")).alias("doc"),
         )
-        out = out.unionByName(cut)
+        out = out.select(F.explode(F.array(F.struct("object", "doc"), cut)).alias("d")).select("d.*")
     return out
 
 
@@ -146,8 +146,9 @@ def macro_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {spec.FFR_CODE: ffr, spec.INFLATION_CODE: infl}
 
 
-def macro_documents(series: DataFrame, name: str, interval: str, prefix: str) -> DataFrame:
-    """Macro payloads, one per feed-year, entries newest first."""
+def macro_documents(series: DataFrame, name: str, interval: str, prefix: str, width: int) -> DataFrame:
+    """Macro payloads, one per feed-year, entries newest first. ``width``: how
+    much of a date the object's name holds."""
     entry = F.struct(F.col("date").alias("sort_key"), _day("date").alias("date"), _s("value").alias("value"))
     docs = series.groupBy(F.year("date").alias("y")).agg(
         F.sort_array(F.collect_list(entry), asc=False).alias("entries"),
@@ -161,7 +162,7 @@ def macro_documents(series: DataFrame, name: str, interval: str, prefix: str) ->
             data.alias("data"),
         )
     )
-    obj = object_name(prefix, None, _day("first"), _day("last"), newest_first=True)
+    obj = object_name(prefix, None, _day("first"), _day("last"), width)
     return docs.select(obj.alias("object"), doc.alias("doc"))
 
 
@@ -217,8 +218,9 @@ _LANDING_CACHE: dict[tuple, str] = {}
 
 
 def write_landing(docs: DataFrame, path: str) -> str:
-    """One folder per object (``object=<name>/``), one JSON object per line."""
-    docs.repartition("object").write.mode("errorifexists").partitionBy("object").text(path)
+    """One folder per object (``object=<name>/``), one JSON object per line.
+    A large object is split over several tasks and files."""
+    docs.hint("rebalance", "object").write.mode("errorifexists").partitionBy("object").text(path)
     return path
 
 
@@ -232,11 +234,12 @@ def landing(spark: SparkSession, sf_dir: str, feed: str) -> str:
     if feed == spec.TSD.name:
         docs = tsd_documents(bars(spark, sf_dir))
     elif feed == spec.SMA.name:
-        docs = sma_documents(bars(spark, sf_dir))
+        # The moving average reads the bars in two branches.
+        docs = sma_documents(materialize(bars(spark, sf_dir)))
     elif feed == spec.FFR.name:
-        docs = macro_documents(macro_series(spark, sf_dir)[spec.FFR_CODE], FFR_NAME, " Monthly", "ffr")
+        docs = macro_documents(macro_series(spark, sf_dir)[spec.FFR_CODE], FFR_NAME, " Monthly", "ffr", 7)
     elif feed == spec.INFLATION.name:
-        docs = macro_documents(macro_series(spark, sf_dir)[spec.INFLATION_CODE], INFLATION_NAME, "Annual ", "inflation")
+        docs = macro_documents(macro_series(spark, sf_dir)[spec.INFLATION_CODE], INFLATION_NAME, "Annual ", "inflation", 4)
     elif feed == spec.COMPANY.name:
         docs = company_documents(filings(spark, sf_dir))
     else:

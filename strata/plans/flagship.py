@@ -55,7 +55,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     join -> quarterly statistics per symbol."""
     prepare(spark)
     run_ts = dt.datetime(2024, 2, 1)
-    raw = scan(spark, A.landing(spark, sf_dir, spec.TSD.name), spec.TSD)
+    raw = scan(spark, A.landing(spark, sf_dir, spec.TSD.name), spec.TSD, A.LINEAGE_PATTERN)
     fact = fact_tsd(silver(bronze(raw, spec.TSD, run_ts), spec.TSD))
     start, end = calendar_bounds(spec.CALENDAR_START_YEAR, A.calendar_end_year(spark, sf_dir))
     return _stats(fact, dim_date(spark, start, end))
@@ -67,6 +67,6 @@ def flagship_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts), then the same statistics from the stored star schema."""
     prepare(spark)
     root = work_path(spark, "lake")
-    lake = Lake(spark, root, db=f"strata_{uuid.uuid4().hex[:8]}")
+    lake = Lake(spark, root, db=f"strata_{uuid.uuid4().hex[:8]}", lineage_pattern=A.LINEAGE_PATTERN)
     run_pipeline(spark, sf_dir, lake, dt.datetime(2024, 2, 1))
     return quarterly_stats(lake)

@@ -21,16 +21,17 @@ from strata.operators.incremental import (
     MARKS_SCHEMA,
     LEDGER_SCHEMA,
     batch_mark,
-    commit_marks,
     incremental,
-    mark_files,
+    mark_rows,
     mark_value,
+    next_stamp,
+    reset_mark,
+    unmark_files,
     unprocessed_files,
 )
-from strata.operators.shape import conform, explode_array_struct, explode_map, get_fields, q
+from strata.operators.shape import bounded_width, conform, explode_array_struct, explode_map, get_fields, q, reject_counts
 from strata.sources import tables
-from strata.sources.landing import CORRUPT, scan_landing, split_corrupt, quarantine
-from strata.plans.analogs import LINEAGE_PATTERN
+from strata.sources.landing import CORRUPT, list_files, scan_landing, split_corrupt, quarantine
 from strata.session import materialize
 
 LINEAGE = ("filename",)
@@ -74,70 +75,105 @@ def silver(bronze_rows: DataFrame, entity: spec.EntitySpec) -> DataFrame:
     return dedup_latest(cleaned, list(entity.keys), order)
 
 
-def scan(spark: SparkSession, path: str, entity: spec.EntitySpec) -> DataFrame:
-    return scan_landing(spark, path, entity.read_schema, lineage_pattern=LINEAGE_PATTERN)
+def scan(spark: SparkSession, path: str | list[str], entity: spec.EntitySpec, lineage_pattern: str | None = None) -> DataFrame:
+    return scan_landing(spark, path, entity.read_schema, lineage_pattern=lineage_pattern)
+
+
+def rejects(good: DataFrame, entity: spec.EntitySpec) -> DataFrame:
+    """(column, rejected): how many values of each column did not cast."""
+    counts = reject_counts(shape(good, entity), entity.contract, entity.rename or None)
+    names = [c for c in counts.columns if c != "rejected"]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(q(c), F.lit(0)).alias("rejected")) for c in names])
+    return counts.select(F.explode(pairs).alias("r")).select("r.*").where("rejected > 0")
+
+
+#: Gold tables that one entity alone fills.
+GOLD_OF = {
+    spec.TSD.name: "fact_time_series_daily",
+    spec.SMA.name: "fact_simple_moving_average",
+    spec.COMPANY.name: "dim_company",
+}
 
 
 class Lake:
     """Table-backed medallion run with marks and a file ledger.
 
     Tables live in the session catalog as ``{db}.{layer}_{entity}``; data is
-    written under ``root``. Marks are committed after the data (X2).
+    written under ``root``. Marks are committed after the data (X2), and the
+    ledger and the marks are appended to; the greatest mark counts. Every load
+    gets a stamp later than the last one of its table, so a reader after a mark
+    misses no rows when two runs carry the same time. ``lineage_pattern`` picks
+    the object's name from a landing path (default: the file's base name).
     """
 
-    def __init__(self, spark: SparkSession, root: str, db: str = "strata"):
+    def __init__(self, spark: SparkSession, root: str, db: str = "strata", lineage_pattern: str | None = None, max_files: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.db = db
+        self.lineage_pattern = lineage_pattern
+        self.max_files = max_files
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.root}/_db'")
-        tables.create_table_if_missing(spark, self.t("ledger"), spark.createDataFrame([], LEDGER_SCHEMA), self._root("ledger"))
-        tables.create_table_if_missing(spark, self.t("marks"), spark.createDataFrame([], MARKS_SCHEMA), self._root("marks"))
+        tables.create_table_if_missing(spark, self.t("ledger"), spark.createDataFrame([], LEDGER_SCHEMA))
+        tables.create_table_if_missing(spark, self.t("marks"), spark.createDataFrame([], MARKS_SCHEMA))
 
     def t(self, name: str) -> str:
         return f"{self.db}.{name}"
 
-    def _root(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.t(name))
 
+    def exists(self, name: str) -> bool:
+        return tables.table_exists(self.spark, self.t(name))
+
+    def preview(self, name: str, order_by=(), n: int = 20) -> DataFrame:
+        """The first ``n`` rows of any layer or control table."""
+        df = self.read(name)
+        return (df.orderBy(*order_by) if order_by else df).limit(n)
+
+    def _append(self, name: str, df: DataFrame, partition_by=()) -> None:
+        tables.append_or_create(self.spark, self.t(name), bounded_width(df, self.max_files), partition_by)
+
+    def _commit(self, consumer: str, new_marks: dict) -> None:
+        rows = mark_rows(self.spark, consumer, new_marks)
+        tables.append_table(self.spark, self.t("marks"), rows.coalesce(1))
+
+    def _stamp(self, table: str, run_ts: dt.datetime) -> dt.datetime:
+        """The stamp of a load, taken before its data is written."""
+        stamp = next_stamp(run_ts, mark_value(self.read("marks"), "stamp", table))
+        self._commit("stamp", {table: stamp})
+        return stamp
+
     # bronze ---------------------------------------------------------------
     def load_bronze(self, entity: spec.EntitySpec, landing_path: str, run_ts: dt.datetime) -> int:
         """Ingest landing files not yet in the ledger; returns the number
-        of newly processed files. Data first, then the ledger."""
-        raw = scan(self.spark, landing_path, entity)
-        files = raw.select("filename").distinct()
-        # Both are read by three writes (bronze, quarantine, ledger): evaluate
-        # once. ``todo`` is one row per new file; ``new_raw`` is this run's
-        # parsed lines only.
-        todo = materialize(unprocessed_files(files, self.read("ledger")))
-        new_raw = materialize(raw.join(todo, ["filename"], "left_semi"))
-        good, bad = split_corrupt(new_raw)
-        rows = bronze(good, entity, run_ts)
-        name = f"bronze_{entity.name}"
-        if tables.table_exists(self.spark, self.t(name)):
-            tables.append_table(self.spark, self.t(name), rows)
-        else:
-            tables.replace_table(self.spark, self.t(name), rows, self._root(name), entity.partition_by)
-        qname = f"quarantine_{entity.name}"
-        qrows = quarantine(bad)
-        if tables.table_exists(self.spark, self.t(qname)):
-            tables.append_table(self.spark, self.t(qname), qrows)
-        else:
-            tables.replace_table(self.spark, self.t(qname), qrows, self._root(qname))
-        ledger = mark_files(self.read("ledger"), todo, F.lit(run_ts))
-        tables.replace_table(self.spark, self.t("ledger"), ledger, self._root("ledger"))
-        return todo.count()
+        of newly processed files. The ledger holds full paths; names come from
+        a listing, and only the new files are opened. Data first, then the
+        ledger. Only this run's new file names reach the driver, as they do in
+        any listing."""
+        todo = materialize(unprocessed_files(list_files(self.spark, landing_path), self.read("ledger")))
+        new = [r[0] for r in todo.collect()]
+        bronze_name = f"bronze_{entity.name}"
+        if not new and self.exists(bronze_name):
+            return 0
+        stamp = self._stamp(bronze_name, run_ts)
+        raw = scan(self.spark, new or landing_path, entity, self.lineage_pattern)
+        # Read by three writes (bronze, rejects, quarantine): evaluate once.
+        raw = materialize(raw if new else raw.limit(0))
+        good, bad = split_corrupt(raw)
+        self._append(bronze_name, bronze(good, entity, stamp), entity.partition_by)
+        self._append(f"rejects_{entity.name}", rejects(good, entity).withColumn("ingestion_timestamp", F.lit(stamp).cast("timestamp")))
+        self._append(f"quarantine_{entity.name}", quarantine(bad))
+        done = todo.select("filename", F.lit(stamp).cast("timestamp").alias("processed_time"))
+        tables.append_table(self.spark, self.t("ledger"), done)
+        return len(new)
 
     # silver ---------------------------------------------------------------
     def load_silver(self, entity: spec.EntitySpec, run_ts: dt.datetime, inclusive: bool = True) -> bool:
         """I2 + I5: rows of bronze at/after the silver mark, cleaned, upserted
         into silver; the mark moves to the max bronze timestamp of the cleaned
         batch, after the upsert. Returns False for an empty batch."""
-        marks = self.read("marks")
-        mark = mark_value(marks, "silver", entity.name)
-        batch = incremental(self.read(f"bronze_{entity.name}"), "ingestion_timestamp", mark, inclusive)
+        mark = mark_value(self.read("marks"), "silver", entity.name)
+        batch = incremental(self.read(f"bronze_{entity.name}"), "ingestion_timestamp", mark, inclusive, distinct=False)
         # One pass over the batch: clean + dedup, materialised; the mark (max
         # timestamp of the cleaned batch, I5 -- dedup keeps the newest row per
         # key, so it cannot change that maximum) is read from that copy.
@@ -145,23 +181,22 @@ class Lake:
         new_mark = batch_mark(cleaned, "ingestion_timestamp")
         if new_mark is None:
             return False
-        restamped = cleaned.withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp"))
+        name = f"silver_{entity.name}"
+        restamped = cleaned.withColumn("ingestion_timestamp", F.lit(self._stamp(name, run_ts)).cast("timestamp"))
         tables.upsert_table(
-            self.spark, self.t(f"silver_{entity.name}"), restamped, entity.keys,
-            self._root(f"silver_{entity.name}"), entity.partition_by, newest="ingestion_timestamp",
-            prepared=True,
+            self.spark, self.t(name), restamped, entity.keys, entity.partition_by, newest="ingestion_timestamp",
+            prepared=True, latest_by=entity.latest_by, moves="date" not in entity.keys,
         )
         self._commit("silver", {entity.name: new_mark})
         return True
 
-    def _commit(self, consumer: str, new_marks: dict) -> None:
-        marks = commit_marks(self.read("marks"), consumer, new_marks)
-        tables.replace_table(self.spark, self.t("marks"), marks, self._root("marks"))
-
     # gold -----------------------------------------------------------------
-    def _gold_batch(self, source: str, inclusive: bool = False) -> tuple[DataFrame, object]:
+    def _gold_batch(self, source: str, inclusive: bool = False) -> tuple[DataFrame | None, object]:
+        if not self.exists(f"silver_{source}"):
+            return None, None
         mark = mark_value(self.read("marks"), "gold", source)
-        batch = incremental(self.read(f"silver_{source}"), "ingestion_timestamp", mark, inclusive)
+        rows = self.read(f"silver_{source}")
+        batch = materialize(incremental(rows, "ingestion_timestamp", mark, inclusive, distinct=False))
         return batch, batch_mark(batch, "ingestion_timestamp")
 
     def load_gold(self, run_ts: dt.datetime, calendar_end_year: int) -> None:
@@ -169,44 +204,62 @@ class Lake:
         spark = self.spark
         # dim_date: add only the missing days.
         start, end = dims.calendar_bounds(spec.CALENDAR_START_YEAR, calendar_end_year)
-        if tables.table_exists(spark, self.t("dim_date")):
-            missing = dims.calendar_missing_days(spark, self.read("dim_date"), start, end)
+        if self.exists("dim_date"):
+            missing = materialize(dims.calendar_missing_days(spark, self.read("dim_date"), start, end))
             if not missing.isEmpty():
                 tables.append_table(spark, self.t("dim_date"), missing)
         else:
-            tables.replace_table(spark, self.t("dim_date"), dims.dim_date(spark, start, end), self._root("dim_date"))
+            tables.replace_table(spark, self.t("dim_date"), dims.dim_date(spark, start, end))
 
-        # dim_indicator from all silver macro rows (small, distinct).
-        feeds_all = {
-            spec.FFR_CODE: self.read(f"silver_{spec.FFR.name}"),
-            spec.INFLATION_CODE: self.read(f"silver_{spec.INFLATION.name}"),
-        }
-        tables.upsert_table(spark, self.t("dim_indicator"), dims.dim_indicator(feeds_all),
-                            ["indicator_code", "name", "interval", "unit"], self._root("dim_indicator"))
+        # dim_indicator from all silver macro rows (small, distinct). A feed
+        # that was never delivered has no silver table and adds nothing.
+        macro = {spec.FFR_CODE: spec.FFR.name, spec.INFLATION_CODE: spec.INFLATION.name}
+        feeds_all = {code: self.read(f"silver_{n}") for code, n in macro.items() if self.exists(f"silver_{n}")}
+        if feeds_all:
+            tables.upsert_table(spark, self.t("dim_indicator"), dims.dim_indicator(feeds_all), list(dims.INDICATOR_COLS))
 
-        # dim_company
+        # dim_company: a filing of an older quarter never replaces a newer one.
         comp, comp_mark = self._gold_batch(spec.COMPANY.name)
         if comp_mark is not None:
-            d = dims.dim_company(comp).withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp"))
-            tables.upsert_table(spark, self.t("dim_company"), d, ["symbol"], self._root("dim_company"))
+            d = dims.dim_company(comp).withColumn("ingestion_timestamp", F.lit(self._stamp("dim_company", run_ts)).cast("timestamp"))
+            tables.upsert_table(
+                spark, self.t("dim_company"), materialize(d), ["symbol"], newest="ingestion_timestamp", prepared=True,
+                latest_by=spec.COMPANY.latest_by,
+            )
             self._commit("gold", {spec.COMPANY.name: comp_mark})
 
         # fact_macro: one mark per feed (I4); an empty feed keeps its mark.
-        ffr, ffr_mark = self._gold_batch(spec.FFR.name)
-        infl, infl_mark = self._gold_batch(spec.INFLATION.name)
-        if ffr_mark is not None or infl_mark is not None:
-            f = dims.fact_macro({spec.FFR_CODE: ffr, spec.INFLATION_CODE: infl}, self.read("dim_indicator"))
-            tables.upsert_table(spark, self.t("fact_macro_indicator"), f, ["date", "indicator_sk"],
-                                self._root("fact_macro_indicator"))
-            self._commit("gold", {spec.FFR.name: ffr_mark, spec.INFLATION.name: infl_mark})
-
-        for entity, build, name in (
-            (spec.TSD, dims.fact_tsd, "fact_time_series_daily"),
-            (spec.SMA, dims.fact_sma, "fact_simple_moving_average"),
-        ):
+        batches = {code: self._gold_batch(n) for code, n in macro.items()}
+        new = {code: batch for code, (batch, m) in batches.items() if m is not None}
+        if new:
+            f = dims.fact_macro(new, self.read("dim_indicator"))
+            tables.upsert_table(spark, self.t("fact_macro_indicator"), materialize(f), ["date", "indicator_sk"], prepared=True)
+            self._commit("gold", {macro[code]: batches[code][1] for code in new})
+
+        for entity, build in ((spec.TSD, dims.fact_tsd), (spec.SMA, dims.fact_sma)):
             batch, m = self._gold_batch(entity.name)
             if m is None:
                 continue
-            fact = build(batch).withColumn("ingestion_timestamp", F.lit(run_ts).cast("timestamp"))
-            tables.upsert_table(spark, self.t(name), fact, entity.keys, self._root(name), entity.partition_by)
+            name = GOLD_OF[entity.name]
+            # Silver holds one row per key already, and so does its batch.
+            fact = build(batch, unique=True).withColumn("ingestion_timestamp", F.lit(self._stamp(name, run_ts)).cast("timestamp"))
+            tables.upsert_table(
+                spark, self.t(name), materialize(fact), entity.keys, entity.partition_by, prepared=True, moves="date" not in entity.keys
+            )
             self._commit("gold", {entity.name: m})
+
+    # I6 -------------------------------------------------------------------
+    def replay(self, entity: spec.EntitySpec, landing_path: str, run_ts: dt.datetime) -> int:
+        """Forget everything about an entity and process its landing files
+        again: empty its tables, drop its marks and its files' ledger rows,
+        then load bronze and silver. Gold follows with the next ``load_gold``."""
+        spark = self.spark
+        for name in (*(f"{layer}_{entity.name}" for layer in ("bronze", "rejects", "quarantine", "silver")), GOLD_OF.get(entity.name)):
+            if name and self.exists(name):
+                tables.truncate_table(spark, self.t(name))
+        marks = reset_mark(reset_mark(self.read("marks"), "silver", entity.name), "gold", entity.name)
+        tables.replace_table(spark, self.t("marks"), marks)
+        tables.replace_table(spark, self.t("ledger"), unmark_files(self.read("ledger"), list_files(spark, landing_path)))
+        n = self.load_bronze(entity, landing_path, run_ts)
+        self.load_silver(entity, run_ts)
+        return n

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from strata.operators.joins import lookup
 from strata.plans import analogs as A
 from strata.plans import layers as L
 from strata.plans import sql as S
-from strata.session import prepare, work_path
+from strata.session import materialize, prepare, work_path
 from strata.sources import landing as LZ
 from strata.sources import tables as TB
 
@@ -59,7 +60,7 @@ def T(spark, sf_dir, name) -> DataFrame:
 
 
 def _raw(spark, sf_dir, entity) -> DataFrame:
-    return L.scan(spark, A.landing(spark, sf_dir, entity.name), entity)
+    return L.scan(spark, A.landing(spark, sf_dir, entity.name), entity, A.LINEAGE_PATTERN)
 
 
 def _bronze(spark, sf_dir, entity) -> DataFrame:
@@ -75,7 +76,8 @@ def _no_ts(df: DataFrame) -> DataFrame:
 
 
 def _db(spark: SparkSession) -> str:
-    spark.sql("CREATE DATABASE IF NOT EXISTS strata_q")
+    where = work_path(spark, "db", unique=False)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS strata_q LOCATION '{where}'")
     return "strata_q"
 
 
@@ -306,8 +308,9 @@ def write_append_readback(spark, sf_dir):
     o = T(spark, sf_dir, "orders")
     cut = F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")
     path = work_path(spark, "q", "orders_append")
-    o.filter(F.col("o_orderdate") < cut).write.mode("errorifexists").parquet(path)
-    o.filter(F.col("o_orderdate") >= cut).write.mode("append").parquet(path)
+    first = F.coalesce(F.col("o_orderdate") < cut, F.lit(False))
+    o.filter(first).write.mode("errorifexists").parquet(path)
+    o.filter(~first).write.mode("append").parquet(path)
     back = spark.read.parquet(path)
     return back.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total_price")
@@ -516,9 +519,9 @@ UNION ALL SELECT 'silver', count(*) FROM tsd_silver
 UNION ALL SELECT 'gold', count(*) FROM tsd_silver""")
 def layer_row_counts(spark, sf_dir):
     """A4: rows per layer (one pass per layer, no count-for-a-log-line)."""
-    raw = _raw(spark, sf_dir, spec.TSD)
+    raw = materialize(_raw(spark, sf_dir, spec.TSD))
     b = L.bronze(raw, spec.TSD, RUN_TS)
-    s = L.silver(b, spec.TSD)
+    s = materialize(L.silver(b, spec.TSD))
     g = G.fact_tsd(s)
     parts = [
         b.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("layer", F.lit("bronze")),
@@ -576,26 +579,24 @@ def view_top_n(spark, sf_dir):
 def _batches(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem")
     cut = F.lit(dt.datetime.fromisoformat(S.UPSERT_CUTOFF)).cast("timestamp_ntz")
-    return li.filter(F.col("l_shipdate") < cut), li.filter(F.col("l_shipdate") >= cut)
+    first = F.coalesce(F.col("l_shipdate") < cut, F.lit(False))
+    return li.filter(first), li.filter(~first)
 
 
 def _merged_table(spark, sf_dir, times: int = 1) -> str:
     b1, b2 = _batches(spark, sf_dir)
     name = _tname(spark, "lineitem")
-    root = work_path(spark, "tables", name.split(".")[-1])
-    TB.upsert_table(spark, name, b1, S.LINEITEM_KEYS, root, newest="l_shipdate")
+    TB.upsert_table(spark, name, b1, S.LINEITEM_KEYS, newest="l_shipdate")
     for _ in range(times):
-        TB.upsert_table(spark, name, b2, S.LINEITEM_KEYS, root, newest="l_shipdate")
+        TB.upsert_table(spark, name, b2, S.LINEITEM_KEYS, newest="l_shipdate")
     return name
 
 
-@query("upsert_initial_load", f"""
-WITH {S.LINEITEM_BATCHES} SELECT * FROM b1""")
+@query("upsert_initial_load", S.latest_per_key("lineitem", S.LINEITEM_KEYS, ["l_shipdate"], S.LINEITEM_COLS))
 def upsert_initial_load(spark, sf_dir):
     """S9 + J1: no table yet -> created from the de-duplicated source."""
-    b1, _ = _batches(spark, sf_dir)
     name = _tname(spark, "lineitem")
-    TB.upsert_table(spark, name, b1, S.LINEITEM_KEYS, work_path(spark, "tables", "initial"), newest="l_shipdate")
+    TB.upsert_table(spark, name, T(spark, sf_dir, "lineitem"), S.LINEITEM_KEYS, newest="l_shipdate")
     return spark.table(name)
 
 
@@ -618,21 +619,67 @@ WITH {S.LINEITEM_BATCHES} SELECT * FROM merged WHERE NOT coalesce(l_returnflag =
 def delete_where(spark, sf_dir):
     """``DELETE WHERE l_returnflag = 'R'`` as a new snapshot."""
     name = _merged_table(spark, sf_dir)
-    TB.delete_where_table(spark, name, F.col("l_returnflag") == "R", work_path(spark, "tables", "del"))
+    TB.delete_where_table(spark, name, F.col("l_returnflag") == "R")
     return spark.table(name)
 
 
-@query("delete_all", "SELECT * FROM lineitem WHERE false")
+@query("delete_all", f"""
+SELECT count(*) AS rows_before, 0 AS rows_after, {len(S.LINEITEM_COLS)} AS n_columns FROM lineitem""")
 def delete_all(spark, sf_dir):
     """Truncate keeps the schema, drops every row."""
-    b1, _ = _batches(spark, sf_dir)
     name = _tname(spark, "lineitem")
-    root = work_path(spark, "tables", "trunc")
-    TB.upsert_table(spark, name, b1, S.LINEITEM_KEYS, root, newest="l_shipdate")
-    TB.truncate_table(spark, name, root)
+    TB.replace_table(spark, name, T(spark, sf_dir, "lineitem"))
+    before = materialize(spark.table(name).agg(F.count("*").alias("rows_before")))
+    TB.truncate_table(spark, name)
+    after = spark.table(name)
+    return before.select("rows_before").unionByName(
+        after.agg(F.count("*").alias("rows_after")), allowMissingColumns=True
+    ).agg(F.max("rows_before").alias("rows_before"), F.max("rows_after").alias("rows_after")).withColumn("n_columns", F.lit(len(after.columns)))
+
+
+@query("upsert_partitioned", """
+WITH b1 AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS d FROM orders),
+     b2 AS (SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate + INTERVAL 1 YEAR END AS d
+            FROM orders WHERE o_orderkey % 3 = 0),
+     m AS (SELECT * FROM b1 WHERE o_orderkey % 3 <> 0 UNION ALL SELECT * FROM b2)
+SELECT o_orderkey, o_totalprice, CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year FROM m""")
+def upsert_partitioned(spark, sf_dir):
+    """J1 on a table partitioned by year: keys move to other years, into the
+    NULL partition and out of it; each exists once."""
+    o = T(spark, sf_dir, "orders")
+    day = F.to_date("o_orderdate")
+    key = F.col("o_orderkey")
+    b1 = o.select("o_orderkey", "o_totalprice", F.when(key % 7 != 0, day).alias("date"))
+    b2 = o.where(key % 3 == 0).select(
+        "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.when(key % 5 != 0, F.add_months(day, 12)).alias("date")
+    )
+    name = _tname(spark, "orders_by_year")
+    for batch in (b1, b2):
+        TB.upsert_table(spark, name, TB.with_date_partitions(batch, "date", 1), ["o_orderkey"], ["year"])
     return spark.table(name)
 
 
+@query("create_append", """
+SELECT o_orderstatus, count(*) AS n_orders, true AS created, false AS created_again FROM orders GROUP BY 1""")
+def create_append(spark, sf_dir):
+    """S8 + S5: an empty table with the orders' schema, made once, then filled."""
+    o = T(spark, sf_dir, "orders")
+    name = _tname(spark, "orders_empty")
+    made = [TB.create_table_if_missing(spark, name, o) for _ in range(2)]
+    TB.append_table(spark, name, o)
+    counts = spark.table(name).groupBy("o_orderstatus").agg(F.count("*").alias("n_orders"))
+    return counts.withColumns({"created": F.lit(made[0]), "created_again": F.lit(made[1])})
+
+
+@query("bounded_width_write", "SELECT count(*) AS n_rows, true AS bounded FROM orders")
+def bounded_width_write(spark, sf_dir):
+    """A write of at most two files."""
+    path = work_path(spark, "q", "orders_narrow")
+    P.bounded_width(T(spark, sf_dir, "orders"), 2).write.parquet(path)
+    back = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f"))
+    return back.agg(F.count("*").alias("n_rows"), (F.countDistinct("f") <= 2).alias("bounded"))
+
+
 # ============================================================================
 # File ledger
 # ============================================================================
@@ -735,11 +782,10 @@ def replay_equals_incremental(spark, sf_dir):
     o = T(spark, sf_dir, "orders")
     mark = _orders_mark(spark, sf_dir)
     name = _tname(spark, "orders")
-    root = work_path(spark, "tables", "replay")
-    first = o.filter(F.col("o_orderdate") <= F.lit(mark))
-    TB.upsert_table(spark, name, first, ["o_orderkey"], root)
+    first = o.filter(F.coalesce(F.col("o_orderdate") <= F.lit(mark), F.lit(True)))
+    TB.upsert_table(spark, name, first, ["o_orderkey"])
     second = I.incremental(o, "o_orderdate", mark, inclusive=True)
-    TB.upsert_table(spark, name, second, ["o_orderkey"], root)
+    TB.upsert_table(spark, name, second, ["o_orderkey"])
     return spark.table(name)
 
 
@@ -757,15 +803,20 @@ def surrogate_sha2(spark, sf_dir):
     return K.with_hash_key(cn, "customer_sk", ["c_custkey", "n_name"])
 
 
-@query("surrogate_numeric")
+@query("surrogate_numeric", """
+SELECT count(*) AS n_rows, count(*) AS n_keys, true AS second_above_first FROM customer""")
 def surrogate_numeric(spark, sf_dir):
-    """K1: numeric keys unique across batches (rows-only check: values depend
-    on partitioning)."""
+    """K1: numeric keys unique across batches; a second batch starts above the
+    first. (The keys' values depend on partitioning, so their properties are
+    returned.)"""
     c = T(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    first = K.with_numeric_key(c.filter(F.col("c_acctbal") < 5000).select("c_custkey"), "sk", 0)
+    low = F.coalesce(F.col("c_acctbal") < 5000, F.lit(False))
+    first = materialize(K.with_numeric_key(c.filter(low).select("c_custkey"), "sk", 0))
     start = K.next_key_start(first, "sk")
-    second = K.with_numeric_key(c.filter(~(F.col("c_acctbal") < 5000)).select("c_custkey"), "sk", start)
-    return first.unionByName(second)
+    second = K.with_numeric_key(c.filter(~low).select("c_custkey"), "sk", start)
+    both = first.withColumn("batch", F.lit(1)).unionByName(second.withColumn("batch", F.lit(2)))
+    above = F.min(F.when(F.col("batch") == 2, F.col("sk"))) > F.max(F.when(F.col("batch") == 1, F.col("sk")))
+    return both.agg(F.count("*").alias("n_rows"), F.countDistinct("sk").alias("n_keys"), above.alias("second_above_first"))
 
 
 # ============================================================================
@@ -839,8 +890,7 @@ def dim_company(spark, sf_dir):
 
 @query("dim_key_lookup", f"WITH {_DIM_INDICATOR_CTES} SELECT * FROM looked")
 def dim_key_lookup(spark, sf_dir):
-    """Fact rows get the dimension key by a broadcast join, not a driver
-    round trip."""
+    """Fact rows get the dimension key by a join, not a driver round trip."""
     feeds = _macro_feeds(spark, sf_dir)
     dim = G.dim_indicator(feeds)
     tagged = feeds[spec.FFR_CODE].withColumn("indicator_code", F.lit(spec.FFR_CODE)).unionByName(
@@ -909,15 +959,57 @@ def sma_weekly(spark, sf_dir):
     return N.simple_moving_average(A.bars(spark, sf_dir), 2, "close", "weekly")
 
 
-@query("resample_5min", """
-SELECT upper(event_type) AS symbol, time_bucket(INTERVAL 5 MINUTE, ts) AS bar_start,
+def _ticks(spark, sf_dir) -> DataFrame:
+    return T(spark, sf_dir, "events").withColumn("symbol", F.upper("event_type"))
+
+
+def _ticks_sql(minutes: int) -> str:
+    return f"""
+SELECT upper(event_type) AS symbol, time_bucket(INTERVAL {minutes} MINUTE, ts) AS bar_start,
        arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
        arg_max(value, (ts, event_id)) AS close, count(*) AS volume
-FROM events GROUP BY 1, 2""")
-def resample_5min(spark, sf_dir):
-    """Ticks to 5-minute OHLCV bars (tumbling window)."""
-    e = T(spark, sf_dir, "events").withColumn("symbol", F.upper("event_type"))
-    return N.resample_ticks(e, "5min", ["symbol"], "ts", "value", tie_col="event_id")
+FROM events GROUP BY 1, 2"""
+
+
+def _resample(minutes: int):
+    @query(f"resample_{minutes}min", _ticks_sql(minutes))
+    def resample(spark, sf_dir):
+        """Ticks to OHLCV bars of some minutes (tumbling window)."""
+        return N.resample_ticks(_ticks(spark, sf_dir), f"{minutes}min", ["symbol"], "ts", "value", tie_col="event_id")
+
+
+for _minutes in (1, 5, 15, 30, 60):
+    _resample(_minutes)
+
+
+@query("sma_intraday", f"""
+WITH bars AS ({_ticks_sql(60)}),
+w AS (SELECT symbol, bar_start, avg(close) OVER o AS a, count(*) OVER o AS c FROM bars
+      WINDOW o AS (PARTITION BY symbol ORDER BY bar_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+SELECT symbol, '60min' AS interval, 3 AS time_period, 'close' AS series_type, bar_start, {S.sround('a', 4)} AS sma FROM w WHERE c = 3""")
+def sma_intraday(spark, sf_dir):
+    """N1 + N2: ticks to hourly bars, then their moving average."""
+    return N.intraday_moving_average(_ticks(spark, sf_dir), 3, "close", "60min", tie_col="event_id")
+
+
+_RATE = f"rate AS (SELECT CAST(l_shipdate AS DATE) AS date, {S.sround('avg(l_discount) * 100', 6)} AS value FROM lineitem GROUP BY 1)"
+
+
+@query("resample_rate", f"""
+WITH {_RATE}
+SELECT i AS interval, CAST(date_trunc(CASE i WHEN 'daily' THEN 'day' WHEN 'weekly' THEN 'week' ELSE 'month' END, date) AS DATE) AS date,
+       {S.sround('avg(value)', 4)} AS value
+FROM rate, (VALUES ('daily'), ('weekly'), ('monthly'), ('unknown')) t(i) GROUP BY 1, 2""")
+def resample_rate(spark, sf_dir):
+    """A daily rate series as daily, weekly and monthly means; an unknown
+    interval counts as monthly."""
+    li = T(spark, sf_dir, "lineitem")
+    rate = materialize(li.groupBy(F.to_date("l_shipdate").alias("date")).agg(F.round(F.avg("l_discount") * 100, 6).alias("value")))
+    parts = [
+        N.resample_rate(rate, i).select(F.lit(i).alias("interval"), "date", F.round("value", 4).alias("value"))
+        for i in ("daily", "weekly", "monthly", "unknown")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 @query("resample_weekly", f"WITH {S.BARS}, {_WEEKLY} SELECT * FROM weekly")
@@ -947,7 +1039,7 @@ SELECT f.symbol, c.year, c.quarter, count(*) AS n_days, {S.sround('avg(f.close)'
        CAST(sum(f.volume) AS BIGINT) AS volume, CAST(sum(CASE WHEN c.week_day >= 5 THEN 1 ELSE 0 END) AS BIGINT) AS weekend_days
 FROM tsd_silver f JOIN cal c ON f.date = c.date GROUP BY 1, 2, 3""")
 def star_join(spark, sf_dir):
-    """Fact ⋈ broadcast(dim_date), aggregated per symbol and quarter."""
+    """Fact ⋈ dim_date, aggregated per symbol and quarter."""
     fact = G.fact_tsd(_silver(spark, sf_dir, spec.TSD))
     j = N.star_join(fact, _dim_date(spark, sf_dir))
     return j.groupBy("symbol", "year", "quarter").agg(
@@ -965,14 +1057,14 @@ def star_join(spark, sf_dir):
 WITH {S.TSD_BRONZE}
 SELECT {S.TSD_COLS}, filename FROM tsd_bronze""")
 def stream_ingest(spark, sf_dir):
-    """ST1: availableNow file stream, two files per micro-batch; the
-    checkpoint is the file ledger and each batch overwrites only itself."""
+    """ST1: availableNow file stream; the checkpoint is the file ledger and
+    each batch overwrites only itself."""
     from strata.streaming.ingest import ingest_bronze
 
     out = work_path(spark, "stream", "bronze")
     ingest_bronze(
         spark, A.landing(spark, sf_dir, spec.TSD.name), spec.TSD, out, work_path(spark, "stream", "quarantine"),
-        work_path(spark, "stream", "ckpt"), RUN_TS, max_files_per_trigger=2,
+        work_path(spark, "stream", "ckpt"), RUN_TS, lineage_pattern=A.LINEAGE_PATTERN,
     )
     cols = [f.name for f in spec.TSD_CONTRACT.fields] + ["filename"]
     return spark.read.parquet(out).select(*cols)
@@ -987,7 +1079,188 @@ def stream_upsert(spark, sf_dir):
 
     name = _tname(spark, "silver_tsd")
     upsert_silver(
-        spark, A.landing(spark, sf_dir, spec.TSD.name), spec.TSD, name, work_path(spark, "tables", "stream_silver"),
-        work_path(spark, "stream", "ckpt"), RUN_TS, max_files_per_trigger=3,
+        spark, A.landing(spark, sf_dir, spec.TSD.name), spec.TSD, name, work_path(spark, "stream", "quarantine"),
+        work_path(spark, "stream", "ckpt"), RUN_TS, lineage_pattern=A.LINEAGE_PATTERN,
     )
     return _no_ts(spark.table(name))
+
+
+# ============================================================================
+# The stored pipeline: ledger, marks, replay, previews, validation
+# ============================================================================
+def _lake(spark: SparkSession, **more) -> L.Lake:
+    return L.Lake(spark, work_path(spark, "lake"), db=f"strata_{uuid.uuid4().hex[:8]}", **more)
+
+
+def _deliver(docs: DataFrame, path: str) -> None:
+    """Landing files with plain names, all in one folder."""
+    docs.select("doc").write.mode("append").text(path)
+
+
+def _halves(docs: DataFrame):
+    first = F.pmod(F.crc32(F.col("object").cast("binary")), F.lit(2)) == 0
+    return docs.where(first), docs.where(~first)
+
+
+def _two_loads(spark, sf_dir):
+    """Prices delivered and loaded to silver in two runs of the same time."""
+    lake = _lake(spark)
+    land = work_path(spark, "landing", "flat")
+    new = []
+    for docs in _halves(materialize(A.tsd_documents(A.bars(spark, sf_dir)))):
+        _deliver(docs, land)
+        new.append(lake.load_bronze(spec.TSD, land, RUN_TS))
+        lake.load_silver(spec.TSD, RUN_TS)
+        lake.load_gold(RUN_TS, A.calendar_end_year(spark, sf_dir))
+    return lake, new
+
+
+@query("lake_bronze_incremental", f"""
+WITH {S.TSD_BRONZE}
+SELECT {S.TSD_COLS} FROM tsd_bronze""")
+def lake_bronze_incremental(spark, sf_dir):
+    """I1 + J4: two runs over a growing folder of plainly named files lose and
+    repeat nothing."""
+    lake, _ = _two_loads(spark, sf_dir)
+    return lake.read("bronze_time_series_daily").select(*[f.name for f in spec.TSD_CONTRACT.fields])
+
+
+@query("lake_gold_incremental", f"""
+WITH {S.TSD_SILVER}
+SELECT symbol, information, date, open, high, low, close, volume, {S.sha_key(['symbol', 'information', 'date'])} AS tsd_sk FROM tsd_silver""")
+def lake_gold_incremental(spark, sf_dir):
+    """Two loads with the same run time both reach the fact table."""
+    lake, _ = _two_loads(spark, sf_dir)
+    return lake.read("fact_time_series_daily").select(
+        "symbol", "information", "date", "open", "high", "low", "close", "volume", "tsd_sk"
+    )
+
+
+@query("lake_replay_company", f"""
+WITH {S.company_silver_cte()}
+SELECT {S.quoted(S.COMPANY_FIELDS)}, how FROM company_silver, (VALUES ('incremental'), ('replay')) h(how)""")
+def lake_replay_company(spark, sf_dir):
+    """I6 + G4: filings delivered newest first in three batches give the same
+    companies as a replay of all files after a reset."""
+    lake = _lake(spark)
+    land = work_path(spark, "landing", "filings")
+    filed = materialize(A.filings(spark, sf_dir))
+    year = F.col("fy")
+    cuts = filed.agg(F.expr("percentile_disc(0.66) WITHIN GROUP (ORDER BY fy)").alias("hi"),
+                     F.expr("percentile_disc(0.33) WITHIN GROUP (ORDER BY fy)").alias("lo")).first()
+    for part in (year > cuts["hi"], (year <= cuts["hi"]) & (year > cuts["lo"]), year <= cuts["lo"]):
+        _deliver(A.company_documents(filed.where(part)), land)
+        lake.load_bronze(spec.COMPANY, land, RUN_TS)
+        lake.load_silver(spec.COMPANY, RUN_TS, inclusive=False)
+    fields = [f.name for f in spec.COMPANY_CONTRACT.fields]
+    one = materialize(lake.read("silver_company_overview").select(*fields))
+    lake.replay(spec.COMPANY, land, RUN_TS)
+    two = lake.read("silver_company_overview").select(*fields)
+    return one.withColumn("how", F.lit("incremental")).unionByName(two.withColumn("how", F.lit("replay")))
+
+
+@query("preview", f"""
+WITH {S.TSD_SILVER}
+SELECT symbol, date, close FROM tsd_silver ORDER BY symbol, date DESC LIMIT 30""")
+def preview(spark, sf_dir):
+    """The first rows of a stored layer table, in order."""
+    lake, _ = _two_loads(spark, sf_dir)
+    return lake.preview("silver_time_series_daily", ["symbol", F.col("date").desc()], 30).select("symbol", "date", "close")
+
+
+@query("flagship_tables", f"""
+WITH {S.TSD_SILVER}, cal AS ({_DIM_DATE_SQL})
+SELECT f.symbol, c.year, c.quarter, count(*) AS n_days, {S.sround('avg(f.close)', 4)} AS avg_close,
+       max(f.high) AS high, min(f.low) AS low, CAST(sum(f.volume) AS BIGINT) AS volume
+FROM tsd_silver f JOIN cal c ON f.date = c.date GROUP BY 1, 2, 3""")
+def flagship_tables(spark, sf_dir):
+    """All five feeds through stored bronze, silver and gold."""
+    from strata.plans.flagship import flagship_tables as run
+
+    return run(spark, sf_dir)
+
+
+@query("reject_report", f"""
+WITH {S.FILINGS},
+r AS (SELECT 'pe_ratio' AS "column", count(*) AS rejected FROM filings WHERE n_orders <= 1
+      UNION ALL SELECT 'analyst_rating_buy', count(*) FROM filings WHERE n_orders > 127)
+SELECT * FROM r WHERE rejected > 0""")
+def reject_report(spark, sf_dir):
+    """Values that did not cast, counted per column by the bronze load."""
+    lake = _lake(spark, lineage_pattern=A.LINEAGE_PATTERN)
+    lake.load_bronze(spec.COMPANY, A.landing(spark, sf_dir, spec.COMPANY.name), RUN_TS)
+    return lake.read("rejects_company_overview").select("column", "rejected")
+
+
+_STATUS_SQL = "CASE v WHEN 0 THEN 'ok' WHEN 1 THEN 'no_data' WHEN 2 THEN 'no_dates' ELSE 'invalid_content' END"
+
+
+def _series_sql(feed: str) -> str:
+    return f"""SELECT '{feed}' AS feed, symbol || '.' || strftime(min(date), '%Y-%m') AS key, min(date) AS a, max(date) AS b, symbol,
+       CAST(month(min(date)) % 4 AS INTEGER) AS v FROM bars GROUP BY symbol, strftime(date, '%Y-%m')"""
+
+
+@query("validate_feeds", f"""
+WITH {S.BARS}, {S.MACRO_SILVER},
+s AS ({_series_sql('tsd')} UNION ALL {_series_sql('sma')}),
+m AS (SELECT 'ffr' AS feed, CAST(year(date) AS VARCHAR) AS key, min(date) AS a, max(date) AS b, CAST(year(min(date)) % 4 AS INTEGER) AS v, 7 AS w
+      FROM ffr_vals GROUP BY year(date)
+      UNION ALL SELECT 'inflation', CAST(year(date) AS VARCHAR), min(date), max(date), CAST(year(min(date)) % 4 AS INTEGER), 4 FROM infl_vals GROUP BY year(date)),
+c AS (SELECT 'company' AS feed, CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS key,
+             CASE WHEN c_custkey % 4 = 0 THEN 3 ELSE 0 END AS v FROM customer)
+SELECT feed, key, {_STATUS_SQL} AS status,
+       CASE WHEN v = 0 THEN feed || '_' || symbol || '_' || replace({S.day('a')}, '-', '_') || '-' || replace({S.day('b')}, '-', '_') END AS object_name FROM s
+UNION ALL SELECT feed, key, {_STATUS_SQL},
+       CASE WHEN v = 0 THEN feed || '_' || replace(substr({S.day('a')}, 1, w), '-', '_') || '-' || replace(substr({S.day('b')}, 1, w), '-', '_') END FROM m
+UNION ALL SELECT feed, key, {_STATUS_SQL}, CASE WHEN v = 0 THEN 'co_c' || key || '_2024_2_1' END FROM c""")
+def validate_feeds(spark, sf_dir):
+    """S11 + S12: status of payloads of all five feeds, whole and spoiled in
+    every way that counts, and the object names of the whole ones."""
+    b = materialize(A.bars(spark, sf_dir))
+    months = b.groupBy("symbol", F.date_format("date", "yyyy-MM").alias("ym")).agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd")
+
+    def pick(v, whole, no_data, no_dates, invalid):
+        return F.when(v == 0, whole).when(v == 1, no_data).when(v == 2, no_dates).otherwise(invalid)
+
+    def from_docs(docs: DataFrame, entity, feed: str, block, name) -> DataFrame:
+        path = work_path(spark, "landing", f"valid-{feed}")
+        docs.select("key", "doc").write.partitionBy("key").text(path)
+        raw = LZ.scan_landing(spark, path, entity.read_schema, lineage="file_key", lineage_pattern=r"key=([^/]+)/")
+        raw = raw.withColumnRenamed("file_key", "filename")
+        checked = LZ.validate_payload(raw, block).withColumn("key", F.col("filename"))
+        return checked.select(F.lit(feed).alias("feed"), "key", "status", F.when(F.col("status") == spec.STATUS_OK, name(checked)).alias("object_name"))
+
+    out = []
+    for entity, feed, block in ((spec.TSD, "tsd", spec.TSD_SERIES_BLOCK), (spec.SMA, "sma", spec.SMA_SERIES_BLOCK)):
+        entry = lambda d: F.concat(F.lit('"'), d, F.lit('": {"4. close": "1"}'))
+        body = pick(
+            F.month("a") % 4, F.concat(F.lit("{"), entry(text("b")), F.lit(", "), entry(text("a")), F.lit("}")),
+            F.lit("{}"), F.concat(F.lit("{"), entry(F.lit("n/a")), F.lit("}")), F.lit("null"),
+        )
+        docs = months.select(
+            F.concat_ws(".", "symbol", "ym").alias("key"),
+            F.concat(F.lit('{"Meta Data": {}, "'), F.lit(block), F.lit('": '), body, F.lit("}")).alias("doc"),
+        )
+        span = lambda df, f=feed, k=block: LZ.object_name(f, F.split("key", "[.]")[0], *LZ.date_span(df, k))
+        out.append(from_docs(docs, entity, feed, block, span))
+    series = A.macro_series(spark, sf_dir)
+    for entity, code, feed, width in ((spec.FFR, spec.FFR_CODE, "ffr", 7), (spec.INFLATION, spec.INFLATION_CODE, "inflation", 4)):
+        years = series[code].groupBy(F.year("date").alias("y")).agg(F.min("date").alias("a"), F.max("date").alias("b"))
+        item = lambda d: F.concat(F.lit('{"date": "'), d, F.lit('", "value": "1"}'))
+        pair = F.concat(F.lit("["), item(text("b")), F.lit(", "), item(text("a")), F.lit("]"))
+        undated = F.concat(F.lit("["), item(text("b")), F.lit(', {"value": "1"}]'))
+        body = pick(F.col("y") % 4, pair, F.lit("[]"), undated, F.lit("null"))
+        docs = years.select(F.col("y").cast("string").alias("key"), F.concat(F.lit('{"name": "n", "data": '), body, F.lit("}")).alias("doc"))
+        ends = lambda df, f=feed, w=width: LZ.object_name(f, None, *LZ.date_span(df, "data"), w)
+        out.append(from_docs(docs, entity, feed, "data", ends))
+    c = T(spark, sf_dir, "customer").select("c_custkey")
+    whole = F.concat(F.lit('{"Symbol": "c'), F.col("c_custkey").cast("string"), F.lit('"}'))
+    path = work_path(spark, "landing", "valid-company")
+    c.select(F.when(F.col("c_custkey") % 4 == 0, F.lit("{}")).otherwise(whole).alias("doc")).write.text(path)
+    raw = LZ.scan_landing(spark, path, spec.COMPANY_READ, lineage=None)
+    name = F.when(F.col("status") == spec.STATUS_OK, LZ.company_object_name(F.col("Symbol"), F.lit(RUN_TS)))
+    checked = LZ.validate_payload(raw, None)
+    # An empty object does not tell whose it is.
+    out.append(checked.select(F.lit("company").alias("feed"), F.substring("Symbol", 2, 20).alias("key"), "status", name.alias("object_name")))
+    return reduce(DataFrame.unionByName, out)

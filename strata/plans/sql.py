@@ -37,9 +37,9 @@ def day(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d')"
 
 
-def obj_name(prefix: str, symbol: str | None, first: str, last: str) -> str:
+def obj_name(prefix: str, symbol: str | None, first: str, last: str, width: int = 10) -> str:
     parts = [lit(prefix)] + ([symbol] if symbol else [])
-    span = f"replace({day(first)}, '-', '_') || '-' || replace({day(last)}, '-', '_')"
+    span = f"replace(substr({day(first)}, 1, {width}), '-', '_') || '-' || replace(substr({day(last)}, 1, {width}), '-', '_')"
     return " || '_' || ".join(parts + [f"({span})"])
 
 
@@ -103,7 +103,7 @@ sma_silver AS (
   WHERE {sround('sma', 4)} > 0 AND time_period >= 0)"""
 
 # Macro feeds -----------------------------------------------------------------
-def _macro(code: str, src_col: str, unit: str, name: str, interval: str, prefix: str, scale: int) -> str:
+def _macro(code: str, src_col: str, unit: str, name: str, interval: str, prefix: str, width: int, scale: int) -> str:
     rounded = sround("value", scale) if scale < 13 else "value"
     return f"""{code}_vals AS (
   SELECT CAST(date_trunc('{unit}', l_shipdate) AS DATE) AS date, {sround(f'avg({src_col}) * 100', 6)} AS value
@@ -111,14 +111,14 @@ def _macro(code: str, src_col: str, unit: str, name: str, interval: str, prefix:
 {code}_silver AS (
   SELECT {itrim(lit(name))} AS name, lower(trim({lit(interval)})) AS interval, 'percent' AS unit,
          date, {rounded} AS value,
-         {obj_name(prefix, None, 'max(date) OVER (PARTITION BY year(date))', 'min(date) OVER (PARTITION BY year(date))')} AS filename
+         {obj_name(prefix, None, 'min(date) OVER (PARTITION BY year(date))', 'max(date) OVER (PARTITION BY year(date))', width)} AS filename
   FROM {code}_vals)"""
 
 
 MACRO_SILVER = (
-    _macro("ffr", "l_discount", "month", A.FFR_NAME, " Monthly", "ffr", 2)
+    _macro("ffr", "l_discount", "month", A.FFR_NAME, " Monthly", "ffr", 7, 2)
     + ",\n"
-    + _macro("infl", "l_tax", "year", A.INFLATION_NAME, "Annual ", "inflation", 13)
+    + _macro("infl", "l_tax", "year", A.INFLATION_NAME, "Annual ", "inflation", 4, 13)
 )
 
 MACRO_COLS = "name, interval, unit, date, value, filename"
@@ -231,7 +231,7 @@ def latest_per_key(src: str, keys: list[str], order: list[str], cols: list[str])
 
 
 LINEITEM_BATCHES = f"""b1 AS ({latest_per_key(f"(SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '{UPSERT_CUTOFF}')", LINEITEM_KEYS, ['l_shipdate'], LINEITEM_COLS)}),
-b2 AS ({latest_per_key(f"(SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '{UPSERT_CUTOFF}')", LINEITEM_KEYS, ['l_shipdate'], LINEITEM_COLS)}),
+b2 AS ({latest_per_key(f"(SELECT * FROM lineitem WHERE NOT coalesce(l_shipdate < TIMESTAMP '{UPSERT_CUTOFF}', false))", LINEITEM_KEYS, ['l_shipdate'], LINEITEM_COLS)}),
 merged AS (
   SELECT * FROM b1 WHERE NOT EXISTS (
     SELECT 1 FROM b2 WHERE b2.l_orderkey IS NOT DISTINCT FROM b1.l_orderkey

@@ -52,13 +52,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a shared filesystem or
-    object store). Only when it is unset -- local tests -- a folder is made
-    here and registered on the session so that later calls agree.
+    object store). Only when it is unset in local mode -- tests -- a folder is
+    made here and registered on the session so that later calls agree.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -77,15 +79,6 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return path
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem checks in tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)
-
-
 def materialize(df):
     """Evaluate ``df`` once into the shared checkpoint folder and cut its lineage.
 

@@ -1,9 +1,10 @@
 """Landing-zone JSON sources.
 
 The landing zone is a folder of JSON objects, one object per line and one
-request per file. It is read as one file source over the whole folder with
-an explicit schema -- no inference pass, no per-file jobs -- in PERMISSIVE
-mode so a broken file becomes a quarantined row instead of a failed run.
+request per file. It is read as one file source over the whole folder (or over
+a list of new files) with an explicit schema -- no inference pass, no per-file
+jobs -- in PERMISSIVE mode so a broken file becomes a quarantined row instead of
+a failed run.
 """
 
 from __future__ import annotations
@@ -18,44 +19,53 @@ from strata.operators.shape import q
 CORRUPT = "_corrupt"
 
 
+def parse_lines(lines: DataFrame, read_schema: T.StructType, corrupt_col: str = CORRUPT, lineage: str | None = "filename",
+                lineage_pattern: str | None = None) -> DataFrame:
+    """Text lines of a file source (batch or stream) to payload columns.
+
+    ``from_json`` in PERMISSIVE mode is the JSON source's parser, but allows
+    queries that touch only the corrupt column. It stands in a generator, which
+    the optimiser never merges into later filters and projections, so each line
+    is parsed once. Blank lines are skipped.
+    """
+    schema = T.StructType(list(read_schema.fields) + [T.StructField(corrupt_col, T.StringType(), True)])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}
+    name = [_lineage_col(lineage_pattern).alias(lineage)] if lineage is not None else []
+    parsed = lines.filter(F.trim(F.col("value")) != "").select(
+        F.explode(F.array(F.from_json(F.col("value"), schema, opts))).alias("_p"), *name
+    )
+    return parsed.select("_p.*", *([q(lineage)] if lineage is not None else []))
+
+
 def scan_landing(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     read_schema: T.StructType,
     corrupt_col: str = CORRUPT,
     lineage: str | None = "filename",
     lineage_pattern: str | None = None,
 ) -> DataFrame:
-    """S1 + S2: permissive JSON scan of a landing folder, with file lineage.
-
-    Lines are read with the text source and parsed by ``from_json`` in
-    PERMISSIVE mode (the same parser as the JSON source). Unlike the JSON
-    file source this allows queries that touch only the corrupt column
-    (e.g. counting quarantined lines). Blank lines are skipped.
-
-    ``lineage_pattern`` (a regex with one group) extracts an object name from
-    the file path; without it the file's base name is used.
-    """
-    schema = T.StructType(list(read_schema.fields) + [T.StructField(corrupt_col, T.StringType(), True)])
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}
+    """S1 + S2: permissive JSON scan of a landing folder or of the listed
+    files, with file lineage."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    cols = [F.from_json(F.col("value"), schema, opts).alias("_p")]
-    if lineage is not None:
-        cols.append(_lineage_col(lineage_pattern).alias(lineage))
-    parsed = lines.filter(F.trim(F.col("value")) != "").select(*cols)
-    return parsed.select("_p.*", *([q(lineage)] if lineage is not None else []))
+    return parse_lines(lines, read_schema, corrupt_col, lineage, lineage_pattern)
 
 
-def _lineage_col(pattern: str | None) -> Column:
-    if pattern:
-        return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    return F.col("_metadata.file_name")
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(filename): full paths of all files below a folder, without reading
+    their content."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("filename"))
 
 
-def with_file_lineage(df: DataFrame, name: str = "filename", pattern: str | None = None) -> DataFrame:
-    """Source-file column from the hidden ``_metadata`` struct of a file
-    source DataFrame."""
-    return df.withColumn(name, _lineage_col(pattern))
+def _lineage_col(pattern: str | None) -> Column:
+    """The object a line came from. ``pattern`` (a regex with one group)
+    picks it from the path; a path that it does not match, like any path without
+    a pattern, gives the file's base name without ``.json``."""
+    base = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
+    if not pattern:
+        return base
+    found = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    return F.when(found != "", found).otherwise(base)
 
 
 def split_corrupt(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
@@ -90,26 +100,36 @@ def _date_keys(block: Column, is_map: bool) -> Column:
     return F.transform(block, lambda e: e.getField("date"))
 
 
-def payload_status(df: DataFrame, block: str) -> Column:
+def payload_status(df: DataFrame, block: str | None) -> Column:
     """``ok`` / ``invalid_content`` / ``no_data`` / ``no_dates``.
 
     invalid_content: the expected block is missing (or the line is corrupt);
-    no_data: the block is empty; no_dates: no entry carries a valid date.
+    no_data: the block is empty; no_dates: a map of days has no valid date, or
+    the first or last entry of a list of entries carries no date. A flat object
+    (``block=None``, the company feed) is invalid without any field, else ok.
     """
-    dtype = df.schema[block].dataType
-    is_map = isinstance(dtype, T.MapType)
+    if block is None:
+        fields = [c for c in df.columns if c not in (CORRUPT, "filename")]
+        filled = F.lit(False)
+        for c in fields:
+            filled = filled | q(c).isNotNull()
+        return F.when(filled, F.lit(spec.STATUS_OK)).otherwise(F.lit(spec.STATUS_INVALID))
+    is_map = isinstance(df.schema[block].dataType, T.MapType)
     b = q(block)
     keys = _date_keys(b, is_map)
-    valid = F.filter(keys, lambda k: F.try_to_date(k).isNotNull() if hasattr(F, "try_to_date") else F.to_date(k).isNotNull())
+    if is_map:
+        undated = F.size(F.filter(keys, lambda k: F.try_to_date(k).isNotNull())) == 0
+    else:
+        undated = F.get(keys, F.lit(0)).isNull() | F.get(keys, F.size(b) - 1).isNull()
     return (
         F.when(b.isNull(), F.lit(spec.STATUS_INVALID))
         .when(F.size(b) == 0, F.lit(spec.STATUS_NO_DATA))
-        .when(F.size(valid) == 0, F.lit(spec.STATUS_NO_DATES))
+        .when(undated, F.lit(spec.STATUS_NO_DATES))
         .otherwise(F.lit(spec.STATUS_OK))
     )
 
 
-def validate_payload(df: DataFrame, block: str, status_col: str = "status") -> DataFrame:
+def validate_payload(df: DataFrame, block: str | None, status_col: str = "status") -> DataFrame:
     return df.withColumn(status_col, payload_status(df, block))
 
 
@@ -122,15 +142,19 @@ def date_span(df: DataFrame, block: str) -> tuple[Column, Column]:
     return F.array_min(keys), F.array_max(keys)
 
 
-def object_name(prefix: Column | str, symbol: Column | None, first: Column, last: Column, newest_first: bool = False) -> Column:
+def object_name(prefix: Column | str, symbol: Column | None, first: Column, last: Column, width: int = 10) -> Column:
     """``{prefix}_{symbol}_{first}-{last}`` with dashes in dates as ``_``.
 
-    Feeds delivered newest-first (the macro series) are named ``last-first``
-    in the reference, i.e. ``{newest}-{oldest}``.
+    ``width`` is how much of an ISO date counts: 10 the day, 7 the month, 4 the
+    year. The macro feeds come newest first and are named oldest-newest, the
+    policy rate by month, inflation by year.
     """
     p = F.lit(prefix) if isinstance(prefix, str) else prefix
-    a, b = (last, first) if newest_first else (first, last)
-    a = F.regexp_replace(a, "-", "_")
-    b = F.regexp_replace(b, "-", "_")
+    a, b = (F.regexp_replace(F.substring(x, 1, width), "-", "_") for x in (first, last))
     parts = [p] + ([symbol] if symbol is not None else []) + [F.concat(a, F.lit("-"), b)]
     return F.concat_ws("_", *parts)
+
+
+def company_object_name(symbol: Column, day: Column) -> Column:
+    """``co_{symbol}_{year}_{month}_{day}`` of the request day, not padded."""
+    return F.concat_ws("_", F.lit("co"), symbol, *[f(day).cast("string") for f in (F.year, F.month, F.dayofmonth)])

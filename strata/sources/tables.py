@@ -1,33 +1,32 @@
-"""Parquet snapshot tables behind catalog names (S4-S6, S8-S10, J1 on disk).
-
-This is a thin layer over Spark's own writers and catalog, not a storage
-engine:
-
-* an unpartitioned table is replaced by writing a fresh folder and then
-  re-pointing the catalog entry (``ALTER TABLE ... SET LOCATION``): readers
-  see the old or the new snapshot, never a half-written one, and a failed
-  write leaves the table untouched;
-* a partitioned table is upserted by rewriting only the partitions the
-  source touches (dynamic partition overwrite from a staged copy, since a
-  job may not overwrite the folder it reads);
-* the table is never overwritten in place while being read.
-
-When Delta or Iceberg is configured, ``DataFrame.mergeInto`` would replace
-this; the result is the same.
+"""Parquet tables behind catalog names (S4-S6, S8-S10, J1 on disk).
+
+A thin layer over Spark's own writers and catalog, not a storage engine. A
+published name is a catalog view over a managed Parquet table (a generation):
+
+* replacing a table, partitioned or not, writes a new generation and then
+  re-points the view (``CREATE OR REPLACE VIEW``): readers see the old or the
+  new rows, a failed write leaves the old ones, and the name never vanishes.
+  The last generation is kept for running readers, older ones are dropped;
+* a partitioned table is upserted by rewriting the touched partitions only
+  (dynamic partition overwrite of the generation, from a staged copy);
+* a table whose provider can merge (Delta, Iceberg) is merged in place.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.shape import q
 from strata.operators.dedup import dedup_latest
+from strata.operators.shape import q
 from strata.operators.upsert import delete_where, upsert
 from strata.session import materialize, work_path
 
+MERGE_PROVIDERS = ("delta", "iceberg")
+_GENERATION, _PREVIOUS = "strata.generation", "strata.previous"
+
 
 def _quote_name(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
@@ -38,13 +37,13 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def table_location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote_name(name)}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote_name(name)}").collect()}
 
 
-def _snapshot_dir(root: str) -> str:
-    return f"{root.rstrip('/')}/snap-{uuid.uuid4().hex[:16]}"
+def _generation(spark: SparkSession, name: str) -> str:
+    """The stored table behind a published name."""
+    return _properties(spark, name).get(_GENERATION, name)
 
 
 def _rebalanced(df: DataFrame, partition_by) -> DataFrame:
@@ -72,39 +71,26 @@ def with_date_partitions(df: DataFrame, date_col: str, kind: int) -> DataFrame:
     return df.withColumns(cols)
 
 
-def replace_table(
-    spark: SparkSession,
-    name: str,
-    df: DataFrame,
-    root: str,
-    partition_by=(),
-) -> str:
-    """Write ``df`` to a fresh folder under ``root`` and point ``name`` at it."""
-    path = _snapshot_dir(root)
-    write_snapshot(df, path, partition_by)
-    qn = _quote_name(name)
-    exists = table_exists(spark, name)
-    if exists and not partition_by:
-        spark.sql(f"ALTER TABLE {qn} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
-    else:
-        if exists:
-            # Partition entries carry their own locations; re-register the
-            # (external) table instead of re-pointing it. Data is not touched.
-            spark.sql(f"DROP TABLE {qn}")
-        part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        spark.sql(f"CREATE TABLE {qn} ({cols}) USING parquet{part} LOCATION '{path}'")
-        if partition_by:
-            spark.sql(f"ALTER TABLE {qn} RECOVER PARTITIONS")
-    return path
+def replace_table(spark: SparkSession, name: str, df: DataFrame, partition_by=()) -> None:
+    """Write ``df`` as a new generation and point ``name`` at it."""
+    old = _properties(spark, name) if table_exists(spark, name) else {}
+    generation = f"{name}__g{uuid.uuid4().hex[:12]}"
+    w = _rebalanced(df, partition_by).write.format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(generation)
+    keep = f"'{_GENERATION}' = '{generation}', '{_PREVIOUS}' = '{old.get(_GENERATION, '')}'"
+    cols = ", ".join(_quote_name(c) if "." not in c else f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {_quote_name(name)} TBLPROPERTIES ({keep}) AS SELECT {cols} FROM {_quote_name(generation)}")
+    if old.get(_PREVIOUS):
+        spark.sql(f"DROP TABLE IF EXISTS {_quote_name(old[_PREVIOUS])}")
 
 
-def create_table_if_missing(spark: SparkSession, name: str, schema_df: DataFrame, root: str, partition_by=()) -> bool:
+def create_table_if_missing(spark: SparkSession, name: str, schema_df: DataFrame, partition_by=()) -> bool:
     """``CREATE TABLE IF NOT EXISTS`` with the frame's schema (no rows)."""
     if table_exists(spark, name):
         return False
-    replace_table(spark, name, schema_df.limit(0), root, partition_by)
+    replace_table(spark, name, schema_df.limit(0), partition_by)
     return True
 
 
@@ -115,13 +101,65 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 def append_table(spark: SparkSession, name: str, df: DataFrame) -> None:
     """S5 append, matching columns by name."""
-    cols = spark.table(name).columns
-    df.select(*[q(c) for c in cols]).write.insertInto(name, overwrite=False)
-    spark.catalog.refreshTable(name)
+    generation = _generation(spark, name)
+    cols = spark.table(generation).columns
+    rows = _rebalanced(df.select(*[q(c) for c in cols]), _partition_columns(spark, generation))
+    rows.write.insertInto(generation, overwrite=False)
+    spark.catalog.refreshTable(generation)
+
+
+def append_or_create(spark: SparkSession, name: str, df: DataFrame, partition_by=()) -> None:
+    if table_exists(spark, name):
+        append_table(spark, name, df)
+    else:
+        replace_table(spark, name, df, partition_by)
+
+
+def _partition_columns(spark: SparkSession, generation: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(generation) if c.isPartition]
+
 
+def _same(left: str, right: str, cols) -> Column:
+    """NULL-safe equality of the listed columns of two aliased frames."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`"))
+    return cond
 
-def _partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+def _rewrite_partitions(spark: SparkSession, generation: str, parts: list[str], touched: DataFrame, rows: DataFrame) -> None:
+    """Make ``rows`` the whole content of the touched partitions. A job may not
+    overwrite the table that it reads, so the rows are staged first."""
+    columns = spark.table(generation).columns
+    staged = write_snapshot(rows, work_path(spark, "staging", generation.replace(".", "_")), parts)
+    restaged = spark.read.schema(rows.schema).parquet(staged).select(*[q(c) for c in columns])
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        restaged.write.insertInto(generation, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    # Partitions that lost all rows: a list of partition values, no rows.
+    have = restaged.select(*[q(p) for p in parts]).distinct().alias("h")
+    for r in touched.alias("t").join(have, _same("t", "h", parts), "left_anti").collect():
+        values = ", ".join(f"`{p}` = {'null' if r[p] is None else repr(r[p])}" for p in parts)
+        spark.sql(f"ALTER TABLE {_quote_name(generation)} DROP IF EXISTS PARTITION ({values})")
+    spark.catalog.refreshTable(generation)
+
+
+def _merge(target: str, src: DataFrame, keys, null_safe: bool) -> None:
+    """J1 by the table's own MERGE."""
+    cond = F.lit(True)
+    for k in keys:
+        t, s = F.col(f"{target}.`{k}`"), F.col(f"s.`{k}`")
+        cond = cond & (t.eqNullSafe(s) if null_safe else t == s)
+    src.alias("s").mergeInto(target, cond).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
+def _provider(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote_name(name)}").where("col_name = 'Provider'").collect()
+    return rows[0]["data_type"].lower() if rows else ""
 
 
 def upsert_table(
@@ -129,66 +167,72 @@ def upsert_table(
     name: str,
     source: DataFrame,
     keys,
-    root: str,
     partition_by=(),
     newest: str | None = None,
     null_safe: bool = True,
     prepared: bool = False,
+    latest_by=(),
+    moves: bool = True,
 ) -> None:
     """J1 on a stored table; S9: creates the table from the source when absent.
 
     ``prepared=True`` means the source is already unique on ``keys`` and
     materialised (the caller did it, e.g. to read metrics from it).
 
-    Partitioned tables rewrite only the partitions present in the source.
-    This relies on the partition columns being functions of the key (e.g.
-    ``year(date)`` with ``date`` in the key), so a restated row cannot move
-    to another partition; :mod:`strata.spec` only declares such layouts.
+    ``latest_by`` lets a stored row win over a source row of the same key that
+    is older by these columns; without it the source row always wins.
+
+    In a partitioned table the partitions of the source rows and those where
+    their keys are stored now are rewritten, NULL partitions included. With
+    ``moves=False`` the caller states that the partition columns follow from
+    the key, so the stored keys need not be looked up.
     """
     keys = list(keys)
+    order = [*latest_by, *([newest] if newest and newest not in latest_by else [])]
     # The de-duplicated source feeds the anti-join keys, the union and the
     # touched-partition list: evaluate it once.
-    src = source if prepared else materialize(dedup_latest(source, keys, [newest] if newest else []))
+    src = source if prepared else materialize(dedup_latest(source, keys, order))
     if not table_exists(spark, name):
-        replace_table(spark, name, src, root, partition_by)
+        replace_table(spark, name, src, partition_by)
+        return
+    generation = _generation(spark, name)
+    if not latest_by and _provider(spark, generation) in MERGE_PROVIDERS:
+        _merge(generation, src, keys, null_safe)
         return
-    target = spark.table(name)
+    target = spark.table(generation)
     src = src.select(*[q(c) for c in target.columns])
-    parts = _partition_columns(spark, name)
+    parts = _partition_columns(spark, generation)
+    s_keys = src.select(*[q(k) for k in keys]).alias("s")
+    if latest_by:
+        stored = target.alias("t").join(s_keys, _same("t", "s", keys), "left_semi")
+        src = materialize(dedup_latest(stored.unionByName(src), keys, order))
     if not parts:
-        merged = upsert(target, src, keys, null_safe, dedup_source=False)
-        replace_table(spark, name, merged, root)
+        replace_table(spark, name, upsert(target, src, keys, null_safe, dedup_source=False))
         return
-    touched = src.select(*[q(p) for p in parts]).distinct()
-    # Semi-join on the partition columns: dynamic partition pruning limits
-    # the target scan to the touched partitions.
-    old = target.join(touched, parts, "left_semi")
-    merged = upsert(old, src, keys, null_safe, dedup_source=False)
-    staged = work_path(spark, "staging", name.replace(".", "_"))
-    write_snapshot(merged, staged, parts)
-    # Explicit schema: an empty batch leaves no files to infer it from.
-    restaged = spark.read.schema(merged.schema).parquet(staged).select(*[q(c) for c in target.columns])
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        restaged.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    spark.catalog.refreshTable(name)
-
-
-def delete_where_table(spark: SparkSession, name: str, predicate, root: str) -> None:
-    """``DELETE FROM name WHERE predicate`` as a new snapshot."""
-    parts = _partition_columns(spark, name)
-    kept = delete_where(spark.table(name), predicate)
-    replace_table(spark, name, kept, root, parts)
+    touched = src.select(*[q(p) for p in parts])
+    if moves:
+        touched = touched.unionByName(target.alias("t").join(s_keys, _same("t", "s", keys), "left_semi").select(*[q(p) for p in parts]))
+    touched = materialize(touched.distinct())
+    # The semi-join on the partition columns prunes the target scan to them.
+    old = target.alias("t").join(touched.alias("p"), _same("t", "p", parts), "left_semi")
+    _rewrite_partitions(spark, generation, parts, touched, upsert(old, src, keys, null_safe, dedup_source=False))
+
+
+def delete_where_table(spark: SparkSession, name: str, predicate) -> None:
+    """``DELETE FROM name WHERE predicate``; in a partitioned table only
+    the partitions that hold such rows are rewritten."""
+    generation = _generation(spark, name)
+    parts = _partition_columns(spark, generation)
+    target = spark.table(generation)
+    if not parts:
+        replace_table(spark, name, delete_where(target, predicate))
+        return
+    touched = materialize(target.where(predicate).select(*[q(p) for p in parts]).distinct())
+    old = target.alias("t").join(touched.alias("p"), _same("t", "p", parts), "left_semi")
+    _rewrite_partitions(spark, generation, parts, touched, delete_where(old, predicate))
 
 
-def truncate_table(spark: SparkSession, name: str, root: str) -> None:
+def truncate_table(spark: SparkSession, name: str) -> None:
     """Delete all rows, keep the schema."""
-    parts = _partition_columns(spark, name)
-    replace_table(spark, name, spark.table(name).limit(0), root, parts)
-
-
-def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {_quote_name(name)}")
+    generation = _generation(spark, name)
+    replace_table(spark, name, spark.table(generation).limit(0), _partition_columns(spark, generation))

@@ -23,10 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import spec
-from strata.plans.analogs import LINEAGE_PATTERN
 from strata.plans.layers import bronze, silver
 from strata.sources import tables
-from strata.sources.landing import CORRUPT, quarantine
+from strata.sources.landing import CORRUPT, parse_lines, quarantine
 
 
 def landing_stream(
@@ -34,19 +33,19 @@ def landing_stream(
     path: str,
     read_schema: T.StructType,
     max_files_per_trigger: int | None = None,
+    lineage_pattern: str | None = None,
 ) -> DataFrame:
     """Streaming counterpart of :func:`strata.sources.landing.scan_landing`."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(path)
-    schema = T.StructType(list(read_schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = lines.filter(F.trim("value") != "").select(
-        F.from_json("value", schema, opts).alias("_p"),
-        F.regexp_extract(F.col("_metadata.file_path"), LINEAGE_PATTERN, 1).alias("filename"),
-    )
-    return parsed.select("_p.*", "filename")
+    return parse_lines(reader.load(path), read_schema, lineage_pattern=lineage_pattern)
+
+
+def _overwrite_batch(df: DataFrame, batch_id: int, path: str) -> None:
+    """A batch's own output, replaced if the batch runs again."""
+    out = df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+    out.option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
 def _run(stream_df: DataFrame, checkpoint: str, handler) -> None:
@@ -70,21 +69,18 @@ def ingest_bronze(
     checkpoint: str,
     run_ts: dt.datetime,
     max_files_per_trigger: int | None = None,
+    lineage_pattern: str | None = None,
 ) -> None:
     """ST1: every new landing file -> bronze rows (+ quarantine), once."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = bronze(batch, entity, run_ts).withColumn("batch", F.lit(batch_id))
-        bad = quarantine(batch).withColumn("batch", F.lit(batch_id))
-        for df, path in ((rows, out_path), (bad, quarantine_path)):
-            (
-                df.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch")
-                .parquet(path)
-            )
+        # Two writes read the batch; a lost cached block is parsed again.
+        batch = batch.persist()
+        _overwrite_batch(bronze(batch, entity, run_ts), batch_id, out_path)
+        _overwrite_batch(quarantine(batch), batch_id, quarantine_path)
+        batch.unpersist()
 
-    _run(landing_stream(spark, landing_path, entity.read_schema, max_files_per_trigger), checkpoint, handle)
+    _run(landing_stream(spark, landing_path, entity.read_schema, max_files_per_trigger, lineage_pattern), checkpoint, handle)
 
 
 def upsert_silver(
@@ -92,19 +88,27 @@ def upsert_silver(
     landing_path: str,
     entity: spec.EntitySpec,
     table: str,
-    table_root: str,
+    quarantine_path: str,
     checkpoint: str,
     run_ts: dt.datetime,
     max_files_per_trigger: int | None = None,
+    lineage_pattern: str | None = None,
 ) -> None:
-    """ST2: every micro-batch cleaned and upserted into the silver table."""
+    """ST2: every micro-batch cleaned and upserted into the silver table;
+    corrupt lines go to the quarantine folder. Each batch is a table rewrite
+    of its partitions, so leave ``max_files_per_trigger`` unset unless the
+    backlog is too large for one batch."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         good = batch.filter(F.col(CORRUPT).isNull())
         ts = run_ts + dt.timedelta(microseconds=batch_id)
         rows = silver(bronze(good, entity, ts), entity)
         tables.upsert_table(
-            spark, table, rows, entity.keys, table_root, entity.partition_by, newest="ingestion_timestamp"
+            spark, table, rows, entity.keys, entity.partition_by, newest="ingestion_timestamp",
+            latest_by=entity.latest_by, moves="date" not in entity.keys,
         )
+        _overwrite_batch(quarantine(batch), batch_id, quarantine_path)
+        batch.unpersist()
 
-    _run(landing_stream(spark, landing_path, entity.read_schema, max_files_per_trigger), checkpoint, handle)
+    _run(landing_stream(spark, landing_path, entity.read_schema, max_files_per_trigger, lineage_pattern), checkpoint, handle)
