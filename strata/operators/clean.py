@@ -111,17 +111,6 @@ class ToTimestamp(Rule):
         exprs[self.col] = F.to_timestamp(exprs[self.col])
 
 
-@dataclass(frozen=True)
-class Where(Rule):
-    """F10 and free-form predicates: ``Where("entity_name", lambda c: c == "FFR")``."""
-
-    col: str
-    test: object
-
-    def predicates(self, exprs):
-        return [self.test(exprs[self.col])]
-
-
 def apply_rules(df: DataFrame, rules: list[Rule] | tuple[Rule, ...]) -> DataFrame:
     """apply an ordered rule list as one Filter + one Project."""
     exprs: dict[str, Column] = {c: F.col(f"`{c}`") for c in df.columns}

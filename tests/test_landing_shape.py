@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata import spec
 from strata.operators.shape import conform, reject_counts
+from strata.plans import analogs as A
 from strata.plans import layers
 from strata.sources.landing import CORRUPT, quarantine, scan_landing, split_corrupt, validate_payload
 
@@ -34,7 +35,7 @@ def tsd_doc(symbol=" ibm ", bars=None, extra=None, tz="US/Eastern"):
 
 def test_corrupt_line_is_quarantined_and_run_continues(spark, tmp_dir):
     write_lines(tmp_dir, "tsd_IBM", [tsd_doc(), "{not json"])
-    raw = layers.scan(spark, tmp_dir, spec.TSD)
+    raw = layers.scan(spark, tmp_dir, spec.TSD, A.LINEAGE_PATTERN)
     good, bad = split_corrupt(raw)
     assert CORRUPT not in good.columns
     q = quarantine(raw).collect()
@@ -61,7 +62,7 @@ def test_payload_status(spark, tmp_dir):
 
 def test_bronze_contract_edge_values(spark, tmp_dir):
     write_lines(tmp_dir, "tsd_IBM", [tsd_doc(extra={"Extra": "x"})])
-    b = layers.bronze(layers.scan(spark, tmp_dir, spec.TSD), spec.TSD, RUN)
+    b = layers.bronze(layers.scan(spark, tmp_dir, spec.TSD, A.LINEAGE_PATTERN), spec.TSD, RUN)
     assert "Extra" not in b.columns
     r = b.collect()[0]
     assert r.volume == 3_000_000_000  # int overflow kept as long

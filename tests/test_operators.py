@@ -151,3 +151,13 @@ def test_entity_specs_keys_are_in_contracts():
     for e in spec.ENTITIES.values():
         names = {f.name for f in e.contract.fields}
         assert set(e.keys) <= names
+
+
+def test_rolling_mean_keeps_rows_with_a_null_order(spark):
+    from strata.operators.window import rolling_mean, rolling_mean_window
+
+    rows = [("a", None, 1.0), ("a", dt.datetime(2024, 1, 1), 2.0), ("a", dt.datetime(2024, 2, 1), 4.0)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v double")
+    one = rolling_mean(df, ["k"], ["t"], "v", 2, "m", full_only=False)
+    two = rolling_mean_window(df, ["k"], "t", "v", 2, "m", full_only=False)
+    assert sorted((r.v, r.m) for r in one.collect()) == sorted((r.v, r.m) for r in two.collect()) == [(1.0, 1.0), (2.0, 1.5), (4.0, 3.0)]
