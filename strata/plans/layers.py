@@ -150,8 +150,7 @@ class Lake:
         a listing, and only the new files are opened. Data first, then the
         ledger. Only this run's new file names reach the driver, as they do in
         any listing."""
-        todo = materialize(unprocessed_files(list_files(self.spark, landing_path), self.read("ledger")))
-        new = [r[0] for r in todo.collect()]
+        new = [r[0] for r in unprocessed_files(list_files(self.spark, landing_path), self.read("ledger")).collect()]
         bronze_name = f"bronze_{entity.name}"
         if not new and self.exists(bronze_name):
             return 0
@@ -163,8 +162,9 @@ class Lake:
         self._append(bronze_name, bronze(good, entity, stamp), entity.partition_by)
         self._append(f"rejects_{entity.name}", rejects(good, entity).withColumn("ingestion_timestamp", F.lit(stamp).cast("timestamp")))
         self._append(f"quarantine_{entity.name}", quarantine(bad))
-        done = todo.select("filename", F.lit(stamp).cast("timestamp").alias("processed_time"))
-        tables.append_table(self.spark, self.t("ledger"), done)
+        # The listed names, not a second listing: files may have come meanwhile.
+        done = self.spark.createDataFrame([(f, stamp) for f in new], LEDGER_SCHEMA)
+        tables.append_table(self.spark, self.t("ledger"), done.coalesce(1))
         return len(new)
 
     # silver ---------------------------------------------------------------
