@@ -17,8 +17,9 @@ and all others, share is counted in each fragment apart and summed.
    smallest one; the pairs' partial overlaps are counted per vertical part and
    summed. Links give components.
 4. Only shingles whose other classes still lie in different components are
-   looked at again: all their pairs are counted, in blocks of bounded size,
-   inside tasks, and only links that join components come out.
+   looked at again, together for each smallest class: all pairs are counted, in
+   blocks of bounded size, inside tasks, and only links that join components
+   come out.
 
 So no link between different sets is lost, pairs inside a component found by
 step 3 are never enumerated, and no task or row holds a whole group.
@@ -50,6 +51,8 @@ FRAGMENT, CHUNK, BLOCK = 4 << 20, 4 << 20, 1024
 #: A shingle in more than this share of the documents is listed as frequent;
 #: the list has at most (mean set size / share) entries.
 FREQUENT, LEAST_FREQUENT = 1 / 500, 64
+#: Tasks over which the rows of a listed shingle are spread.
+SPREAD = 64
 #: Vertical parts in which the overlap of a pair is counted.
 PARTS = 4
 
@@ -165,7 +168,8 @@ PACKED = "fragment int, classes binary, counts binary, low binary"
 
 def _deal(fragments: int, frequent):
     """Texts to their classes' parts of the fragments, packed per run of texts.
-    Listed frequent shingles go to fragment numbers beyond the others."""
+    Listed frequent shingles go to fragment numbers beyond the others, spread
+    by the run's first class, so that one shingle's rows meet in no one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = frequent.value
@@ -182,8 +186,7 @@ def _deal(fragments: int, frequent):
                 if len(listed):
                     at = np.searchsorted(listed, h)
                     hot = listed[np.minimum(at, len(listed) - 1)] == h
-                    # A listed shingle keeps its fragment's name in its id.
-                    part[hot] += fragments
+                    part[hot] += fragments * (1 + int(ids[0, 0]) % SPREAD)
                 order = np.argsort(part, kind="stable")
                 part, h, owner = part[order], h[order], owner[order]
                 cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
@@ -245,7 +248,7 @@ def _count(fragments: int, buckets: int):
         return pa.record_batch([pa.array(c, t) for c, t in zip(rows, _SHARED_TYPES)], names=[x.split(" ")[0] for x in SHARED.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in _parts(batches):
+        for number, rows in _parts(batches, fragments):
             c0, c1 = _words64(b"".join(r[0] for r in rows))
             count = np.frombuffer(b"".join(r[1] for r in rows), dtype="<u4").astype(np.int64)
             h = np.concatenate([_unlow(r[2]) for r in rows])
@@ -258,7 +261,7 @@ def _count(fragments: int, buckets: int):
                 h = h[np.repeat(~again, count)]
                 c0, c1, count = c0[~again], c1[~again], count[~again]
             if number >= fragments:
-                yield emit(number - fragments, c0, c1, count, h, np.full(len(h), 255, dtype=np.uint8))
+                yield emit(number % fragments, c0, c1, count, h, np.full(len(h), 255, dtype=np.uint8))
                 continue
             order = np.argsort(h)
             s = h[order]
@@ -276,24 +279,17 @@ def _count(fragments: int, buckets: int):
     return run
 
 
-#: Bytes of a listed fragment that are handled at a time.
-HOT_BYTES = 16 << 20
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
-    """Rows (classes, counts, low) of one fragment. Only sorting needs to see a
-    fragment whole; fragments of listed shingles are handed on in parts."""
-    now, held, size = None, [], 0
+def _parts(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[tuple[int, list]]:
+    """Rows (classes, counts, low) of one fragment. Only counting needs to see
+    a fragment whole; rows of listed shingles are handed on one by one."""
+    now, held = None, []
     for batch in batches:
-        number = batch.column(0).to_pylist()
-        for i, f in enumerate(number):
-            if held and f != now:
+        for i, f in enumerate(batch.column(0).to_pylist()):
+            if held and (f != now or f >= fragments):
                 yield now, held
-                held, size = [], 0
+                held = []
             now = f
-            row = tuple(batch.column(c)[i].as_py() for c in (1, 2, 3))
-            held.append(row)
-            size += sum(map(len, row))
+            held.append(tuple(batch.column(c)[i].as_py() for c in (1, 2, 3)))
     if held:
         yield now, held
 
@@ -318,6 +314,14 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = order[np.flatnonzero(new)]
         n = (c1[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         owner = np.repeat(number, count)
+        # Copies of a class in several runs of texts each sent the listed ones.
+        hot = np.flatnonzero(often == 255)
+        if len(hot):
+            order = hot[np.lexsort((low[hot], name[hot], owner[hot]))]
+            same = (owner[order[1:]] == owner[order[:-1]]) & (low[order[1:]] == low[order[:-1]]) & (name[order[1:]] == name[order[:-1]])
+            once = np.ones(len(owner), dtype=bool)
+            once[order[1:][same]] = False
+            owner, low, name, often = owner[once], low[once], name[once], often[once]
         shared = np.bincount(owner, minlength=len(first))
         stays = 100 * shared >= PERCENT * n
         keep = stays[owner]
@@ -456,17 +460,21 @@ def linked(docs: DataFrame, own: DataFrame, frequent: DataFrame, text: str = "te
     links = stored(overlap.where(100 * F.col("same") >= PERCENT * union).select(F.col("leader").alias("a"), F.col("class").alias("b")), "pairs")
     roots = stored(components(links), "roots")
 
-    # Groups whose members, without the leader, lie in several components.
+    # Groups whose members, without the leader, lie in several components. The
+    # groups of one leader are looked at together, so that a class is sent once
+    # for each leader and not once for each shingle.
     rooted = members.where("k > 2").join(roots, F.col("class") == F.col("node"), "left").select(
-        "z", "k", "class", F.coalesce("root", "class").alias("root")
+        "z", "leader", "class", F.coalesce("root", "class").alias("root")
     )
     mixed = rooted.groupBy("z").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("z")
+    bundles = stored(rooted.join(mixed, "z").select("leader", "class", "root").distinct(), "bundles")
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("class"), blocks).cast("int")
     # A class of block b goes to the block pairs (b, i) and (i, b).
     spread = (
-        rooted.join(mixed, "z").withColumn("i", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(F.concat_ws("/", F.col("z").cast("string"), F.least(mine, "i").cast("string"), F.greatest(mine, "i").cast("string")).alias("group"), "class", "root")
+        bundles.join(bundles.groupBy("leader").agg(F.count("*").alias("k")), "leader")
+        .withColumn("i", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(F.concat_ws("/", F.hex("leader"), F.least(mine, "i").cast("string"), F.greatest(mine, "i").cast("string")).alias("group"), "class", "root")
     )
     shipped = spread.join(kept.select("class", F.flatten("parts").alias("shingles")), "class").select("group", "class", "root", "shingles")
     more = shipped.repartition("group").sortWithinPartitions("group").mapInArrow(_link_blocks, "a binary, b binary")
