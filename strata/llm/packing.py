@@ -35,11 +35,11 @@ from strata.llm.common import quoted, ship
 
 CAPACITY = 1024
 CLOSING_ID = 0
-WINDOW = 8192
+WINDOW = 4096
 #: Relative cost of a token and of a pair of tokens in the same piece.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 #: Words whose ids a worker remembers.
-CACHE = 300_000
+CACHE = 150_000
 
 #: FIXED VALUES: letters of the characters that the quick path knows.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
@@ -55,16 +55,21 @@ class Encoder:
     kinds of tokenizer, take the library's own path."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.vocab_size = self.whole.get_vocab_size()
+        self.path = path
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.words = self._word_encoder(spec)
+        self.vocab_size = 1 + max(spec["model"]["vocab"].values()) if self.words else self.whole.get_vocab_size()
         self.cache: dict[str, bytes] = {}
 
+    @functools.cached_property
+    def whole(self):
+        # Loaded only for texts that need it.
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _word_encoder(self, spec: dict):
         pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
         plain = model["type"] == "BPE" and not spec.get("normalizer") and not model.get("dropout") and not model.get("byte_fallback")
@@ -180,19 +185,18 @@ def _pack(capacity: int, wide: bool):
             places = [(int(i), 0, capacity, q, 0) for q, i in enumerate(full)]
             places += [(int(part[i]), d, k, len(full) + q, o) for i, d, k, q, o in assign(lengths[part], capacity)]
             piece, done, size, seq, offset = (np.array(x, dtype=np.int64) for x in zip(*places))
-            taken = table.take(pa.array(piece))
-            ids, w = taken["ids"].to_pylist(), 4 if wide else 2
-            cut = [np.frombuffer(b[d * w : (d + k) * w], dtype=f"<u{w}").astype("<u4").tobytes() for b, d, k in zip(ids, done, size)]
-            starts = taken["start"].to_numpy() + done
-            base = first + count
+            base, w = first + count, 4 if wide else 2
             count += int(seq.max()) + 1
-            for s in range(0, len(cut), 2048):
-                e = s + 2048
-                yield pa.record_batch(
-                    [taken["key"].slice(s, 2048).combine_chunks(), pa.array(starts[s:e]), pa.array(size[s:e]), pa.array(cut[s:e], pa.binary()),
-                     taken["doc_tokens"].slice(s, 2048).combine_chunks(), pa.array(base + seq[s:e]), pa.array(offset[s:e])],
-                    names=["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-                )
+            for s in range(0, len(piece), 1024):
+                e = s + 1024
+                taken = table.take(pa.array(piece[s:e])).combine_chunks()
+                ids = [
+                    np.frombuffer(b.as_py()[d * w : (d + k) * w], dtype=f"<u{w}").astype("<u4").tobytes()
+                    for b, d, k in zip(taken["ids"], done[s:e], size[s:e])
+                ]
+                columns = [taken["key"].combine_chunks(), pa.array(taken["start"].to_numpy() + done[s:e]), pa.array(size[s:e]), pa.array(ids, pa.binary()),
+                           taken["doc_tokens"].combine_chunks(), pa.array(base + seq[s:e]), pa.array(offset[s:e])]
+                yield pa.record_batch(columns, names=["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
         held, n = [], 0
         for batch in batches:
