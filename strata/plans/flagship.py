@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,13 @@ FEEDS = (spec.FFR, spec.INFLATION, spec.SMA, spec.TSD, spec.COMPANY)
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, lake: Lake, run_ts: dt.datetime) -> None:
-    for entity in FEEDS:
+    def feed(entity) -> None:
         lake.load_bronze(entity, A.landing(spark, sf_dir, entity.name), run_ts)
-    for entity in FEEDS:
         lake.load_silver(entity, run_ts)
+
+    # Feeds are independent up to silver: their many small jobs overlap.
+    with ThreadPoolExecutor(len(FEEDS)) as pool:
+        list(pool.map(feed, FEEDS))
     lake.load_gold(run_ts, A.calendar_end_year(spark, sf_dir))
 
 

@@ -9,6 +9,7 @@ table-backed, incremental runner is :class:`Lake`.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,7 +103,9 @@ class Lake:
     written under ``root``. Marks are committed after the data (X2), and the
     ledger and the marks are appended to; the greatest mark counts. Every load
     gets a stamp later than the last one of its table, so a reader after a mark
-    misses no rows when two runs carry the same time. ``lineage_pattern`` picks
+    misses no rows when two runs carry the same time. Feeds may be loaded in
+    several threads; a lock guards the two shared control tables.
+    ``lineage_pattern`` picks
     the object's name from a landing path (default: the file's base name).
     """
 
@@ -112,6 +115,7 @@ class Lake:
         self.db = db
         self.lineage_pattern = lineage_pattern
         self.max_files = max_files
+        self._control = threading.RLock()
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.root}/_db'")
         tables.create_table_if_missing(spark, self.t("ledger"), spark.createDataFrame([], LEDGER_SCHEMA))
         tables.create_table_if_missing(spark, self.t("marks"), spark.createDataFrame([], MARKS_SCHEMA))
@@ -135,12 +139,14 @@ class Lake:
 
     def _commit(self, consumer: str, new_marks: dict) -> None:
         rows = mark_rows(self.spark, consumer, new_marks)
-        tables.append_table(self.spark, self.t("marks"), rows.coalesce(1))
+        with self._control:
+            tables.append_table(self.spark, self.t("marks"), rows.coalesce(1))
 
     def _stamp(self, table: str, run_ts: dt.datetime) -> dt.datetime:
         """The stamp of a load, taken before its data is written."""
-        stamp = next_stamp(run_ts, mark_value(self.read("marks"), "stamp", table))
-        self._commit("stamp", {table: stamp})
+        with self._control:
+            stamp = next_stamp(run_ts, mark_value(self.read("marks"), "stamp", table))
+            self._commit("stamp", {table: stamp})
         return stamp
 
     # bronze ---------------------------------------------------------------
@@ -164,7 +170,8 @@ class Lake:
         self._append(f"quarantine_{entity.name}", quarantine(bad))
         # The listed names, not a second listing: files may have come meanwhile.
         done = self.spark.createDataFrame([(f, stamp) for f in new], LEDGER_SCHEMA)
-        tables.append_table(self.spark, self.t("ledger"), done.coalesce(1))
+        with self._control:
+            tables.append_table(self.spark, self.t("ledger"), done.coalesce(1))
         return len(new)
 
     # silver ---------------------------------------------------------------
@@ -257,9 +264,10 @@ class Lake:
         for name in (*(f"{layer}_{entity.name}" for layer in ("bronze", "rejects", "quarantine", "silver")), GOLD_OF.get(entity.name)):
             if name and self.exists(name):
                 tables.truncate_table(spark, self.t(name))
-        marks = reset_mark(reset_mark(self.read("marks"), "silver", entity.name), "gold", entity.name)
-        tables.replace_table(spark, self.t("marks"), marks)
-        tables.replace_table(spark, self.t("ledger"), unmark_files(self.read("ledger"), list_files(spark, landing_path)))
+        with self._control:
+            marks = reset_mark(reset_mark(self.read("marks"), "silver", entity.name), "gold", entity.name)
+            tables.replace_table(spark, self.t("marks"), marks)
+            tables.replace_table(spark, self.t("ledger"), unmark_files(self.read("ledger"), list_files(spark, landing_path)))
         n = self.load_bronze(entity, landing_path, run_ts)
         self.load_silver(entity, run_ts)
         return n

@@ -14,6 +14,7 @@ published name is a catalog view over a managed Parquet table (a generation):
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,9 @@ from strata.operators.upsert import delete_where, upsert
 from strata.session import materialize, work_path
 
 MERGE_PROVIDERS = ("delta", "iceberg")
+#: The overwrite mode is a setting of the session, which loads in other threads
+#: share.
+_MODE_LOCK = threading.Lock()
 _GENERATION, _PREVIOUS = "strata.generation", "strata.previous"
 
 
@@ -134,12 +138,13 @@ def _rewrite_partitions(spark: SparkSession, generation: str, parts: list[str],
     staged = write_snapshot(rows, work_path(spark, "staging", generation.replace(".", "_")), parts)
     restaged = spark.read.schema(rows.schema).parquet(staged).select(*[q(c) for c in columns])
     mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        restaged.write.insertInto(generation, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    with _MODE_LOCK:
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            restaged.write.insertInto(generation, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
     # Partitions that lost all rows: a list of partition values, no rows.
     have = restaged.select(*[q(p) for p in parts]).distinct().alias("h")
     for r in touched.alias("t").join(have, _same("t", "h", parts), "left_anti").collect():
