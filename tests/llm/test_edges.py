@@ -97,3 +97,26 @@ def test_every_query_is_registered(sql_only):
 
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+def test_native_operators_run_no_python(spark):
+    from strata.llm.queries import QUERIES
+
+    for name in ("op2_line_first_cleaning", "op3_snapshot_collapse", "op4_secret_ownership", "op6_systematic_mix"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Pandas", "InArrow")), name
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_tokens_of_the_quick_path_equal_the_librarys():
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from strata.llm.packing import Encoder
+
+    lib, ours = Tokenizer.from_file(tokenizer_path()), Encoder(tokenizer_path())
+    ours_small = Encoder(tokenizer_path())
+    texts = ["", " ", "  a  b\n\n c ", "don't we'll I'M 'tis x's", "ÀÖØöøſ ñandú straße", "1 22 333 4a a4", "a_b-c!!! ###", "\t\r\n\x0b\x0c x", "日本 text", "½²", "\x1f y", "<|endoftext|>"]
+    for t in texts:
+        want = np.asarray(lib.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert ours(t) == want == ours_small(t), repr(t)
