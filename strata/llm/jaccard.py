@@ -47,7 +47,7 @@ from strata.llm.components import components
 
 WIDTH, PERCENT = 5, 80
 #: Shingles per fragment, bytes of text handled at a time, classes per block.
-FRAGMENT, CHUNK, BLOCK = 4 << 20, 4 << 20, 1024
+FRAGMENT, CHUNK, BLOCK = 2 << 20, 4 << 20, 1024
 #: A shingle in more than this share of the documents is listed as frequent;
 #: the list has at most (mean set size / share) entries.
 FREQUENT, LEAST_FREQUENT = 1 / 500, 64
@@ -233,10 +233,11 @@ def _count(fragments: int, buckets: int):
     def emit(fragment, c0, c1, count, h, often):
         bucket = (c0 % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        ends = np.cumsum(count)
-        begin = ends - count
-        element = np.concatenate([np.arange(begin[i], ends[i]) for i in order]) if len(order) else np.zeros(0, np.int64)
-        bucket, c0, c1, count, h, often = bucket[order], c0[order], c1[order], count[order], h[element], often[element]
+        begin = (np.cumsum(count) - count)[order]
+        bucket, c0, c1, count = bucket[order], c0[order], c1[order], count[order]
+        # Positions of the classes' shingles in the new order of classes.
+        element = np.arange(len(h)) + np.repeat(begin - (np.cumsum(count) - count), count)
+        h, often = h[element], often[element]
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         at = np.concatenate([[0], np.cumsum(count)])
         rows = tuple([] for _ in _SHARED_TYPES)
@@ -270,7 +271,7 @@ def _count(fragments: int, buckets: int):
             often = np.empty(len(h), dtype=np.uint8)
             often[order] = np.repeat(np.minimum(run_length, 254), run_length).astype(np.uint8)
             shared = often > 1
-            owner = np.repeat(np.arange(len(count)), count)
+            owner = np.repeat(np.arange(len(count), dtype=np.int32), count)
             left = np.bincount(owner[shared], minlength=len(count))
             some = left > 0
             if some.any():
