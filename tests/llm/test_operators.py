@@ -392,3 +392,22 @@ def test_licenses_by_canonical_digest(spark):
     assert got[3]["notices"] == "MIT notice" and got[7]["notices"] == "Apache-2.0 notice" and got[5]["notices"] == ""
     for i, t in enumerate(texts):
         assert got[i]["digest"] == hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest(), i
+
+
+def test_licenses_whole_published_texts(spark):
+    mit, isc, bsd = (licenses.KNOWN[n] for n in ("MIT", "ISC", "0BSD"))
+    titled = {"MIT License": mit, "The MIT License (MIT)": mit, "ISC License": isc, "BSD Zero Clause License": bsd}
+    texts = [f"{t}\n\nCopyright (c) 2020 Someone\n\n{b}\n" for t, b in titled.items()]
+    want = ["MIT", "MIT", "ISC", "0BSD"]
+    there = {"Apache-2.0": "Apache-2.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1",
+             "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause (Regents)"}
+    for file, name in there.items():
+        with open(f"/usr/share/common-licenses/{file}") as f:
+            texts.append(f.read())
+        want.append(name)
+    # Without the title lines or the appendix.
+    apache = texts[4]
+    texts += [apache[apache.index("TERMS AND CONDITIONS"):], apache[: apache.index("APPENDIX")]]
+    want += ["Apache-2.0"] * 2
+    got = {r["doc_id"]: r["license"] for r in licenses.report(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
