@@ -1,6 +1,6 @@
 """License scans by canonical digest lookup.
 
-A text is brought to a canonical form (case, punctuation, copyright lines and
+A text is brought to a canonical form (case, punctuation, copyright owners and
 equivalent spellings no longer matter), hashed, and joined to the digests of
 known licence texts. The same lookup is made for each line, which finds the
 one-line notices inside longer documents.
@@ -26,8 +26,23 @@ from pyspark.sql import functions as F
 from strata.llm.common import free_name, let, quoted
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: FIXED VALUES: a line that only names a copyright owner (lower case).
+#: FIXED VALUES: the SQL's line that names a copyright owner (lower case). It
+#: also takes wrapped lines such as 'copyright notice and this permission ...'.
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|\x{00A9})[^\n]*"
+#: FIXED VALUES: a line that names a copyright owner (lower case): 'copyright'
+#: or '(c)' before a year (or its placeholder), a mark or 'by'; a line that
+#: begins with the sign; or a paragraph of one line 'copyright <owner>', which
+#: is never the rest of a wrapped sentence. A line of the bare word goes too,
+#: as ever, so a licence with one word a line is not found.
+_NO_OWNER = r"(?!notice|holder|owner|licen[cs]e|law|and[ \t]|statement|permission|interest)"
+OWNER_LINE = (
+    r"(?:^|\n)[ \t]*(?:©"
+    r"|(?:copyright|\(c\))[ \t,:]*(?:©|&copy;|\(c\)|by[ \t]|[\[{<(]?(?:[0-9]{4}|yyyy|year)(?![a-z0-9]))"
+    rf"|\(c\)[ \t]*copyright[ \t]+{_NO_OWNER}"
+    r")[^\n]*"
+    r"|(?:^|\n)[ \t]*copyright[ \t\r]*(?=\n|(?![\s\S]))"
+    rf"|(?:^|\n[ \t\r]*\n)[ \t]*copyright[ \t]+{_NO_OWNER}[^\n]*(?=\n[ \t\r]*\n|\n?[ \t\r]*(?![\s\S]))"
+)
 #: FIXED VALUES: equivalent spellings, applied in this order to lower-case words.
 SPELLINGS = (
     ("licence", "license"),
@@ -154,10 +169,10 @@ def known_texts() -> list[tuple[str, str]]:
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, no copyright lines, words of letters and digits joined by
+    """Lower case, no owner lines, words of letters and digits joined by
     one space, equivalent spellings made one."""
     t = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    t = F.regexp_replace(t, COPYRIGHT_LINE, "")
+    t = F.regexp_replace(t, OWNER_LINE, "")
     # Any run of ASCII characters other than letters and digits is one space.
     t = F.trim(F.regexp_replace(t, r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{2010}-\x{2027}\x{00A0}]+", " "))
     for other, ours in SPELLINGS:
@@ -169,7 +184,7 @@ def canonical(text: Column) -> Column:
 def canonical_text(text: str | None) -> str:
     """``canonical`` for one string, used to hash the known list."""
     t = "".join(LOWER[UPPER.index(c)] if c in UPPER else c for c in text or "")
-    t = re.sub(r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*", "", t)
+    t = re.sub(OWNER_LINE, "", t)
     t = re.sub("[\x00-\x2F\x3A-\x60\x7B-\x7F‐-‧ ]+", " ", t).strip(" ")
     for other, ours in SPELLINGS:
         t = t.replace(other, ours)

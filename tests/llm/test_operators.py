@@ -411,3 +411,29 @@ def test_licenses_whole_published_texts(spark):
     want += ["Apache-2.0"] * 2
     got = {r["doc_id"]: r["license"] for r in licenses.report(docs_of(spark, texts)).collect()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_licenses_wrapped_and_owner_lines(spark):
+    import textwrap
+
+    names = ["MIT", "ISC", "0BSD", "Zlib", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "Unlicense"]
+    owner = ["Copyright (c) 2020 Someone", "copyright 2019-2021, Some One <a@b.c>", "(C) 2020 Someone", "Copyright © Someone", "Copyright by Someone", "Copyright The Some Authors", "© Someone"]
+    texts, want = [], []
+    for i, width in enumerate(range(20, 140, 5)):
+        for j, n in enumerate(names):
+            body = "\n\n".join(textwrap.fill(p, width, break_long_words=False) for p in licenses.KNOWN[n].split("\n\n"))
+            texts.append(f"{owner[(i + j) % len(owner)]}\n\n{body}\n")
+            want.append(n)
+    # A wrapped line right behind another one that begins alike.
+    isc = licenses.KNOWN["ISC"].replace("the above copyright", "the above\ncopyright").replace("notice and this", "notice\nand this")
+    texts += [isc, "Copyright Someone\n\nCopyright (c) 2020 Other\nCopyright 2021 Third\n\n" + isc]
+    want += ["ISC"] * 2
+    got = {r["doc_id"]: r for r in licenses.report(docs_of(spark, texts)).collect()}
+    assert [got[i]["license"] for i in range(len(texts))] == want
+    lines = ["copyright notice, this list", "Copyright holders be liable", "copyright owner or", "copyright license to reproduce", "(c) You must retain"]
+    assert all(licenses.canonical_text("a sentence on the\n" + x) != "a sentence on the" for x in lines)
+    for x in texts[::9] + ["a\n" + x for x in owner + lines] + ["x\n\ncopyright me\n", "x\n\ncopyright me\r\n \r\ny", "copyright me", "copyright", "copyright \n", "x\ncopyright me\n\n"]:
+        texts.append(x)
+    got = {r["doc_id"]: r["digest"] for r in licenses.report(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest(), t
