@@ -17,6 +17,7 @@ row; an empty table gives an empty result; extra columns are kept by
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pkgutil
 import re
 
@@ -151,6 +152,18 @@ FILES = {
 }
 
 
+def beginnings(form: str) -> set[tuple[str, ...]]:
+    """The first three words of every text whose canonical form is ``form``:
+    spellings are undone from the last to the first, each at any of its places."""
+    # No spelling has over four words, so later words cannot reach the first three.
+    heads = {" ".join(form.split(" ")[:12])}
+    for other, ours in reversed(SPELLINGS):
+        for h in list(heads):
+            first, *rest = h.split(ours)
+            heads |= {first + "".join(w + r for w, r in zip(used, rest)) for used in itertools.product((ours, other), repeat=len(rest))}
+    return {tuple(h.split(" ")[:3]) for h in heads}
+
+
 def known_texts() -> list[tuple[str, str]]:
     """(licence name, text) of every published form: with and without title
     lines, the line 'All rights reserved.', list numbers and appendix."""
@@ -207,9 +220,9 @@ def identify(docs: DataFrame, text: str = "text", known: dict[str, str] | None =
     digest, found, notices = (free_name(docs, x) for x in ("digest", "license", "notices"))
     names = known_digests(known)
     by_digest = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    # Only lines that begin like a known text are brought to canonical form.
+    # Only lines that begin like a known text, in any spelling, are brought to canonical form.
     texts = [t for _, t in (known_texts() if known is None else known.items())]
-    starts = "|".join(sorted({r"[^a-z0-9]+".join(canonical_text(t).split(" ")[:3]) for t in texts}))
+    starts = "|".join(sorted({r"[^a-z0-9]+".join(x) for t in texts for x in beginnings(canonical_text(t))}))
     likely = F.filter(
         F.split(F.coalesce(quoted(text), F.lit("")), "\n", -1),
         lambda x: F.translate(x, UPPER, LOWER).rlike(rf"^[^a-z0-9]*({starts})([^a-z0-9]|$)"),

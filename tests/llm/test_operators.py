@@ -437,3 +437,18 @@ def test_licenses_wrapped_and_owner_lines(spark):
     got = {r["doc_id"]: r["digest"] for r in licenses.report(docs_of(spark, texts)).collect()}
     for i, t in enumerate(texts):
         assert got[i] == hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest(), t
+
+
+def test_license_notices_in_every_spelling(spark):
+    lines = {
+        "Licenced under the Apache Licence, Version 2.0.": "Apache-2.0 notice", "  * LICENCED under the Apache License, v2.0": "Apache-2.0 notice",
+        "This work is licenced under the GNU GPL, version 3.": "GPL-3.0 notice", "Licenced under CC BY-NC 4.0": "CC-BY-NC-4.0 notice",
+        "“Released” under the MIT licence": "MIT notice", "All rights reserved": "All rights reserved", "Licenced under the Apache Licence, Version 3": "",
+    }
+    got = {r["doc_id"]: r["notices"] for r in licenses.report(docs_of(spark, [f"Some words.\n{x}\nmore" for x in lines])).collect()}
+    assert [got[i] for i in range(len(lines))] == list(lines.values())
+    # A first word that only a spelling gives.
+    known = {"a": "Noninfringement is meant", "b": "Version 2 of it", "c": "Favoured"}
+    docs = docs_of(spark, ["x\nNon-infringement is meant", "V2.0 of it\ny", "favored"])
+    got = {r["doc_id"]: r["notices"] for r in licenses.report(docs, known=known).collect()}
+    assert [got[i] for i in range(3)] == list("abc")
