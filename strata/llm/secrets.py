@@ -5,6 +5,11 @@ hashed, and the hashes are aggregated over the whole corpus by distinct owner
 and distinct repository: a value that many owners carry is a copied example
 (documentation, test fixtures), one that stays with few owners looks live.
 
+The verdict goes by distinct owners alone: a value with at most MAX_OWNERS of
+them looks live in however many of their repositories it is, since an owner may
+well copy a live secret around. ``frequencies`` returns both counts per value,
+for those who want to judge by repositories too.
+
 Kinds ``assign``, ``access`` and ``hex`` are always reported. Kinds ``vendor``
 (provider-specific shapes) and ``mixed`` (long strings mixing cases and digits)
 are reported only if they look live and touch no span of the first three.
@@ -101,8 +106,8 @@ def candidates(text: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct owners and repositories of each value ``h`` in ``found``
-    (h, owner, repo)."""
+    """Distinct owners and repositories (each within its owner) of each value
+    ``h`` in ``found`` (h, owner, repo)."""
     per_repo = found.groupBy("h", "owner", "repo").agg(F.lit(1).alias("one"))
     per_owner = per_repo.groupBy("h", "owner").agg(F.count("*").alias("repos"))
     return per_owner.groupBy("h").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
@@ -130,6 +135,12 @@ def exploded(scanned: DataFrame) -> DataFrame:
     return scanned.where(F.size("c") > 0).select("rid", "owner", "repo", F.explode("c").alias("x")).select("rid", "owner", "repo", "x.*")
 
 
+def frequencies(docs: DataFrame, text: str = "text", owner: str = "source", repo: str = "doc_id", max_owners: int = MAX_OWNERS) -> DataFrame:
+    """One row per candidate value: its SHA-256 ``h``, the distinct owners and
+    (owner, repository) pairs that carry it, and ``live``, the verdict of ``judge``."""
+    return ownership(exploded(scan(docs, text, owner, repo))).select("h", "n_owners", "n_repos", (F.col("n_owners") <= max_owners).alias("live"))
+
+
 def _listed(spans: Column) -> Column:
     names = F.array(*[F.lit(k[0]) for k in KINDS])
     return F.array_join(

@@ -452,3 +452,14 @@ def test_license_notices_in_every_spelling(spark):
     docs = docs_of(spark, ["x\nNon-infringement is meant", "V2.0 of it\ny", "favored"])
     got = {r["doc_id"]: r["notices"] for r in licenses.report(docs, known=known).collect()}
     assert [got[i] for i in range(3)] == list("abc")
+
+
+# 4 --------------------------------------------------------------------------
+def test_secret_frequencies_count_owners_and_repositories(spark):
+    hot, spread = "AKIA" + "Q" * 16, "AKIA" + "R" * 16
+    rows = [(i, f"it is {hot} here", "en", "one", 0) for i in range(5)] + [(i, f"it is {spread} here", "en", f"s{i}", 0) for i in range(3)] * 2
+    rows += [(9, f"{hot} and {hot}", "en", None, 0), (9, None, "en", "one", 0)]
+    got = {r["h"]: (r["n_owners"], r["n_repos"], r["live"]) for r in secrets.frequencies(spark.createDataFrame(rows, DOCS)).collect()}
+    name = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert got == {name(hot): (2, 6, True), name(spread): (3, 3, False)}
+    assert secrets.frequencies(spark.createDataFrame([], DOCS)).count() == 0
