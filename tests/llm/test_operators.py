@@ -463,3 +463,17 @@ def test_secret_frequencies_count_owners_and_repositories(spark):
     name = lambda x: hashlib.sha256(x.encode()).hexdigest()
     assert got == {name(hot): (2, 6, True), name(spread): (3, 3, False)}
     assert secrets.frequencies(spark.createDataFrame([], DOCS)).count() == 0
+
+
+# 7 --------------------------------------------------------------------------
+def test_toxicity_cuts_come_from_rows_that_were_not_fitted(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [f"text {i} " + " ".join(rng.choice(list("abcdefgh"), 9)) + (" zorkle" if i % 3 == 0 else "") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, toxic int")
+    seen = {}
+    scale, calibrate = toxicity._scale, toxicity.calibrate
+    monkeypatch.setattr(toxicity, "_scale", lambda m, t, y: (seen.update(back=list(t)), scale(m, t, y)))
+    monkeypatch.setattr(toxicity, "calibrate", lambda m, t, g, y: (seen.update(cuts=list(t), langs=list(g), y=list(y)), calibrate(m, t, g, y)))
+    toxicity.fit(docs_of(spark, texts), labels)
+    assert seen["cuts"] == seen["back"] and 40 <= len(seen["cuts"]) <= 80
+    assert seen["y"] == [int(t.endswith("zorkle")) for t in seen["cuts"]] and set(seen["langs"]) == {"en"}
