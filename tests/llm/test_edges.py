@@ -88,7 +88,54 @@ def test_pipeline_stages_on_a_small_table(spark, tmp_dir):
     got = corpus_pipeline.run(spark, tmp_dir).collect()
     assert sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in got) == sorted(
         (r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in seen["packing"]
-    ) or len(got) > 0
+    )
+
+
+def test_pipeline_run_equals_a_plain_pass(spark, tmp_dir):
+    import re
+    import zlib
+    from collections import Counter
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    text = "Then the old man told them a long story about the sea and the moon and the quiet harbour"
+    shared = "AKIA" + "Q" * 16
+    rows = [(0, text, "en", "a", 1), (1, text + " today", "en", "b", 1), (2, None, "en", "a", None), (3, "", "fr", "b", 0), (9, text, "en", "c", 1),
+            (4, "token = 'Abcdef1234567890' is what the file says and nothing else matters much here", "en", "a", 1)]
+    rows += [(5 + i, f"example {shared} number {i} is copied by everyone {i * 3} times {i * 5}", "en", "abc"[i], 1) for i in range(3)]
+    rows += [(10 + i, " ".join(f"w{i}x{j}" for j in range(5 + 37 * i)), "en", "abc"[i % 3], 1) for i in range(30)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_dir}/documents.parquet")
+    # Labels of one class: nothing is toxic.
+    spark.createDataFrame([(r[0], 1, 0) for r in rows], LABELS).write.parquet(f"{tmp_dir}/labels.parquet")
+
+    def shingles(t):
+        ws = (t or "").split()
+        return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
+
+    # Smallest id first, so a linked row always meets the one that stays.
+    kept = []
+    for r in sorted(rows, key=lambda r: r[0]):
+        mine = shingles(r[1])
+        if not any(mine and 5 * len(mine & s) >= 4 * len(mine | s) for s in (shingles(k[1]) for k in kept)):
+            kept.append(r)
+    assert {r[0] for r in rows} - {r[0] for r in kept} == {1, 9}
+    secret = re.compile(r"token = 'Abcdef1234567890")
+    clean = [(r[0], r[1] and secret.sub(secrets.PLACEHOLDER, r[1]), *r[2:]) for r in kept]
+    copies = {r["doc_id"]: r["copies"] for r in mixing.report(spark.createDataFrame(clean, DOCS)).collect()}
+    assert len(copies) == len(clean) and sum(copies.values()) > len(clean) // 2
+    lib = Tokenizer.from_file(tokenizer_path())
+    ids = {r[0]: lib.encode(r[1] or "", add_special_tokens=False).ids + [packing.CLOSING_ID] for r in clean}
+    want = Counter({(d, i): n for d, n in copies.items() if n for i in range(len(ids[d]))})
+    got, places = Counter(), Counter()
+    for r in corpus_pipeline.run(spark, tmp_dir).collect():
+        part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert len(part) == r["length"] and r["doc_tokens"] == len(ids[r["doc_id"]])
+        assert r["ids_crc32"] == zlib.crc32(np.array(part, dtype="<u4").tobytes()), r
+        got.update((r["doc_id"], r["start"] + i) for i in range(r["length"]))
+        places.update((r["sequence_id"], r["offset"] + i) for i in range(r["length"]))
+    assert got == want
+    assert max(places.values()) == 1 and max(o for _, o in places) < packing.CAPACITY
 
 
 @pytest.mark.parametrize("sql_only", [True])
