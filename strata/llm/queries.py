@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, jaccard, licenses, mixing, neighbours, packing, quality, secrets, toxicity, warc
+from strata.llm import (
+    chat, collocations, jaccard, licenses, maxscore, mixing, neighbours, packing, prefix_trie, quality, secrets, toxicity, warc,
+)
 from strata.llm.common import table
 
 QUERIES: dict = {}
@@ -78,6 +80,21 @@ def op10_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def _sql(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -210,3 +227,52 @@ c AS (SELECT rid, doc_id, sha256({_canonical_sql('t')}) AS digest FROM d),
 l AS (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d),
 n AS (SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM l JOIN known ON known.digest = sha256({_canonical_sql('x')}) GROUP BY rid)
 SELECT doc_id, digest, license, coalesce(notices, '') AS notices FROM c LEFT JOIN known USING (digest) LEFT JOIN n USING (rid)"""
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH bits(n, c) AS (SELECT n, list_reduce(list_prepend(n, generate_series(1, 8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+               FROM (SELECT unnest(generate_series(0::BIGINT, 255::BIGINT)) AS n)),
+crc(tab) AS (SELECT list(c ORDER BY n) FROM bits),
+o AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+      FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT c, list({{'r': r, 'x': x}} ORDER BY pos) AS ts FROM o GROUP BY c),
+h AS (SELECT c, ts, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+             lambda a, d: xor(a >> 8, tab[(xor(a, d) & 255) + 1])), 4294967295) % {prefix_trie.HEADS} AS h FROM l, crc),
+b AS (SELECT h.c, list_concat(coalesce(list_slice(l.ts, 1, h), []), list_slice(h.ts, h + 1, len(h.ts))) AS ts
+      FROM h LEFT JOIN l ON l.c = h.c - h.c % {prefix_trie.GROUP}),
+m AS (SELECT c, d, ts[1:d] AS p, len(ts) AS n FROM (SELECT *, unnest(generate_series(0, len(ts))) AS d FROM b)),
+g AS (SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, max(n) = d AS leaf,
+             coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends,
+             CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(p[d].x, {_W})) END AS saved FROM m GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM g WHERE d > 0 GROUP BY ALL),
+s AS (SELECT p[1:i] AS p, sum(leaf::INT) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(generate_series(0, d)) AS i FROM g) GROUP BY ALL)
+SELECT g.conv_id, g.d::BIGINT AS depth, u.conv_id AS parent_conv_id, g.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(g.ends) AS ends_sha256
+FROM g JOIN s ON s.p = g.p LEFT JOIN k ON k.p = g.p LEFT JOIN g u ON g.d > 0 AND u.d = g.d - 1 AND u.p = g.p[1:g.d - 1]"""
+
+ORACLES["op12_maxscore"] = f"""
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({maxscore.FACTOR} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, max(list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * c.v[i])))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+ORACLES["op13_collocations"] = f"""
+WITH d AS (SELECT coalesce(lang, '{collocations.UNKNOWN}') AS lang,
+                  unnest(string_split_regex(translate(coalesce(text, ''), '{quality.UPPER}', '{quality.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM d),
+i AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM w WHERE len(ws) > 0),
+n AS (SELECT lang, count(*) AS n FROM i GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, ws[i:i + k - 1] AS g, count(*) AS a FROM i, (VALUES (1), (2), (3), (4)) t(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+c AS (SELECT *, unnest(generate_series(1, len(g) - 1)) AS cut FROM f WHERE len(g) > 1),
+s AS (SELECT c.lang, c.g, c.a, x.a AS l, y.a AS r, ({collocations.SCALE}::HUGEINT * c.a) // (x.a + y.a) AS score,
+             row_number() OVER (PARTITION BY c.lang, c.g ORDER BY ({collocations.SCALE}::HUGEINT * c.a) // (x.a + y.a), cut) AS no
+      FROM c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:cut] JOIN f y ON y.lang = c.lang AND y.g = c.g[cut + 1:len(c.g)]),
+z AS (SELECT lang, g[u:u + m - 1] AS g, max(a) AS longer
+      FROM (SELECT *, unnest(generate_series(1, 3)) AS u FROM f WHERE len(g) > 2), (VALUES (2), (3)) t(m)
+      WHERE m < len(g) AND u + m - 1 <= len(g) GROUP BY ALL),
+q AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, array_to_string(s.g, ' ')) AS rank
+      FROM s LEFT JOIN z ON z.lang = s.lang AND z.g = s.g WHERE no = 1 AND (longer IS NULL OR 100::HUGEINT * longer < {collocations.COVER}::HUGEINT * s.a))
+SELECT q.lang, rank::BIGINT AS rank, array_to_string(g, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n.n::BIGINT AS n, score::BIGINT AS score
+FROM q JOIN n USING (lang) WHERE rank <= {collocations.TOP}"""

@@ -142,7 +142,7 @@ def test_pipeline_run_equals_a_plain_pass(spark, tmp_dir):
 def test_every_query_is_registered(sql_only):
     from strata.llm import queries
 
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
