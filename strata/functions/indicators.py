@@ -153,12 +153,15 @@ def month_slice(df: DataFrame, month: str | None, date_col: str = "date") -> Dat
 
 # N4 ------------------------------------------------------------------------
 def star_join(fact: DataFrame, dim_date: DataFrame, dim_company: DataFrame | None = None) -> DataFrame:
-    """fact ⋈ dim_date (on date) [⋈ dim_company (on symbol)]; AQE broadcasts
-    the dimensions whose measured bytes allow it."""
+    """fact ⋈ dim_date (on date) [⟕ dim_company (on symbol)]; AQE broadcasts
+    the dimensions whose measured bytes allow it. A fact whose company is not
+    there (or not yet) keeps NULLs instead of vanishing; company columns that
+    the fact has too stay out."""
     wanted = ["year", "quarter", "month", "week_day", "is_month_end"]
     extra = [c for c in wanted if c not in fact.columns]
     # A fact partitioned by year/month already carries those two columns.
     out = lookup(fact, dim_date.select("date", *extra), ["date"])
     if dim_company is not None:
-        out = lookup(out, dim_company, ["symbol"])
+        extra = [c for c in dim_company.columns if c == "symbol" or c not in out.columns]
+        out = lookup(out, dim_company.select(*extra), ["symbol"], "left")
     return out

@@ -90,6 +90,14 @@ def dim_company(silver_company: DataFrame, newest: str | None = "ingestion_times
     return latest.withColumn("company_sk", hash_key_expr(["symbol"]))
 
 
+def missing_members(facts: DataFrame, dim: DataFrame, key: str = "symbol", sk: str = "company_sk") -> DataFrame:
+    """Dimension rows, empty but for the key and its hash, for the keys of
+    ``facts`` that ``dim`` lacks (members that arrive late)."""
+    new = facts.where(q(key).isNotNull()).select(q(key)).distinct().join(dim.select(q(key)), [key], "left_anti")
+    known = {key: q(key), sk: hash_key_expr([key])}
+    return new.select(*[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in dim.schema.fields])
+
+
 # G5 ------------------------------------------------------------------------
 def fact_macro(feeds: dict[str, DataFrame], dim: DataFrame) -> DataFrame:
     """Macro facts: each feed tagged with its code, joined to the indicator

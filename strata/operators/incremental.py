@@ -35,6 +35,21 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
+#: The stored ledger: each file with the load that took it in.
+FILES_SCHEMA = T.StructType(
+    [*LEDGER_SCHEMA.fields, T.StructField("entity", T.StringType(), True), T.StructField("load", T.IntegerType(), True)]
+)
+
+#: Committed bronze loads: number, stamp and files.
+LOADS_SCHEMA = T.StructType(
+    [
+        T.StructField("entity", T.StringType(), False),
+        T.StructField("load", T.IntegerType(), False),
+        T.StructField("processed_time", T.TimestampType(), True),
+        T.StructField("files", T.LongType(), True),
+    ]
+)
+
 
 def empty_marks(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], MARKS_SCHEMA)

@@ -126,7 +126,7 @@ def _reject_columns(df, contract, rename, null_tokens):
         bad = raw.isNotNull() & raw.try_cast(f.dataType).isNull()
         if null_tokens:
             bad = bad & ~F.trim(raw).isin(*null_tokens)
-        out.append((f.name, bad))
+        out.append((f.name, bad, raw))
     return out
 
 
@@ -143,12 +143,32 @@ def reject_counts(
     checks = _reject_columns(df, contract, rename, null_tokens)
     if not checks:
         return df.agg(F.lit(0).cast("long").alias("rejected"))
-    sums = [F.sum(F.when(bad, 1).otherwise(0)).cast("long").alias(name) for name, bad in checks]
+    sums = [F.sum(F.when(bad, 1).otherwise(0)).cast("long").alias(name) for name, bad, _ in checks]
     out = df.agg(*sums)
-    total = reduce(add, [q(name) for name, _ in checks])
+    total = reduce(add, [q(name) for name, *_ in checks])
     return out.select("*", total.alias("rejected"))
 
 
+def rejected_values(
+    df: DataFrame,
+    contract: T.StructType,
+    rename: dict[str, str] | None = None,
+    null_tokens: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per value that failed its cast (X3): the lineage columns of
+    ``keep``, its column and the raw value as it came. One projection next to
+    :func:`conform`, without a shuffle; rows without a reject make none."""
+    kept = [q(c) for c in keep if c in df.columns]
+    none = F.lit(None).cast("struct<column:string,raw:string>")
+    found = [
+        F.when(bad, F.struct(F.lit(name).alias("column"), raw.cast("string").alias("raw")))
+        for name, bad, raw in _reject_columns(df, contract, rename, null_tokens)
+    ]
+    each = F.filter(F.array(none, *found), lambda x: x.isNotNull())
+    return df.select(*kept, F.explode(each).alias("_r")).select(*kept, "_r.column", "_r.raw")
+
+
 # P8 -------------------------------------------------------------------
 def drop_columns(df: DataFrame, cols) -> DataFrame:
     """Drop many columns in one projection."""

@@ -10,30 +10,32 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import spec
 from strata.operators import dims
 from strata.operators.clean import apply_rules
 from strata.operators.dedup import dedup_latest
 from strata.operators.incremental import (
+    DEFAULT_MARK,
+    FILES_SCHEMA,
+    LOADS_SCHEMA,
     MARKS_SCHEMA,
-    LEDGER_SCHEMA,
-    batch_mark,
     incremental,
     mark_rows,
     mark_value,
     next_stamp,
     reset_mark,
-    unmark_files,
     unprocessed_files,
 )
-from strata.operators.shape import bounded_width, conform, explode_array_struct, explode_map, get_fields, q, reject_counts
+from strata.operators.shape import bounded_width, conform, explode_array_struct, explode_map, get_fields, q, rejected_values
 from strata.sources import tables
-from strata.sources.landing import CORRUPT, list_files, scan_landing, split_corrupt, quarantine
-from strata.session import materialize
+from strata.sources.landing import CORRUPT, lines_of, list_files, parse_lines, quarantine, scan_landing, split_corrupt
+from strata.session import materialize, materialize_with_mark
 
 LINEAGE = ("filename",)
 
@@ -80,12 +82,27 @@ def scan(spark: SparkSession, path: str | list[str], entity: spec.EntitySpec, li
     return scan_landing(spark, path, entity.read_schema, lineage_pattern=lineage_pattern)
 
 
-def rejects(good: DataFrame, entity: spec.EntitySpec) -> DataFrame:
-    """(column, rejected): how many values of each column did not cast."""
-    counts = reject_counts(shape(good, entity), entity.contract, entity.rename or None)
-    names = [c for c in counts.columns if c != "rejected"]
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(q(c), F.lit(0)).alias("rejected")) for c in names])
-    return counts.select(F.explode(pairs).alias("r")).select("r.*").where("rejected > 0")
+def scan_files(spark: SparkSession, path: str, files: DataFrame, low, high, entity: spec.EntitySpec,
+               lineage_pattern: str | None = None) -> DataFrame:
+    """Payloads of the listed files of a landing folder."""
+    return parse_lines(lines_of(spark, path, files, low, high, lineage_pattern), entity.read_schema)
+
+
+def rejected(good: DataFrame, entity: spec.EntitySpec) -> DataFrame:
+    """(filename, column, raw): each value that did not cast."""
+    return rejected_values(shape(good, entity), entity.contract, entity.rename or None, keep=LINEAGE)
+
+
+def rejects(values: DataFrame) -> DataFrame:
+    """(column, rejected): how many values of each column did not cast."""
+    return values.groupBy("column").agg(F.count("*").alias("rejected"))
+
+
+def _empty_companies(spark: SparkSession) -> DataFrame:
+    """The company dimension before any company."""
+    more = [T.StructField("filename", T.StringType()), T.StructField("ingestion_timestamp", T.TimestampType())]
+    none = spark.createDataFrame([], T.StructType([*spec.COMPANY_CONTRACT.fields, *more]))
+    return dims.dim_company(none).withColumn("delivered", F.lit(True)).limit(0)
 
 
 #: Gold tables that one entity alone fills.
@@ -94,37 +111,65 @@ GOLD_OF = {
     spec.SMA.name: "fact_simple_moving_average",
     spec.COMPANY.name: "dim_company",
 }
+#: Codes of the feeds that share the macro tables.
+MACRO = {spec.FFR.name: spec.FFR_CODE, spec.INFLATION.name: spec.INFLATION_CODE}
+#: Tables whose rows carry the number of their load, as a partition.
+_BY_LOAD = ("bronze", "rejects", "rejected_values", "quarantine")
+#: Files of a control table beyond which it is written anew as one.
+TAIL = 32
 
 
 class Lake:
     """Table-backed medallion run with marks and a file ledger.
 
     Tables live in the session catalog as ``{db}.{layer}_{entity}``; data is
-    written under ``root``. Marks are committed after the data (X2), and the
-    ledger and the marks are appended to; the greatest mark counts. Every load
-    gets a stamp later than the last one of its table, so a reader after a mark
-    misses no rows when two runs carry the same time. Feeds may be loaded in
-    several threads; a lock guards the two shared control tables.
-    ``lineage_pattern`` picks
-    the object's name from a landing path (default: the file's base name).
+    written under ``root``.
+
+    A bronze load has a number. Its file names (the ledger), its rows, rejects
+    and quarantined lines go to partitions of that number, and one row in
+    ``loads`` commits them all; rows of a later number do not exist for
+    ``read``. A load that failed is done again under the same number, after
+    what it left is dropped, so each line arrives once.
+
+    Marks are committed after the data (X2); the greatest mark counts. Marks and
+    loads are appended to and written anew as one small snapshot once their tail
+    has ``TAIL`` files; the ledger's older loads are merged then, too. Every
+    load gets a stamp later than the last one of its table, so a reader after a
+    mark misses no rows when two runs carry the same time.
+
+    Feeds may be loaded in several threads; a lock guards the control tables.
+    ``lineage_pattern`` picks the object's name from a landing path (default:
+    the file's base name). ``tag`` is added to all table names: a replay builds
+    a tagged copy beside the live tables.
     """
 
-    def __init__(self, spark: SparkSession, root: str, db: str = "strata", lineage_pattern: str | None = None, max_files: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, db: str = "strata", lineage_pattern: str | None = None,
+                 max_files: int | None = None, tag: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
         self.db = db
         self.lineage_pattern = lineage_pattern
         self.max_files = max_files
+        self.tag = tag
         self._control = threading.RLock()
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.root}/_db'")
-        tables.create_table_if_missing(spark, self.t("ledger"), spark.createDataFrame([], LEDGER_SCHEMA))
+        if not tag:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.root}/_db'")
+        tables.create_table_if_missing(spark, self.t("ledger"), spark.createDataFrame([], FILES_SCHEMA), ("entity", "load"))
+        tables.create_table_if_missing(spark, self.t("loads"), spark.createDataFrame([], LOADS_SCHEMA))
         tables.create_table_if_missing(spark, self.t("marks"), spark.createDataFrame([], MARKS_SCHEMA))
 
     def t(self, name: str) -> str:
-        return f"{self.db}.{name}"
+        return f"{self.db}.{name}{self.tag}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.table(self.t(name))
+        """The committed rows of a table."""
+        layer, _, entity = name.partition("_")
+        if name.startswith("rejected_values_"):
+            layer, entity = "rejected_values", name[len("rejected_values_"):]
+        rows = self.spark.table(self.t(name))
+        if layer in _BY_LOAD:
+            return rows.where(F.col("load") <= self.last_load(entity)[0]).drop("load")
+        return rows
 
     def exists(self, name: str) -> bool:
         return tables.table_exists(self.spark, self.t(name))
@@ -134,13 +179,16 @@ class Lake:
         df = self.read(name)
         return (df.orderBy(*order_by) if order_by else df).limit(n)
 
-    def _append(self, name: str, df: DataFrame, partition_by=()) -> None:
-        tables.append_or_create(self.spark, self.t(name), bounded_width(df, self.max_files), partition_by)
+    # control tables -------------------------------------------------------
+    def _append_control(self, name: str, rows: DataFrame, keys) -> None:
+        """Add rows to a control table of which the greatest row per key counts."""
+        with self._control:
+            tables.append_table(self.spark, self.t(name), rows.coalesce(1))
+            if tables.file_count(self.spark, self.t(name)) > TAIL:
+                tables.replace_table(self.spark, self.t(name), dedup_latest(self.read(name), keys, []).coalesce(1))
 
     def _commit(self, consumer: str, new_marks: dict) -> None:
-        rows = mark_rows(self.spark, consumer, new_marks)
-        with self._control:
-            tables.append_table(self.spark, self.t("marks"), rows.coalesce(1))
+        self._append_control("marks", mark_rows(self.spark, consumer, new_marks), ["consumer", "source"])
 
     def _stamp(self, table: str, run_ts: dt.datetime) -> dt.datetime:
         """The stamp of a load, taken before its data is written."""
@@ -149,30 +197,76 @@ class Lake:
             self._commit("stamp", {table: stamp})
         return stamp
 
+    def last_load(self, entity_name: str) -> tuple[int, dt.datetime]:
+        """Number and stamp of the last committed bronze load; (0, the default
+        mark) before the first."""
+        last = self.read("loads").where(F.col("entity") == entity_name).agg(F.max(F.struct("load", "processed_time")).alias("m")).first()["m"]
+        return (last["load"], last["processed_time"]) if last else (0, DEFAULT_MARK)
+
+    def ledger(self, entity_name: str) -> DataFrame:
+        """The files of an entity's committed loads."""
+        number = self.last_load(entity_name)[0]
+        return self.read("ledger").where((F.col("entity") == entity_name) & (F.col("load") <= number))
+
+    def _merge_ledger(self, entity_name: str, number: int) -> None:
+        """Older loads' partitions of the ledger as one, load 0, in a new
+        generation: the number of its files stays bounded."""
+        if number % TAIL:
+            return
+        with self._control:
+            mine = F.col("entity") == entity_name
+            load = F.when(mine & (F.col("load") <= number), 0).otherwise(F.col("load"))
+            tables.replace_table(self.spark, self.t("ledger"), self.read("ledger").withColumn("load", load), ("entity", "load"))
+
     # bronze ---------------------------------------------------------------
+    def _put(self, name: str, df: DataFrame, number: int, partition_by=()) -> None:
+        """The rows of one load, in place of what an earlier try wrote."""
+        rows = bounded_width(df.withColumn("load", F.lit(number)), self.max_files)
+        tables.overwrite_partitions(self.spark, self.t(name), rows, ("load", *partition_by))
+
+    def _discard(self, entity: spec.EntitySpec, number: int) -> None:
+        """Drop what a failed try of this load left. The ledger is written
+        first, so an unused number has no rows there."""
+        left = (F.col("entity") == entity.name) & (F.col("load") == number)
+        if self.read("ledger").where(left).isEmpty():
+            return
+        for layer in _BY_LOAD:
+            tables.drop_partitions_where(self.spark, self.t(f"{layer}_{entity.name}"), F.col("load") == number)
+        with self._control:
+            tables.drop_partitions_where(self.spark, self.t("ledger"), left)
+
     def load_bronze(self, entity: spec.EntitySpec, landing_path: str, run_ts: dt.datetime) -> int:
         """Ingest landing files not yet in the ledger; returns the number
-        of newly processed files. The ledger holds full paths; names come from
-        a listing, and only the new files are opened. Data first, then the
-        ledger. Only this run's new file names reach the driver, as they do in
-        any listing."""
-        new = [r[0] for r in unprocessed_files(list_files(self.spark, landing_path), self.read("ledger")).collect()]
+        of newly processed files. The list of new files is an anti-join that is
+        stored and never leaves Spark; the driver sees its size and the span of
+        its modification times, by which the scan prunes the files that it
+        opens, and a semi-join on the literal path picks the lines."""
+        spark = self.spark
         bronze_name = f"bronze_{entity.name}"
-        if not new and self.exists(bronze_name):
+        done, last = self.last_load(entity.name)
+        files = list_files(spark, landing_path)
+        new = materialize(unprocessed_files(files, self.read("ledger").where((F.col("entity") == entity.name) & (F.col("load") <= done))))
+        n, low, high = new.agg(F.count("*"), F.min("modified"), F.max("modified")).first()
+        if not n and self.exists(bronze_name):
             return 0
-        stamp = self._stamp(bronze_name, run_ts)
-        raw = scan(self.spark, new or landing_path, entity, self.lineage_pattern)
-        # Read by three writes (bronze, rejects, quarantine): evaluate once.
-        raw = materialize(raw if new else raw.limit(0))
+        number, stamp = done + 1, next_stamp(run_ts, last)
+        self._discard(entity, number)
+        at = F.lit(stamp).cast("timestamp")
+        if n:
+            rows = new.select("filename", at.alias("processed_time"), F.lit(entity.name).alias("entity"), F.lit(number).alias("load"))
+            with self._control:
+                tables.overwrite_partitions(spark, self.t("ledger"), rows)
+        # Read by several writes (bronze, rejects, quarantine): evaluate once.
+        raw = materialize(scan_files(spark, landing_path, new, low, high, entity, self.lineage_pattern))
         good, bad = split_corrupt(raw)
-        self._append(bronze_name, bronze(good, entity, stamp), entity.partition_by)
-        self._append(f"rejects_{entity.name}", rejects(good, entity).withColumn("ingestion_timestamp", F.lit(stamp).cast("timestamp")))
-        self._append(f"quarantine_{entity.name}", quarantine(bad))
-        # The listed names, not a second listing: files may have come meanwhile.
-        done = self.spark.createDataFrame([(f, stamp) for f in new], LEDGER_SCHEMA)
-        with self._control:
-            tables.append_table(self.spark, self.t("ledger"), done.coalesce(1))
-        return len(new)
+        self._put(bronze_name, bronze(good, entity, stamp), number, entity.partition_by)
+        self._put(f"rejected_values_{entity.name}", rejected(good, entity), number)
+        values = spark.table(self.t(f"rejected_values_{entity.name}")).where(F.col("load") == number)
+        self._put(f"rejects_{entity.name}", rejects(values).withColumn("ingestion_timestamp", at), number)
+        self._put(f"quarantine_{entity.name}", quarantine(bad), number)
+        self._append_control("loads", spark.createDataFrame([(entity.name, number, stamp, n)], LOADS_SCHEMA), ["entity"])
+        self._merge_ledger(entity.name, number)
+        return n
 
     # silver ---------------------------------------------------------------
     def load_silver(self, entity: spec.EntitySpec, run_ts: dt.datetime, inclusive: bool = True) -> bool:
@@ -181,11 +275,10 @@ class Lake:
         batch, after the upsert. Returns False for an empty batch."""
         mark = mark_value(self.read("marks"), "silver", entity.name)
         batch = incremental(self.read(f"bronze_{entity.name}"), "ingestion_timestamp", mark, inclusive, distinct=False)
-        # One pass over the batch: clean + dedup, materialised; the mark (max
-        # timestamp of the cleaned batch, I5 -- dedup keeps the newest row per
-        # key, so it cannot change that maximum) is read from that copy.
-        cleaned = materialize(silver(batch, entity))
-        new_mark = batch_mark(cleaned, "ingestion_timestamp")
+        # One pass: clean and dedup; the mark (max timestamp of the cleaned
+        # batch, I5 -- dedup keeps the newest row per key, so it cannot change
+        # that maximum) is observed while the rows are written.
+        cleaned, new_mark = materialize_with_mark(silver(batch, entity), "ingestion_timestamp")
         if new_mark is None:
             return False
         name = f"silver_{entity.name}"
@@ -203,71 +296,165 @@ class Lake:
             return None, None
         mark = mark_value(self.read("marks"), "gold", source)
         rows = self.read(f"silver_{source}")
-        batch = materialize(incremental(rows, "ingestion_timestamp", mark, inclusive, distinct=False))
-        return batch, batch_mark(batch, "ingestion_timestamp")
+        return materialize_with_mark(incremental(rows, "ingestion_timestamp", mark, inclusive, distinct=False), "ingestion_timestamp")
 
     def load_gold(self, run_ts: dt.datetime, calendar_end_year: int) -> None:
-        """Dimensions before facts; one mark per (gold, source)."""
-        spark = self.spark
-        # dim_date: add only the missing days.
-        start, end = dims.calendar_bounds(spec.CALENDAR_START_YEAR, calendar_end_year)
+        """Dimensions before facts; one mark per (gold, source). Members
+        that facts name before their company was delivered come last."""
+        self._load_calendar(calendar_end_year)
+        self._load_companies(run_ts)
+        self._load_macro(list(MACRO))
+        for entity in (spec.TSD, spec.SMA):
+            self._load_fact(entity, run_ts)
+
+    def _load_calendar(self, end_year: int) -> None:
+        """Add only the missing days."""
+        start, end = dims.calendar_bounds(spec.CALENDAR_START_YEAR, end_year)
         if self.exists("dim_date"):
-            missing = materialize(dims.calendar_missing_days(spark, self.read("dim_date"), start, end))
+            missing = materialize(dims.calendar_missing_days(self.spark, self.read("dim_date"), start, end))
             if not missing.isEmpty():
-                tables.append_table(spark, self.t("dim_date"), missing)
+                tables.append_table(self.spark, self.t("dim_date"), missing)
         else:
-            tables.replace_table(spark, self.t("dim_date"), dims.dim_date(spark, start, end))
-
+            tables.replace_table(self.spark, self.t("dim_date"), dims.dim_date(self.spark, start, end))
+
+    def _load_companies(self, run_ts: dt.datetime) -> None:
+        """A filing of an older quarter never replaces a newer one, any
+        filing replaces a placeholder."""
+        batch, mark = self._gold_batch(spec.COMPANY.name)
+        if mark is None:
+            return
+        at = F.lit(self._stamp("dim_company", run_ts)).cast("timestamp")
+        rows = dims.dim_company(batch).withColumns({"ingestion_timestamp": at, "delivered": F.lit(True)})
+        tables.upsert_table(
+            self.spark, self.t("dim_company"), materialize(rows), ["symbol"], newest="ingestion_timestamp", prepared=True,
+            latest_by=("delivered", *spec.COMPANY.latest_by),
+        )
+        self._commit("gold", {spec.COMPANY.name: mark})
+
+    def _add_members(self, facts: DataFrame, run_ts: dt.datetime) -> None:
+        """A placeholder in the company dimension for each symbol of a fact
+        that has no row there yet, so a star join loses no fact."""
+        like = self.read("dim_company") if self.exists("dim_company") else _empty_companies(self.spark)
+        missing = materialize(dims.missing_members(facts, like))
+        if missing.isEmpty():
+            return
+        at = F.lit(self._stamp("dim_company", run_ts)).cast("timestamp")
+        rows = missing.withColumns({"ingestion_timestamp": at, "delivered": F.lit(False)}).select(*like.columns)
+        tables.upsert_table(self.spark, self.t("dim_company"), materialize(rows), ["symbol"], prepared=True)
+
+    def _load_macro(self, sources: list[str]) -> None:
         # dim_indicator from all silver macro rows (small, distinct). A feed
         # that was never delivered has no silver table and adds nothing.
-        macro = {spec.FFR_CODE: spec.FFR.name, spec.INFLATION_CODE: spec.INFLATION.name}
-        feeds_all = {code: self.read(f"silver_{n}") for code, n in macro.items() if self.exists(f"silver_{n}")}
-        if feeds_all:
-            tables.upsert_table(spark, self.t("dim_indicator"), dims.dim_indicator(feeds_all), list(dims.INDICATOR_COLS))
-
-        # dim_company: a filing of an older quarter never replaces a newer one.
-        comp, comp_mark = self._gold_batch(spec.COMPANY.name)
-        if comp_mark is not None:
-            d = dims.dim_company(comp).withColumn("ingestion_timestamp", F.lit(self._stamp("dim_company", run_ts)).cast("timestamp"))
-            tables.upsert_table(
-                spark, self.t("dim_company"), materialize(d), ["symbol"], newest="ingestion_timestamp", prepared=True,
-                latest_by=spec.COMPANY.latest_by,
-            )
-            self._commit("gold", {spec.COMPANY.name: comp_mark})
-
+        feeds = {MACRO[n]: self.read(f"silver_{n}") for n in sources if self.exists(f"silver_{n}")}
+        if feeds:
+            tables.upsert_table(self.spark, self.t("dim_indicator"), dims.dim_indicator(feeds), list(dims.INDICATOR_COLS))
         # fact_macro: one mark per feed (I4); an empty feed keeps its mark.
-        batches = {code: self._gold_batch(n) for code, n in macro.items()}
-        new = {code: batch for code, (batch, m) in batches.items() if m is not None}
+        batches = {n: self._gold_batch(n) for n in sources}
+        new = {MACRO[n]: batch for n, (batch, m) in batches.items() if m is not None}
         if new:
             f = dims.fact_macro(new, self.read("dim_indicator"))
-            tables.upsert_table(spark, self.t("fact_macro_indicator"), materialize(f), ["date", "indicator_sk"], prepared=True)
-            self._commit("gold", {macro[code]: batches[code][1] for code in new})
-
-        for entity, build in ((spec.TSD, dims.fact_tsd), (spec.SMA, dims.fact_sma)):
-            batch, m = self._gold_batch(entity.name)
-            if m is None:
-                continue
-            name = GOLD_OF[entity.name]
-            # Silver holds one row per key already, and so does its batch.
-            fact = build(batch, unique=True).withColumn("ingestion_timestamp", F.lit(self._stamp(name, run_ts)).cast("timestamp"))
-            tables.upsert_table(
-                spark, self.t(name), materialize(fact), entity.keys, entity.partition_by, prepared=True, moves="date" not in entity.keys
-            )
-            self._commit("gold", {entity.name: m})
+            tables.upsert_table(self.spark, self.t("fact_macro_indicator"), materialize(f), ["date", "indicator_sk"], prepared=True)
+            self._commit("gold", {n: m for n, (_, m) in batches.items() if m is not None})
+
+    def _load_fact(self, entity: spec.EntitySpec, run_ts: dt.datetime) -> None:
+        batch, mark = self._gold_batch(entity.name)
+        if mark is None:
+            return
+        name = GOLD_OF[entity.name]
+        build = dims.fact_tsd if entity is spec.TSD else dims.fact_sma
+        # Silver holds one row per key already, and so does its batch.
+        fact = build(batch, unique=True).withColumn("ingestion_timestamp", F.lit(self._stamp(name, run_ts)).cast("timestamp"))
+        tables.upsert_table(
+            self.spark, self.t(name), materialize(fact), entity.keys, entity.partition_by, prepared=True, moves="date" not in entity.keys
+        )
+        self._add_members(batch, run_ts)
+        self._commit("gold", {entity.name: mark})
 
     # I6 -------------------------------------------------------------------
     def replay(self, entity: spec.EntitySpec, landing_path: str, run_ts: dt.datetime) -> int:
-        """Forget everything about an entity and process its landing files
-        again: empty its tables, drop its marks and its files' ledger rows,
-        then load bronze and silver. Gold follows with the next ``load_gold``."""
-        spark = self.spark
-        for name in (*(f"{layer}_{entity.name}" for layer in ("bronze", "rejects", "quarantine", "silver")), GOLD_OF.get(entity.name)):
-            if name and self.exists(name):
-                tables.truncate_table(spark, self.t(name))
+        """Process an entity's landing files again from nothing, through bronze,
+        silver and gold, and forget all that no file delivers any more.
+
+        Everything is built as new generations beside the live tables, which
+        keep serving; only when all are whole do the names change over, one
+        catalog change each, the control tables last. A failure before that
+        leaves the lake as it was."""
+        spark, feed = self.spark, entity.name
+        with self._control:
+            marks = self.read("marks")
+            stamps = marks.where("consumer = 'stamp'").agg(F.max("processed_time")).first()[0]
+            run_ts = next_stamp(run_ts, max(self.last_load(feed)[1], stamps or DEFAULT_MARK))
+        new = Lake(spark, self.root, self.db, self.lineage_pattern, self.max_files, tag=f"__r{uuid.uuid4().hex[:8]}")
+        try:
+            n = new.load_bronze(entity, landing_path, run_ts)
+            new.load_silver(entity, run_ts)
+            names = [f"{layer}_{feed}" for layer in (*_BY_LOAD, "silver")]
+            if feed in MACRO:
+                new._load_macro([feed])
+                names += self._other_feeds_rows(new, feed)
+            elif entity is spec.COMPANY:
+                new._load_companies(run_ts)
+                names.append("dim_company")
+            else:
+                new._load_fact(entity, run_ts)
+                names += [GOLD_OF[feed], "dim_company"]
+            for name in names:
+                if not new.exists(name) and self.exists(name):
+                    # Nothing was delivered: an empty table like the live one.
+                    tables.replace_table(spark, new.t(name), self.spark.table(self.t(name)).limit(0), tables.partitions(spark, self.t(name)))
+            if "dim_company" in names:
+                self._renew_members(new, entity, run_ts)
+        except BaseException:
+            new.drop()
+            raise
         with self._control:
-            marks = reset_mark(reset_mark(self.read("marks"), "silver", entity.name), "gold", entity.name)
-            tables.replace_table(spark, self.t("marks"), marks)
-            tables.replace_table(spark, self.t("ledger"), unmark_files(self.read("ledger"), list_files(spark, landing_path)))
-        n = self.load_bronze(entity, landing_path, run_ts)
-        self.load_silver(entity, run_ts)
+            for name in names:
+                if new.exists(name):
+                    tables.take_over(spark, self.t(name), new.t(name))
+            other = F.col("entity") != feed
+            for name, parts in (("ledger", ("entity", "load")), ("loads", ())):
+                tables.replace_table(spark, self.t(name), self.read(name).where(other).unionByName(new.read(name)), parts)
+            marks = self.read("marks")
+            for consumer in ("silver", "gold"):
+                marks = reset_mark(marks, consumer, feed)
+            tables.replace_table(spark, self.t("marks"), marks.unionByName(new.read("marks")).coalesce(1))
+        new.drop()
         return n
+
+    def _other_feeds_rows(self, new: Lake, feed: str) -> list[str]:
+        """Macro tables hold several feeds: the new generation takes over the
+        other feeds' rows, told by their indicators."""
+        if not self.exists("dim_indicator"):
+            return ["dim_indicator", "fact_macro_indicator"]
+        others = self.read("dim_indicator").where(F.col("indicator_code") != MACRO[feed])
+        keep = {"dim_indicator": others}
+        if self.exists("fact_macro_indicator"):
+            keep["fact_macro_indicator"] = self.read("fact_macro_indicator").join(others.select("indicator_sk"), ["indicator_sk"], "left_semi")
+        keys = {"dim_indicator": list(dims.INDICATOR_COLS), "fact_macro_indicator": ["date", "indicator_sk"]}
+        for name, rows in keep.items():
+            rows = rows.select(*self.read(name).columns)
+            if new.exists(name):
+                tables.append_table(self.spark, new.t(name), rows)
+            else:
+                tables.upsert_table(self.spark, new.t(name), rows, keys[name])
+        return list(keys)
+
+    def _renew_members(self, new: Lake, entity: spec.EntitySpec, run_ts: dt.datetime) -> None:
+        """The company dimension of a replay: delivered companies and a
+        placeholder for each other symbol of a fact, no longer needed ones gone."""
+        if entity is not spec.COMPANY and self.exists("dim_company"):
+            # Live companies in place of the placeholders made so far.
+            rows = self.read("dim_company").where("delivered")
+            tables.replace_table(self.spark, new.t("dim_company"), rows, (), ["symbol"], 1)
+        for name in (GOLD_OF[spec.TSD.name], GOLD_OF[spec.SMA.name]):
+            facts = new if new.exists(name) else self
+            if facts.exists(name):
+                new._add_members(facts.read(name), run_ts)
+
+    def drop(self) -> None:
+        """Drop all tables of a tagged copy."""
+        if not self.tag:
+            raise ValueError("only a tagged copy can be dropped")
+        for t in self.spark.catalog.listTables(self.db):
+            if t.name.endswith(self.tag):
+                tables.drop_table(self.spark, f"{self.db}.{t.name}")

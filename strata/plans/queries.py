@@ -535,12 +535,23 @@ def layer_row_counts(spark, sf_dir):
     return out.select("layer", "n_rows")
 
 
-@query("files_per_entity", """
-SELECT lang, count(DISTINCT source) AS n_files, count(*) AS n_docs FROM documents GROUP BY 1""")
+@query("files_per_entity", f"""
+WITH {S.SMA_SILVER}, {S.MACRO_SILVER}, {S.FILINGS},
+m AS (SELECT symbol, strftime(date, '%Y-%m') AS ym FROM bars GROUP BY ALL)
+SELECT 'time_series_daily' AS entity, 2 * count(*) AS n_files, 2 * count(*) AS n_docs FROM m
+UNION ALL SELECT 'simple_moving_average', count(*), count(*) FROM (SELECT DISTINCT symbol, strftime(date, '%Y-%m') FROM sma_vals)
+UNION ALL SELECT 'federal_funds_rate', count(DISTINCT year(date)), count(DISTINCT year(date)) FROM ffr_vals WHERE date IS NOT NULL
+UNION ALL SELECT 'inflation', count(DISTINCT year(date)), count(DISTINCT year(date)) FROM infl_vals WHERE date IS NOT NULL
+UNION ALL SELECT 'company_overview', count(DISTINCT n_name), count(*) FROM filings""")
 def files_per_entity(spark, sf_dir):
-    """A5: distinct source files per entity (language)."""
-    d = T(spark, sf_dir, "documents")
-    return d.groupBy("lang").agg(F.countDistinct("source").alias("n_files"), F.count(F.lit(1)).alias("n_docs"))
+    """A5: distinct landing objects and lines per feed, from file metadata."""
+    parts = []
+    for feed in spec.ENTITIES:
+        lines = spark.read.option("recursiveFileLookup", "true").text(A.landing(spark, sf_dir, feed))
+        name = F.regexp_extract(F.col("_metadata.file_path"), A.LINEAGE_PATTERN, 1)
+        parts.append(lines.select(F.lit(feed).alias("entity"), name.alias("object")))
+    counted = reduce(DataFrame.unionAll, parts).groupBy("entity").agg(F.countDistinct("object").alias("n_files"), F.count("*").alias("n_docs"))
+    return counted
 
 
 # ============================================================================
@@ -775,10 +786,10 @@ def incremental_multi_source(spark, sf_dir):
     )
 
 
-@query("replay_equals_incremental", f"SELECT {_ORDER_COLS} FROM orders")
+@query("replay_equals_incremental", f"SELECT {_ORDER_COLS}, how FROM orders, (VALUES ('incremental'), ('replay')) h(how)")
 def replay_equals_incremental(spark, sf_dir):
     """Two incremental upserts (split at the mark, inclusive) give the
-    same table as one full replay."""
+    same table as a reset of table and mark and a full read after it."""
     o = T(spark, sf_dir, "orders")
     mark = _orders_mark(spark, sf_dir)
     name = _tname(spark, "orders")
@@ -786,7 +797,12 @@ def replay_equals_incremental(spark, sf_dir):
     TB.upsert_table(spark, name, first, ["o_orderkey"])
     second = I.incremental(o, "o_orderdate", mark, inclusive=True)
     TB.upsert_table(spark, name, second, ["o_orderkey"])
-    return spark.table(name)
+    one = materialize(spark.table(name)).withColumn("how", F.lit("incremental"))
+    marks = I.reset_mark(I.commit_marks(I.empty_marks(spark), "silver", {"orders": mark}), "silver", "orders")
+    TB.truncate_table(spark, name)
+    again = I.incremental_since(marks, o.where("o_orderdate IS NOT NULL"), "silver", "orders", "o_orderdate", inclusive=True)
+    TB.upsert_table(spark, name, again.unionByName(o.where("o_orderdate IS NULL")), ["o_orderkey"])
+    return one.unionByName(spark.table(name).withColumn("how", F.lit("replay")))
 
 
 # ============================================================================

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -88,3 +89,11 @@ def materialize(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_with_mark(df, ts_col: str):
+    """``materialize`` and the greatest ``ts_col`` (None without rows), taken
+    while the rows are written, not in a second pass."""
+    seen = Observation()
+    done = materialize(df.observe(seen, F.max(F.col(ts_col)).alias("mark")))
+    return done, seen.get.get("mark")

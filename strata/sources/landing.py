@@ -26,11 +26,14 @@ def parse_lines(lines: DataFrame, read_schema: T.StructType, corrupt_col: str =
     ``from_json`` in PERMISSIVE mode is the JSON source's parser, but allows
     queries that touch only the corrupt column. It stands in a generator, which
     the optimiser never merges into later filters and projections, so each line
-    is parsed once. Blank lines are skipped.
+    is parsed once. Blank lines are skipped. Lines that carry their lineage
+    column already keep it.
     """
     schema = T.StructType(list(read_schema.fields) + [T.StructField(corrupt_col, T.StringType(), True)])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}
-    name = [_lineage_col(lineage_pattern).alias(lineage)] if lineage is not None else []
+    name = []
+    if lineage is not None:
+        name = [q(lineage) if lineage in lines.columns else _lineage_col(lineage_pattern).alias(lineage)]
     parsed = lines.filter(F.trim(F.col("value")) != "").select(
         F.explode(F.array(F.from_json(F.col("value"), schema, opts))).alias("_p"), *name
     )
@@ -52,19 +55,38 @@ def scan_landing(
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(filename): full paths of all files below a folder, without reading
-    their content."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("filename"))
+    """(filename, modified): full paths and modification times of all files
+    below a folder, without reading their content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("_metadata.file_path").alias("filename"), F.col("_metadata.file_modification_time").alias("modified"))
+
+
+def lines_of(spark: SparkSession, path: str, files: DataFrame, low, high, lineage_pattern: str | None = None) -> DataFrame:
+    """(value, filename): the lines of the listed files (filename = full path)
+    below a folder. Names are compared literally, so they may hold any
+    character, and never leave Spark. ``low`` and ``high`` are the listed
+    files' first and last modification times: the scan opens no file beyond
+    them, and the join drops the lines of others between."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    if low is None:
+        return lines.select("value", _lineage_col(lineage_pattern).alias("filename")).limit(0)
+    at = F.col("_metadata.file_modification_time")
+    lines = lines.where((at >= F.lit(low)) & (at <= F.lit(high))).select(
+        "value", _lineage_col(lineage_pattern).alias("filename"), F.col("_metadata.file_path").alias("_path")
+    )
+    return lines.join(files.select(q("filename").alias("_path")), "_path", "left_semi").drop("_path")
 
 
 def _lineage_col(pattern: str | None) -> Column:
     """The object a line came from. ``pattern`` (a regex with one group)
     picks it from the path; a path that it does not match, like any path without
     a pattern, gives the file's base name without ``.json``."""
-    base = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
+    # File metadata is URL-encoded; a plus sign stands for itself there.
+    name, path = (F.url_decode(F.replace(F.col(f"_metadata.{c}"), F.lit("+"), F.lit("%2B"))) for c in ("file_name", "file_path"))
+    base = F.regexp_replace(name, r"\.json$", "")
     if not pattern:
         return base
-    found = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    found = F.regexp_extract(path, pattern, 1)
     return F.when(found != "", found).otherwise(base)
 
 

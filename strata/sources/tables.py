@@ -8,17 +8,27 @@ published name is a catalog view over a managed Parquet table (a generation):
   new rows, a failed write leaves the old ones, and the name never vanishes.
   The last generation is kept for running readers, older ones are dropped;
 * a partitioned table is upserted by rewriting the touched partitions only
-  (dynamic partition overwrite of the generation, from a staged copy);
+  (dynamic partition overwrite of the generation);
+* a keyed table without partitions of its own is stored in hash buckets of its
+  key, a partition column that the view hides, so an upsert or a delete
+  rewrites the buckets it touches. A small table has one bucket; buckets are
+  split when they outgrow ``BUCKET_ROWS``;
 * a table whose provider can merge (Delta, Iceberg) is merged in place.
+
+A Hive-style folder cannot tell an empty string from NULL, so an empty string
+in a partition column is stored as NULL.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import threading
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.dedup import dedup_latest
 from strata.operators.shape import q
@@ -26,10 +36,14 @@ from strata.operators.upsert import delete_where, upsert
 from strata.session import materialize, work_path
 
 MERGE_PROVIDERS = ("delta", "iceberg")
+#: The hidden partition column of keyed tables, and the rows of a bucket beyond
+#: which buckets are split.
+BUCKET = "_bucket"
+BUCKET_ROWS = 2_000_000
 #: The overwrite mode is a setting of the session, which loads in other threads
 #: share.
 _MODE_LOCK = threading.Lock()
-_GENERATION, _PREVIOUS = "strata.generation", "strata.previous"
+_GENERATION, _PREVIOUS, _BUCKETS, _KEYS = (f"strata.{p}" for p in ("generation", "previous", "buckets", "keys"))
 
 
 def _quote_name(name: str) -> str:
@@ -56,9 +70,15 @@ def _rebalanced(df: DataFrame, partition_by) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _storable(df: DataFrame, partition_by) -> DataFrame:
+    """Partition columns as a folder name can hold them: no empty strings."""
+    texts = [p for p in partition_by if isinstance(df.schema[p].dataType, T.StringType)]
+    return df.withColumns({p: F.when(q(p) != "", q(p)) for p in texts}) if texts else df
+
+
 def write_snapshot(df: DataFrame, path: str, partition_by=(), mode: str = "errorifexists") -> str:
     """Write a Parquet folder, optionally Hive-partitioned."""
-    w = _rebalanced(df, partition_by).write.mode(mode)
+    w = _rebalanced(_storable(df, partition_by), partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -75,19 +95,65 @@ def with_date_partitions(df: DataFrame, date_col: str, kind: int) -> DataFrame:
     return df.withColumns(cols)
 
 
-def replace_table(spark: SparkSession, name: str, df: DataFrame, partition_by=()) -> None:
-    """Write ``df`` as a new generation and point ``name`` at it."""
+def bucket_of(keys, buckets: int) -> Column:
+    """The bucket of a key: equal keys, NULLs included, share one."""
+    return F.pmod(F.xxhash64(*[q(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def buckets_for(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """A power of two of buckets that hold ``bucket_rows`` on average at most."""
+    n = 1
+    while n * bucket_rows < rows:
+        n *= 2
+    return n
+
+
+def _publish(spark: SparkSession, name: str, generation: str, columns, more: dict[str, str]) -> None:
+    """Point ``name`` at a generation and drop the one before the last."""
     old = _properties(spark, name) if table_exists(spark, name) else {}
+    keep = {_GENERATION: generation, _PREVIOUS: old.get(_GENERATION, ""), **more}
+    props = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in keep.items())
+    cols = ", ".join("`" + c.replace("`", "``") + "`" for c in columns if c != BUCKET)
+    spark.sql(f"CREATE OR REPLACE VIEW {_quote_name(name)} TBLPROPERTIES ({props}) AS SELECT {cols} FROM {_quote_name(generation)}")
+    if old.get(_PREVIOUS):
+        spark.sql(f"DROP TABLE IF EXISTS {_quote_name(old[_PREVIOUS])}")
+
+
+def replace_table(spark: SparkSession, name: str, df: DataFrame, partition_by=(), keys=(), buckets: int = 0) -> None:
+    """Write ``df`` as a new generation and point ``name`` at it; with
+    ``buckets``, stored in that many hash buckets of ``keys``."""
+    more = {}
+    if buckets:
+        more = {_BUCKETS: str(buckets), _KEYS: json.dumps(list(keys))}
+    if buckets > 1:
+        df = df.withColumn(BUCKET, bucket_of(keys, buckets))
+        partition_by = (BUCKET,)
     generation = f"{name}__g{uuid.uuid4().hex[:12]}"
-    w = _rebalanced(df, partition_by).write.format("parquet")
+    w = _rebalanced(_storable(df, partition_by), partition_by).write.format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(generation)
-    keep = f"'{_GENERATION}' = '{generation}', '{_PREVIOUS}' = '{old.get(_GENERATION, '')}'"
-    cols = ", ".join(_quote_name(c) if "." not in c else f"`{c}`" for c in df.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {_quote_name(name)} TBLPROPERTIES ({keep}) AS SELECT {cols} FROM {_quote_name(generation)}")
-    if old.get(_PREVIOUS):
-        spark.sql(f"DROP TABLE IF EXISTS {_quote_name(old[_PREVIOUS])}")
+    _publish(spark, name, generation, df.columns, more)
+
+
+def take_over(spark: SparkSession, name: str, other: str) -> None:
+    """Make ``name`` show what ``other`` shows, in one change of the catalog,
+    and forget ``other``. Its generation before the last goes."""
+    props = _properties(spark, other)
+    _publish(spark, name, props[_GENERATION], spark.table(other).columns, {k: props[k] for k in (_BUCKETS, _KEYS) if k in props})
+    spark.sql(f"DROP VIEW {_quote_name(other)}")
+    if props.get(_PREVIOUS):
+        spark.sql(f"DROP TABLE IF EXISTS {_quote_name(props[_PREVIOUS])}")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Forget a published name and its generations."""
+    if table_exists(spark, name):
+        props = _properties(spark, name)
+        spark.sql(f"DROP VIEW {_quote_name(name)}")
+        for g in (props.get(_GENERATION), props.get(_PREVIOUS)):
+            if g:
+                spark.sql(f"DROP TABLE IF EXISTS {_quote_name(g)}")
 
 
 def create_table_if_missing(spark: SparkSession, name: str, schema_df: DataFrame, partition_by=()) -> bool:
@@ -103,13 +169,40 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def file_count(spark: SparkSession, name: str) -> int:
+    return len(spark.table(name).inputFiles())
+
+
+class _Layout:
+    """How a published table is stored."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        props = _properties(spark, name)
+        self.generation = props.get(_GENERATION, name)
+        self.buckets = int(props.get(_BUCKETS, 0))
+        self.keys = json.loads(props.get(_KEYS, "[]"))
+        self.parts = [c.name for c in spark.catalog.listColumns(self.generation) if c.isPartition]
+        self.table = spark.table(self.generation)
+
+    def fit(self, df: DataFrame) -> DataFrame:
+        """``df`` with the stored columns, types and partition values."""
+        fields = [f for f in self.table.schema.fields if f.name != BUCKET]
+        rows = _storable(df.select(*[q(f.name).cast(f.dataType).alias(f.name) for f in fields]), [p for p in self.parts if p != BUCKET])
+        if self.buckets > 1:
+            rows = rows.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+        return rows.select(*[q(c) for c in self.table.columns])
+
+
+def partitions(spark: SparkSession, name: str) -> list[str]:
+    """A table's own partition columns."""
+    return [p for p in _Layout(spark, name).parts if p != BUCKET]
+
+
 def append_table(spark: SparkSession, name: str, df: DataFrame) -> None:
     """S5 append, matching columns by name."""
-    generation = _generation(spark, name)
-    cols = spark.table(generation).columns
-    rows = _rebalanced(df.select(*[q(c) for c in cols]), _partition_columns(spark, generation))
-    rows.write.insertInto(generation, overwrite=False)
-    spark.catalog.refreshTable(generation)
+    to = _Layout(spark, name)
+    _rebalanced(to.fit(df), to.parts).write.insertInto(to.generation, overwrite=False)
+    spark.catalog.refreshTable(to.generation)
 
 
 def append_or_create(spark: SparkSession, name: str, df: DataFrame, partition_by=()) -> None:
@@ -119,8 +212,64 @@ def append_or_create(spark: SparkSession, name: str, df: DataFrame, partition_by
         replace_table(spark, name, df, partition_by)
 
 
-def _partition_columns(spark: SparkSession, generation: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(generation) if c.isPartition]
+def overwrite_partitions(spark: SparkSession, name: str, df: DataFrame, partition_by=()) -> None:
+    """Make the rows of ``df`` the whole content of the partitions that they
+    lie in; other partitions stay. Creates the table if it is missing."""
+    if not table_exists(spark, name):
+        replace_table(spark, name, df, partition_by)
+        return
+    to = _Layout(spark, name)
+    _overwrite(spark, to, to.fit(df))
+
+
+def _overwrite(spark: SparkSession, to: _Layout, rows: DataFrame) -> int:
+    """Dynamic partition overwrite; the number of rows written. Spark writes
+    beside the old files and swaps when all tasks are done, so ``rows`` may
+    come from the table itself."""
+    seen = Observation()
+    rows = _rebalanced(rows, to.parts).observe(seen, F.count(F.lit(1)).alias("n"))
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    with _MODE_LOCK:
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            rows.write.insertInto(to.generation, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
+    spark.catalog.refreshTable(to.generation)
+    return seen.get["n"]
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _literal(v) -> str:
+    """A partition value as a SQL literal of its own type."""
+    if v is None:
+        return "null"
+    if isinstance(v, dt.datetime):
+        return f"TIMESTAMP {_text(v.isoformat(sep=' '))}"
+    if isinstance(v, dt.date):
+        return f"DATE {_text(v.isoformat())}"
+    if isinstance(v, str):
+        return _text(v)
+    return str(v)
+
+
+def _drop_partitions(spark: SparkSession, to: _Layout, gone: DataFrame) -> None:
+    """Drop the listed partitions: a list of partition values, no rows."""
+    for r in gone.collect():
+        values = ", ".join(f"`{p}` = {_literal(r[p])}" for p in to.parts)
+        spark.sql(f"ALTER TABLE {_quote_name(to.generation)} DROP IF EXISTS PARTITION ({values})")
+    spark.catalog.refreshTable(to.generation)
+
+
+def drop_partitions_where(spark: SparkSession, name: str, predicate) -> None:
+    """Drop all partitions that a predicate on partition columns selects."""
+    if table_exists(spark, name):
+        to = _Layout(spark, name)
+        _drop_partitions(spark, to, to.table.where(predicate).select(*[q(p) for p in to.parts]).distinct())
 
 
 def _same(left: str, right: str, cols) -> Column:
@@ -131,26 +280,14 @@ def _same(left: str, right: str, cols) -> Column:
     return cond
 
 
-def _rewrite_partitions(spark: SparkSession, generation: str, parts: list[str], touched: DataFrame, rows: DataFrame) -> None:
-    """Make ``rows`` the whole content of the touched partitions. A job may not
-    overwrite the table that it reads, so the rows are staged first."""
-    columns = spark.table(generation).columns
-    staged = write_snapshot(rows, work_path(spark, "staging", generation.replace(".", "_")), parts)
-    restaged = spark.read.schema(rows.schema).parquet(staged).select(*[q(c) for c in columns])
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    with _MODE_LOCK:
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
-        try:
-            restaged.write.insertInto(generation, overwrite=True)
-        finally:
-            spark.conf.set(mode, before)
-    # Partitions that lost all rows: a list of partition values, no rows.
-    have = restaged.select(*[q(p) for p in parts]).distinct().alias("h")
-    for r in touched.alias("t").join(have, _same("t", "h", parts), "left_anti").collect():
-        values = ", ".join(f"`{p}` = {'null' if r[p] is None else repr(r[p])}" for p in parts)
-        spark.sql(f"ALTER TABLE {_quote_name(generation)} DROP IF EXISTS PARTITION ({values})")
-    spark.catalog.refreshTable(generation)
+def _rewrite_partitions(spark: SparkSession, to: _Layout, touched: DataFrame, rows: DataFrame) -> None:
+    """Make ``rows`` the whole content of the touched partitions, some of which
+    may be left without rows."""
+    staged = write_snapshot(rows, work_path(spark, "staging", to.generation.replace(".", "_")), to.parts)
+    restaged = spark.read.schema(rows.schema).parquet(staged).select(*[q(c) for c in to.table.columns])
+    _overwrite(spark, to, restaged)
+    have = restaged.select(*[q(p) for p in to.parts]).distinct().alias("h")
+    _drop_partitions(spark, to, touched.alias("t").join(have, _same("t", "h", to.parts), "left_anti"))
 
 
 def _merge(target: str, src: DataFrame, keys, null_safe: bool) -> None:
@@ -178,6 +315,7 @@ def upsert_table(
     prepared: bool = False,
     latest_by=(),
     moves: bool = True,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> None:
     """J1 on a stored table; S9: creates the table from the source when absent.
 
@@ -190,7 +328,9 @@ def upsert_table(
     In a partitioned table the partitions of the source rows and those where
     their keys are stored now are rewritten, NULL partitions included. With
     ``moves=False`` the caller states that the partition columns follow from
-    the key, so the stored keys need not be looked up.
+    the key, so the stored keys need not be looked up. A table without
+    partitions is stored in hash buckets of its key, and the buckets of the
+    source rows are rewritten.
     """
     keys = list(keys)
     order = [*latest_by, *([newest] if newest and newest not in latest_by else [])]
@@ -198,46 +338,64 @@ def upsert_table(
     # touched-partition list: evaluate it once.
     src = source if prepared else materialize(dedup_latest(source, keys, order))
     if not table_exists(spark, name):
-        replace_table(spark, name, src, partition_by)
+        n = 0 if partition_by else buckets_for(src.count(), bucket_rows)
+        replace_table(spark, name, src, partition_by, keys, n)
         return
-    generation = _generation(spark, name)
-    if not latest_by and _provider(spark, generation) in MERGE_PROVIDERS:
-        _merge(generation, src, keys, null_safe)
+    to = _Layout(spark, name)
+    if not latest_by and _provider(spark, to.generation) in MERGE_PROVIDERS:
+        _merge(to.generation, src, keys, null_safe)
         return
-    target = spark.table(generation)
-    src = src.select(*[q(c) for c in target.columns])
-    parts = _partition_columns(spark, generation)
+    target, parts = to.table, to.parts
+    src = to.fit(src)
     s_keys = src.select(*[q(k) for k in keys]).alias("s")
     if latest_by:
         stored = target.alias("t").join(s_keys, _same("t", "s", keys), "left_semi")
         src = materialize(dedup_latest(stored.unionByName(src), keys, order))
     if not parts:
-        replace_table(spark, name, upsert(target, src, keys, null_safe, dedup_source=False))
+        # One bucket is the whole table: a new generation is one write.
+        seen = Observation()
+        whole = upsert(target, src, keys, null_safe, dedup_source=False).drop(BUCKET).observe(seen, F.count(F.lit(1)).alias("n"))
+        replace_table(spark, name, whole, (), keys, 1)
+        _split(spark, name, seen.get["n"], 1, bucket_rows)
         return
     touched = src.select(*[q(p) for p in parts])
+    # A bucket follows from a key that holds the bucket's columns.
+    moves = not set(to.keys) <= set(keys) if to.buckets else moves
     if moves:
         touched = touched.unionByName(target.alias("t").join(s_keys, _same("t", "s", keys), "left_semi").select(*[q(p) for p in parts]))
     touched = materialize(touched.distinct())
     # The semi-join on the partition columns prunes the target scan to them.
     old = target.alias("t").join(touched.alias("p"), _same("t", "p", parts), "left_semi")
-    _rewrite_partitions(spark, generation, parts, touched, upsert(old, src, keys, null_safe, dedup_source=False))
+    rows = upsert(old, src, keys, null_safe, dedup_source=False)
+    if moves:
+        _rewrite_partitions(spark, to, touched, rows)
+    else:
+        n = _overwrite(spark, to, rows)
+        if to.buckets and n > bucket_rows:
+            _split(spark, name, n, touched.count(), bucket_rows)
+
+
+def _split(spark: SparkSession, name: str, rows: int, buckets: int, bucket_rows: int) -> None:
+    """More buckets, if ``rows`` in ``buckets`` of them are too many."""
+    to = _Layout(spark, name)
+    more = buckets_for(-(-rows // buckets), bucket_rows)
+    if to.buckets and more > 1:
+        replace_table(spark, name, to.table.drop(BUCKET), (), to.keys, to.buckets * more)
 
 
 def delete_where_table(spark: SparkSession, name: str, predicate) -> None:
-    """``DELETE FROM name WHERE predicate``; in a partitioned table only
-    the partitions that hold such rows are rewritten."""
-    generation = _generation(spark, name)
-    parts = _partition_columns(spark, generation)
-    target = spark.table(generation)
-    if not parts:
-        replace_table(spark, name, delete_where(target, predicate))
+    """``DELETE FROM name WHERE predicate``; in a partitioned or bucketed
+    table only the partitions that hold such rows are rewritten."""
+    to = _Layout(spark, name)
+    if not to.parts:
+        replace_table(spark, name, delete_where(to.table.drop(BUCKET), predicate), (), to.keys, to.buckets)
         return
-    touched = materialize(target.where(predicate).select(*[q(p) for p in parts]).distinct())
-    old = target.alias("t").join(touched.alias("p"), _same("t", "p", parts), "left_semi")
-    _rewrite_partitions(spark, generation, parts, touched, delete_where(old, predicate))
+    touched = materialize(to.table.where(predicate).select(*[q(p) for p in to.parts]).distinct())
+    old = to.table.alias("t").join(touched.alias("p"), _same("t", "p", to.parts), "left_semi")
+    _rewrite_partitions(spark, to, touched, delete_where(old, predicate))
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
     """Delete all rows, keep the schema."""
-    generation = _generation(spark, name)
-    replace_table(spark, name, spark.table(generation).limit(0), _partition_columns(spark, generation))
+    to = _Layout(spark, name)
+    replace_table(spark, name, to.table.drop(BUCKET).limit(0), partitions(spark, name), to.keys, 1 if to.buckets else 0)

@@ -131,10 +131,10 @@ def test_lake_reruns_process_only_new_files_and_replay(spark, tmp_dir, monkeypat
     _put(land, "tsd_IBM_b.json", _price("2024-01-02", "1.7"))
     _put(land, "tsd_IBM_c.json", _price("2024-01-04", "None"), "{bad")
     read = []
-    scan = layers.scan
-    monkeypatch.setattr(layers, "scan", lambda s, p, *a: read.append(p) or scan(s, p, *a))
+    scan = layers.scan_files
+    monkeypatch.setattr(layers, "scan_files", lambda s, p, files, *a: read.append(files) or scan(s, p, files, *a))
     assert lake.load_bronze(spec.TSD, land, dt.datetime(2024, 1, 3)) == 2
-    assert [sorted(x.rsplit("/", 1)[1] for x in p) for p in read] == [["tsd_IBM_b.json", "tsd_IBM_c.json"]]
+    assert [sorted(r.filename.rsplit("/", 1)[1] for r in f.collect()) for f in read] == [["tsd_IBM_b.json", "tsd_IBM_c.json"]]
     bronze = lake.read("bronze_time_series_daily")
     assert bronze.count() == 3 and {r.filename for r in bronze.collect()} == {"tsd_IBM_a", "tsd_IBM_b", "tsd_IBM_c"}
     assert [(r.filename, r.reason) for r in lake.preview("quarantine_time_series_daily").collect()] == [("tsd_IBM_c", "malformed")]
