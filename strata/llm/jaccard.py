@@ -11,7 +11,10 @@ and all others, share is counted in each fragment apart and summed.
    classes or more go back to the class, with their frequency. A class in which
    fewer than 80 % of the shingles are shared cannot have a partner and ends
    here. Shingles in a noticeable share of all documents are known from a
-   bounded list, skip the counting and are spread evenly.
+   bounded list, skip the counting and are spread evenly. A fragment that
+   swells beyond a task's memory (under a shingle too rare for the list, in a
+   very large table) hands all its shingles back as if they were listed: they
+   are ordered last, which tells fewer classes apart, but loses none.
 3. Of what remains, rarest shingles first, two partners must agree on one of
    the first 20 %. Under each such shingle, every class is paired with the
    smallest one; the pairs' partial overlaps are counted per vertical part and
@@ -46,8 +49,15 @@ from strata.llm.common import WORD, free_name, quoted, ship, stored
 from strata.llm.components import components
 
 WIDTH, PERCENT = 5, 80
-#: Shingles per fragment, bytes of text handled at a time, classes per block.
-FRAGMENT, CHUNK, BLOCK = 2 << 20, 4 << 20, 1024
+#: Shingles per fragment, bytes of text handled at a time.
+FRAGMENT, CHUNK = 2 << 20, 4 << 20
+#: A power of two of fragments, so that a fragment's number is the hash's first
+#: bits; with at least so many, seven bytes hold the others.
+LEAST_FRAGMENTS = 256
+#: A fragment that grows beyond this many times its size is not counted.
+SWOLLEN = 4
+#: Classes and shingles per block.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: A shingle in more than this share of the documents is listed as frequent;
 #: the list has at most (mean set size / share) entries.
 FREQUENT, LEAST_FREQUENT = 1 / 500, 64
@@ -153,16 +163,21 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _low(h: np.ndarray) -> bytes:
-    """The low 48 bits of each hash."""
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    """The low 56 bits of each hash; the fragment's number holds the others."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
 
 
 def _unlow(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(b, dtype=np.uint8).reshape(-1, 6)
+    out = np.zeros((len(b) // 7, 8), dtype=np.uint8)
+    out[:, :7] = np.frombuffer(b, dtype=np.uint8).reshape(-1, 7)
     return out.view("<u8").reshape(-1)
 
 
+def _first_bits(fragments: int) -> np.uint64:
+    """The shift that leaves a hash's fragment."""
+    return np.uint64(64 - (fragments.bit_length() - 1))
+
+
 PACKED = "fragment int, classes binary, counts binary, low binary"
 
 
@@ -182,7 +197,7 @@ def _deal(fragments: int, frequent):
                 size = np.array([len(s) for s in once.values()])
                 h = np.concatenate(list(once.values()))
                 owner = np.repeat(np.arange(len(size)), size)
-                part = (((h >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)).astype(np.int32)
+                part = (h >> _first_bits(fragments)).astype(np.int32)
                 if len(listed):
                     at = np.searchsorted(listed, h)
                     hot = listed[np.minimum(at, len(listed) - 1)] == h
@@ -210,7 +225,8 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[in
     for batch in batches:
         names = batch.schema.names
         for row in zip(*(batch.column(i) for i in range(batch.num_columns))):
-            row = {k: v.as_py() for k, v in zip(names, row)}
+            # Lists stay in Arrow's buffers; as Python's numbers they are large.
+            row = {k: v.values.to_numpy() if isinstance(v, pa.ListScalar) else v.as_py() for k, v in zip(names, row)}
             value = row[names[column]]
             if held and value != now:
                 yield now, held
@@ -226,7 +242,7 @@ def _words64(ids: bytes) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0].astype(np.uint64), both[:, 1].astype(np.uint64)
 
 
-def _count(fragments: int, buckets: int):
+def _count(fragments: int, buckets: int, most: int):
     """One fragment: how many classes hold each shingle. What two or more hold
     goes back to the classes, packed per bucket of classes."""
 
@@ -249,7 +265,7 @@ def _count(fragments: int, buckets: int):
         return pa.record_batch([pa.array(c, t) for c, t in zip(rows, _SHARED_TYPES)], names=[x.split(" ")[0] for x in SHARED.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in _parts(batches, fragments):
+        for number, rows, swollen in _parts(batches, fragments, most):
             c0, c1 = _words64(b"".join(r[0] for r in rows))
             count = np.frombuffer(b"".join(r[1] for r in rows), dtype="<u4").astype(np.int64)
             h = np.concatenate([_unlow(r[2]) for r in rows])
@@ -261,7 +277,7 @@ def _count(fragments: int, buckets: int):
             if again.any():
                 h = h[np.repeat(~again, count)]
                 c0, c1, count = c0[~again], c1[~again], count[~again]
-            if number >= fragments:
+            if swollen or number >= fragments:
                 yield emit(number % fragments, c0, c1, count, h, np.full(len(h), 255, dtype=np.uint8))
                 continue
             order = np.argsort(h)
@@ -280,72 +296,83 @@ def _count(fragments: int, buckets: int):
     return run
 
 
-def _parts(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[tuple[int, list]]:
-    """Rows (classes, counts, low) of one fragment. Only counting needs to see
-    a fragment whole; rows of listed shingles are handed on one by one."""
-    now, held = None, []
+def _parts(batches: Iterator[pa.RecordBatch], fragments: int, most: int) -> Iterator[tuple[int, list, bool]]:
+    """Rows (classes, counts, low) of one fragment, and whether it has more than
+    ``most`` shingles. Only counting needs to see a fragment whole; rows of
+    listed shingles, and of a fragment once it has too many, are handed on."""
+    now, held, size, swollen = None, [], 0, False
     for batch in batches:
         for i, f in enumerate(batch.column(0).to_pylist()):
             if held and (f != now or f >= fragments):
-                yield now, held
-                held = []
-            now = f
+                yield now, held, swollen
+                held, size = [], 0
+            if f != now:
+                now, size, swollen = f, 0, False
             held.append(tuple(batch.column(c)[i].as_py() for c in (1, 2, 3)))
+            size += len(held[-1][2]) // 7
+            if size > most and f < fragments:
+                swollen = True
+                yield now, held, True
+                held, size = [], 0
     if held:
-        yield now, held
+        yield now, held, swollen
 
 
 KEPT = "class binary, n int, prefix array<bigint>, parts array<array<bigint>>"
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _assemble(fragments: int):
     """One bucket of classes: their shared shingles, rarest first. Classes with
     too few of them end here."""
-    for _, rows in _groups(batches, 0):
-        c0, c1 = _words64(b"".join(r["classes"] for r in rows))
-        count = np.frombuffer(b"".join(r["counts"] for r in rows), dtype="<u4").astype(np.int64)
-        low = np.concatenate([_unlow(r["low"]) for r in rows])
-        name = np.repeat(np.array([r["fragment"] for r in rows], dtype=np.uint64), [len(r["often"]) for r in rows])
-        often = np.frombuffer(b"".join(r["often"] for r in rows), dtype=np.uint8)
-        rows.clear()
-        order = np.lexsort((c1, c0))
-        new = np.concatenate([[True], (c0[order[1:]] != c0[order[:-1]]) | (c1[order[1:]] != c1[order[:-1]])])
-        number = np.empty(len(c0), dtype=np.int64)
-        number[order] = np.cumsum(new) - 1
-        first = order[np.flatnonzero(new)]
-        n = (c1[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        owner = np.repeat(number, count)
-        # Copies of a class in several runs of texts each sent the listed ones.
-        hot = np.flatnonzero(often == 255)
-        if len(hot):
-            order = hot[np.lexsort((low[hot], name[hot], owner[hot]))]
-            same = (owner[order[1:]] == owner[order[:-1]]) & (low[order[1:]] == low[order[:-1]]) & (name[order[1:]] == name[order[:-1]])
-            once = np.ones(len(owner), dtype=bool)
-            once[order[1:][same]] = False
-            owner, low, name, often = owner[once], low[once], name[once], often[once]
-        shared = np.bincount(owner, minlength=len(first))
-        stays = 100 * shared >= PERCENT * n
-        keep = stays[owner]
-        owner, often = owner[keep], often[keep]
-        shingle = (low[keep] | (name[keep] << np.uint64(48))).view(np.int64)
-        order = np.lexsort((shingle, often, owner))
-        owner, shingle = owner[order], shingle[order]
-        part = (low[keep][order] >> np.uint64(46)).astype(np.int64) % PARTS
-        at = np.searchsorted(owner, np.arange(len(first) + 1))
-        out = ([], [], [], [])
-        for c in np.flatnonzero(stays):
-            s, p = shingle[at[c] : at[c + 1]], part[at[c] : at[c + 1]]
-            size = int(n[c])
-            unshared = size - len(s)
-            lead = size - -(-PERCENT * size // 100) + 1 - unshared
-            ids = np.array([c0[first[c]], c1[first[c]]], dtype=np.uint64).astype(">u8").tobytes()
-            for column, value in zip(out, (ids, size, s[:lead], [s[p == k] for k in range(PARTS)])):
-                column.append(value)
-            if len(out[0]) >= 2000:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _groups(batches, 0):
+            c0, c1 = _words64(b"".join(r["classes"] for r in rows))
+            count = np.frombuffer(b"".join(r["counts"] for r in rows), dtype="<u4").astype(np.int64)
+            low = np.concatenate([_unlow(r["low"]) for r in rows])
+            name = np.repeat(np.array([r["fragment"] for r in rows], dtype=np.uint64), [len(r["often"]) for r in rows])
+            often = np.frombuffer(b"".join(r["often"] for r in rows), dtype=np.uint8)
+            rows.clear()
+            order = np.lexsort((c1, c0))
+            new = np.concatenate([[True], (c0[order[1:]] != c0[order[:-1]]) | (c1[order[1:]] != c1[order[:-1]])])
+            number = np.empty(len(c0), dtype=np.int64)
+            number[order] = np.cumsum(new) - 1
+            first = order[np.flatnonzero(new)]
+            n = (c1[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            owner = np.repeat(number, count)
+            # Copies of a class in several runs of texts each sent the listed ones.
+            hot = np.flatnonzero(often == 255)
+            if len(hot):
+                order = hot[np.lexsort((low[hot], name[hot], owner[hot]))]
+                same = (owner[order[1:]] == owner[order[:-1]]) & (low[order[1:]] == low[order[:-1]]) & (name[order[1:]] == name[order[:-1]])
+                once = np.ones(len(owner), dtype=bool)
+                once[order[1:][same]] = False
+                owner, low, name, often = owner[once], low[once], name[once], often[once]
+            shared = np.bincount(owner, minlength=len(first))
+            stays = 100 * shared >= PERCENT * n
+            keep = stays[owner]
+            owner, often = owner[keep], often[keep]
+            shingle = (low[keep] | (name[keep] << _first_bits(fragments))).view(np.int64)
+            order = np.lexsort((shingle, often, owner))
+            owner, shingle = owner[order], shingle[order]
+            part = (low[keep][order] >> np.uint64(46)).astype(np.int64) % PARTS
+            at = np.searchsorted(owner, np.arange(len(first) + 1))
+            out = ([], [], [], [])
+            for c in np.flatnonzero(stays):
+                s, p = shingle[at[c] : at[c + 1]], part[at[c] : at[c + 1]]
+                size = int(n[c])
+                unshared = size - len(s)
+                lead = size - -(-PERCENT * size // 100) + 1 - unshared
+                ids = np.array([c0[first[c]], c1[first[c]]], dtype=np.uint64).astype(">u8").tobytes()
+                for column, value in zip(out, (ids, size, s[:lead], [s[p == k] for k in range(PARTS)])):
+                    column.append(value)
+                if len(out[0]) >= 2000:
+                    yield _kept_batch(out)
+                    out = ([], [], [], [])
+            if out[0]:
                 yield _kept_batch(out)
-                out = ([], [], [], [])
-        if out[0]:
-            yield _kept_batch(out)
+
+    return run
 
 
 def _kept_batch(out) -> pa.RecordBatch:
@@ -390,7 +417,7 @@ def _link_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     between different roots; links that join nothing new are left out."""
     for _, rows in _groups(batches, 0):
         n = np.array([int.from_bytes(r["class"][12:], "big") for r in rows], dtype=np.float64)
-        both = _overlaps([np.array(r["shingles"], dtype=np.int64) for r in rows])
+        both = _overlaps([r["shingles"] for r in rows])
         i, j = np.nonzero(np.triu(100 * both >= PERCENT * (n[:, None] + n[None] - both), 1))
         top: dict[bytes, bytes] = {}
 
@@ -433,13 +460,15 @@ def linked(docs: DataFrame, own: DataFrame, frequent: DataFrame, text: str = "te
     spark = docs.sparkSession
     classes = own.where(F.col("n") > 0).groupBy("class").agg(F.first("n").alias("n"))
     count, total = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    fragments = max(1, -(-total // FRAGMENT))
+    fragments = LEAST_FRAGMENTS
+    while fragments * FRAGMENT < total:
+        fragments *= 2
     # At most (mean set size / FREQUENT) entries.
     often = frequent.where(F.col("times") >= max(LEAST_FREQUENT, FREQUENT * count)).select("shingle").collect()
     listed = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often], dtype=np.int64).view(np.uint64)))
     dealt = docs.select(quoted(text).alias("text")).mapInArrow(_deal(fragments, listed), PACKED)
-    counted = dealt.repartition("fragment").sortWithinPartitions("fragment").mapInArrow(_count(fragments, fragments), SHARED)
-    kept = stored(counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_assemble, KEPT), "shared-sets")
+    counted = dealt.repartition("fragment").sortWithinPartitions("fragment").mapInArrow(_count(fragments, fragments, SWOLLEN * FRAGMENT), SHARED)
+    kept = stored(counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_assemble(fragments), KEPT), "shared-sets")
 
     # Shingles of the prefixes; groups with the same members count once.
     under = kept.select("class", "n", F.explode("prefix").alias("z"))
@@ -469,11 +498,11 @@ def linked(docs: DataFrame, own: DataFrame, frequent: DataFrame, text: str = "te
     )
     mixed = rooted.groupBy("z").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("z")
     bundles = stored(rooted.join(mixed, "z").select("leader", "class", "root").distinct(), "bundles")
-    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
+    blocks = F.greatest(F.ceil(F.col("k") / BLOCK), F.ceil(F.col("held") / BLOCK_SHINGLES)).cast("int")
     mine = F.pmod(F.xxhash64("class"), blocks).cast("int")
     # A class of block b goes to the block pairs (b, i) and (i, b).
     spread = (
-        bundles.join(bundles.groupBy("leader").agg(F.count("*").alias("k")), "leader")
+        bundles.join(bundles.groupBy("leader").agg(F.count("*").alias("k"), F.sum(_size(F.col("class"))).alias("held")), "leader")
         .withColumn("i", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(F.concat_ws("/", F.hex("leader"), F.least(mine, "i").cast("string"), F.greatest(mine, "i").cast("string")).alias("group"), "class", "root")
     )

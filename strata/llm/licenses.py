@@ -9,8 +9,8 @@ The known list is a constant of this module, so its join side has a fixed,
 small size and is broadcast; the corpus is scanned once and never shuffled.
 
 Defined results: null and empty texts have an empty canonical form, which
-matches nothing (digest of the empty string); repeated rows are judged row by
-row; an empty table gives an empty result; extra columns are kept by
+matches nothing (digest of the empty string); whole texts are hashed, however
+long; repeated rows are judged row by row; an empty table gives an empty result; extra columns are kept by
 ``identify`` and added columns take a free name.
 """
 
@@ -27,28 +27,23 @@ from pyspark.sql import functions as F
 from strata.llm.common import free_name, let, quoted
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: FIXED VALUES: the SQL's line that names a copyright owner (lower case). It
-#: also takes wrapped lines such as 'copyright notice and this permission ...'.
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|\x{00A9})[^\n]*"
+#: FIXED VALUES: words behind 'copyright' that do not name an owner.
+NO_OWNER = "notice|holder|owner|licen[cs]e|law|and[ \t]|statement|permission|interest"
 #: FIXED VALUES: a line that names a copyright owner (lower case): 'copyright'
 #: or '(c)' before a year (or its placeholder), a mark or 'by'; a line that
-#: begins with the sign; or a paragraph of one line 'copyright <owner>', which
-#: is never the rest of a wrapped sentence. A line of the bare word goes too,
-#: as ever, so a licence with one word a line is not found.
-_NO_OWNER = r"(?!notice|holder|owner|licen[cs]e|law|and[ \t]|statement|permission|interest)"
+#: begins with the sign; '(c) copyright <owner>'; or a paragraph of one line
+#: 'copyright <owner>', which is never the rest of a wrapped sentence.
 OWNER_LINE = (
     r"(?:^|\n)[ \t]*(?:©"
     r"|(?:copyright|\(c\))[ \t,:]*(?:©|&copy;|\(c\)|by[ \t]|[\[{<(]?(?:[0-9]{4}|yyyy|year)(?![a-z0-9]))"
-    rf"|\(c\)[ \t]*copyright[ \t]+{_NO_OWNER}"
+    rf"|\(c\)[ \t]*copyright[ \t]+(?!{NO_OWNER})[^ \t\r\n]"
     r")[^\n]*"
-    r"|(?:^|\n)[ \t]*copyright[ \t\r]*(?=\n|(?![\s\S]))"
-    rf"|(?:^|\n[ \t\r]*\n)[ \t]*copyright[ \t]+{_NO_OWNER}[^\n]*(?=\n[ \t\r]*\n|\n?[ \t\r]*(?![\s\S]))"
+    rf"|(?:^[ \t\r]*\n|^|\n[ \t\r]*\n)[ \t]*copyright[ \t]+(?!{NO_OWNER})[^ \t\r\n][^\n]*(?=\n[ \t\r]*\n|\n?[ \t\r]*(?![\s\S]))"
 )
 #: FIXED VALUES: equivalent spellings, applied in this order to lower-case words.
 SPELLINGS = (
     ("licence", "license"),
     ("sublicence", "sublicense"),
-    ("merchantability", "merchantability"),
     ("non infringement", "noninfringement"),
     ("whilst", "while"),
     ("favour", "favor"),
@@ -189,8 +184,7 @@ def canonical(text: Column) -> Column:
     # Any run of ASCII characters other than letters and digits is one space.
     t = F.trim(F.regexp_replace(t, r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{2010}-\x{2027}\x{00A0}]+", " "))
     for other, ours in SPELLINGS:
-        if other != ours:
-            t = F.replace(t, F.lit(other), F.lit(ours))
+        t = F.replace(t, F.lit(other), F.lit(ours))
     return t
 
 

@@ -116,10 +116,9 @@ _FAILS = f"""(
 ORACLES["op1_warc_round_trip"] = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 q AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
-f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM q)
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} AND page_id <> f THEN f END AS refers_to
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f,
+             payload_bytes >= {warc.LEAST_REVISIT} AND row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) > 1 AS again FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN f END AS refers_to
 FROM f"""
 
 ORACLES["op2_line_first_cleaning"] = f"""
@@ -178,14 +177,16 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, ''
 f AS MATERIALIZED ({' UNION ALL '.join(_spans_sql(no) for no in range(len(secrets.KINDS)))}),
 a AS MATERIALIZED (SELECT * FROM f WHERE k < {secrets.BASE} OR NOT EXISTS (
     SELECT 1 FROM f b WHERE b.rid = f.rid AND b.k < {secrets.BASE} AND b.s < f.e AND f.s < b.e)),
-o AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS n FROM a JOIN d USING (rid) GROUP BY v),
-j AS (SELECT a.*, o.n <= {secrets.MAX_OWNERS} AS live FROM a JOIN o USING (v)),
+o AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS n, count(DISTINCT {{'o': coalesce(source, chr(0)), 'r': coalesce(doc_id::VARCHAR, '')}}) AS m
+      FROM a JOIN d USING (rid) GROUP BY v),
+j AS (SELECT a.*, n, m, n <= {secrets.MAX_OWNERS} AND m <= {secrets.MAX_REPOS} AS live FROM a JOIN o USING (v)),
 p AS (SELECT rid, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
              {_listed_sql(f'k < {secrets.BASE}')} AS base, {_listed_sql(f'k < {secrets.BASE} OR live')} AS spans,
-             count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example FROM j GROUP BY rid)
+             count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example, max(n) AS most_owners, max(m) AS most_repos FROM j GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example
+       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example,
+       coalesce(most_owners, 0)::BIGINT AS most_owners, coalesce(most_repos, 0)::BIGINT AS most_repos
 FROM d LEFT JOIN p USING (rid)"""
 
 _HEX = lambda e: f"('0x' || {e})::BIGINT"
@@ -210,22 +211,34 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c"
 
 
 def _canonical_sql(x: str) -> str:
-    e = f"translate({x}, '{licenses.UPPER}', '{licenses.LOWER}')"
-    e = f"regexp_replace({e}, {_sql(licenses.COPYRIGHT_LINE)}, '', 'g')"
-    e = f"trim(regexp_replace({e}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F\\x{{2010}}-\\x{{2027}}\\x{{00A0}}]+', ' ', 'g'), ' ')"
+    """Words of a lower-case text without owner lines."""
+    e = f"trim(regexp_replace({x}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F\\x{{2010}}-\\x{{2027}}\\x{{00A0}}]+', ' ', 'g'), ' ')"
     for other, ours in licenses.SPELLINGS:
-        if other != ours:
-            e = f"replace({e}, {_sql(other)}, {_sql(ours)})"
+        e = f"replace({e}, {_sql(other)}, {_sql(ours)})"
     return e
 
 
+def _owner_line_sql(x: str, alone: str) -> str:
+    """Does a lower-case line name an owner? RE2 looks neither ahead nor behind,
+    so each rule is a pattern of the line; ``alone`` tells whether the line is a
+    paragraph by itself."""
+    m = lambda p: f"regexp_matches({x}, {_sql(p)})"
+    named = lambda start: f"{m(start + '[ \\t]+[^ \\t\\r\\n]')} AND NOT {m(start + f'[ \\t]+({licenses.NO_OWNER})')}"
+    mark = r"^[ \t]*(copyright|\(c\))[ \t,:]*(©|&copy;|\(c\)|by[ \t]|[\[{<(]?([0-9]{4}|yyyy|year)([^a-z0-9]|$))"
+    return f"""({m('^[ \\t]*©')} OR {m(mark)} OR ({named(r'^[ \t]*\(c\)[ \t]*copyright')}) OR ({alone} AND {named(r'^[ \t]*copyright')}))"""
+
+
+_BLANK = "regexp_matches({}, '^[ \\t\\r]*$')"
+_ALONE = f"(i = 1 OR {_BLANK.format('ls[i - 1]')}) AND (i = len(ls) OR {_BLANK.format('ls[i + 1]')})"
 _KNOWN = ", ".join(f"({_sql(d)}, {_sql(n)})" for d, n in licenses.known_digests().items())
 ORACLES["op10_license_digest"] = f"""
 WITH known(digest, license) AS (VALUES {_KNOWN}),
-d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
-c AS (SELECT rid, doc_id, sha256({_canonical_sql('t')}) AS digest FROM d),
-l AS (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d),
-n AS (SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM l JOIN known ON known.digest = sha256({_canonical_sql('x')}) GROUP BY rid)
+d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), chr(10)) AS ls FROM documents),
+k AS (SELECT rid, doc_id, array_to_string(list_filter(ls, lambda z, i: NOT {_owner_line_sql('z', _ALONE)}), ' ') AS x FROM d),
+c AS (SELECT rid, doc_id, sha256({_canonical_sql('x')}) AS digest FROM k),
+l AS (SELECT rid, unnest(ls) AS z FROM d),
+m AS (SELECT rid, sha256({_canonical_sql(f"CASE WHEN {_owner_line_sql('z', 'true')} THEN '' ELSE z END")}) AS digest FROM l),
+n AS (SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM m JOIN known USING (digest) GROUP BY rid)
 SELECT doc_id, digest, license, coalesce(notices, '') AS notices FROM c LEFT JOIN known USING (digest) LEFT JOIN n USING (rid)"""
 
 ORACLES["op11_prefix_trie"] = f"""

@@ -2,10 +2,12 @@
 
 Records are range-sorted by key into shards of about equal bytes. The shard
 borders come from exact byte counts in key bins (at most ``MAX_BINS`` of them),
-not from a sample, so the same table always gives the same files. One shuffle
-brings each shard's rows to a task, sorted by (shard, key, digest); the task
-streams them into gzip members, one per record, and rolls to the next file when
-the compressed size is reached. No shard has to fit in memory.
+not from a sample, so the same table always gives the same files. A bin that
+holds more than a shard is cut again between its own first and last key, until
+none does; a single key that does, and rows without a key, are cut by digest.
+One shuffle brings each shard's rows to a task, sorted by (shard, key, digest);
+the task streams them into gzip members, one per record, and rolls to the next
+file when the compressed size is reached. No shard has to fit in memory.
 
 Of records with equal payloads of at least ``LEAST_REVISIT`` bytes, the one
 with the smallest key is the response and the others are revisits of it. Which
@@ -17,11 +19,12 @@ and contents depend on the rows only, so a task that runs again, or twice at
 the same time, leaves the same files. The manifest (name, records, bytes,
 SHA-256) is written last; readers open only what it lists and check it.
 
-Defined results: a null payload is empty; a null key is larger than any other
-and its rows go to shards of their own by digest; rows that repeat the smallest
-key of a payload are all responses; line ends in a target are escaped and a
-null target becomes the record's id; an empty table writes no file; extra
-columns are ignored.
+Defined results: a null payload is empty; a null key is larger than any other;
+of rows that repeat the smallest key of a payload the first by target is the
+response, and the others revisit it (of rows without any key as well, whose
+refers_to stays null); repeated rows have numbered record ids; line ends in a
+target are escaped and a null target becomes the record's id; a payload of any
+length is one record; an empty table writes no file; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -41,8 +45,6 @@ from strata.session import work_path
 LEAST_REVISIT = 100
 SHARD_BYTES, ROLL_BYTES = 64 << 20, 32 << 20
 MAX_BINS = 1 << 16
-#: Shards for rows without a key.
-KEYLESS = 16
 #: FIXED VALUES: names and values of the WARC 1.1 format.
 VERSION = b"WARC/1.1\r\n"
 DATE = "1970-01-01T00:00:00Z"
@@ -58,8 +60,8 @@ def _files(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def _id(key: int | None, digest: str) -> str:
-    return f"<{URN}{'' if key is None else key}:{digest[:16]}>"
+def _id(key: int | None, digest: str, no: int = 0) -> str:
+    return f"<{URN}{'' if key is None else key}:{digest[:16]}{f':{no}' if no else ''}>"
 
 
 def _key(record_id: str) -> int | None:
@@ -76,9 +78,10 @@ def _member(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return pack.compress(head + block + b"\r\n\r\n") + pack.flush()
 
 
-def record(key: int | None, target: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """A response or revisit record with regenerated headers and digests."""
-    own = _id(key, digest)
+def record(key: int | None, target: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool, no: int = 0) -> bytes:
+    """A response or revisit record with regenerated headers and digests;
+    ``no`` counts records of the same key and payload."""
+    own = _id(key, digest, no)
     uri = own.strip("<>") if target is None else "".join(c if c > " " else f"%{ord(c):02X}" for c in target)
     headers = [
         ("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", own), ("WARC-Date", DATE),
@@ -122,19 +125,24 @@ class _Archive:
 def _writer(uri: str, roll: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, folder = _files(uri)
-        archive, mark, done = None, None, []
+        archive, mark, last, no, done = None, None, None, 0, []
         for batch in batches:
             for shard, key, digest, is_page, target, payload, refers in zip(*(batch.column(i) for i in range(7))):
                 if not is_page.as_py():
                     mark = (key.as_py(), digest.as_py(), refers.as_py())
                     continue
-                shard, key, digest = shard.as_py(), key.as_py(), digest.as_py()
+                shard, key, digest, payload = shard.as_py(), key.as_py(), digest.as_py(), payload.as_py()
+                no = no + 1 if last == (key, digest) else 0
+                last = (key, digest)
                 if archive and (archive.shard != shard or archive.size >= roll):
                     done.append(archive.commit(uri))
                     archive = _Archive(files, folder, shard, archive.no + 1 if archive.shard == shard else 0)
                 archive = archive or _Archive(files, folder, shard, 0)
-                revisit = mark is not None and mark[:2] == (key, digest)
-                archive.add(record(key, target.as_py(), payload.as_py(), digest, mark[2] if revisit else None, revisit))
+                # Without a mark the key is the payload's first: its first row
+                # is the response.
+                marked = mark is not None and mark[:2] == last
+                revisit = marked or (no > 0 and len(payload) >= LEAST_REVISIT)
+                archive.add(record(key, target.as_py(), payload, digest, mark[2] if marked else key, revisit, no))
         if archive:
             done.append(archive.commit(uri))
         if done:
@@ -154,18 +162,84 @@ def revisits(small: DataFrame) -> DataFrame:
     return large.join(first, "digest").where(~F.col("key").eqNullSafe(F.col("refers_to"))).select("key", "digest", "refers_to").distinct()
 
 
-def shards(small: DataFrame, shard_bytes: int) -> tuple[Column, DataFrame] | None:
-    """The bin of a key, and the shard of each bin: cuts of the running sum of
-    bytes over at most ``MAX_BINS`` bins. None if no row has a key."""
-    low, high, total = small.agg(F.min("key"), F.max("key"), F.sum(F.col("size") + 512)).first()
-    if low is None:
-        return None
-    width = max(1, -(-(high - low + 1) // MAX_BINS))
-    bin_ = F.floor((F.col("key") - F.lit(low)) / F.lit(width)).cast("long")
-    per_bin = small.where(F.col("key").isNotNull()).groupBy(bin_.alias("bin")).agg(F.sum(F.col("size") + 512).alias("b"))
+#: Keys may lie further apart than a long reaches.
+_BIN = "(key - low) div width"
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """Bytes, first and last key of each (range, bin)."""
+    bytes_ = F.sum(F.col("size") + 512).alias("b")
+    return rows.groupBy("range", "bin").agg(bytes_, F.min("key").alias("first"), F.max("key").alias("last"))
+
+
+def _binned(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``rows`` (range, key) with the bin of the key in its range; at most
+    MAX_BINS ranges of 24 bytes."""
+    got = rows.join(F.broadcast(ranges), "range")
+    return got.withColumn("bin", F.expr(_BIN)).drop("low", "width")
+
+
+def _cut(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    exact = [(r, Decimal(low), Decimal(width)) for r, low, width in rows]
+    return spark.createDataFrame(exact, "range int, low decimal(20,0), width decimal(20,0)")
+
+
+def shards(small: DataFrame, shard_bytes: int) -> tuple[list[DataFrame], DataFrame]:
+    """How keys find their shards: one table of ranges (range, low, width) for
+    each level of cutting, with the heavy bins of the level before as ranges,
+    and the stored cuts (range, bin) to (next range, or shard and the number of
+    digest parts). Cells number MAX_BINS on each level at most."""
+    spark = small.sparkSession
+    low, high, total = small.agg(F.min("key"), F.max("key"), F.coalesce(F.sum(F.col("size") + 512), F.lit(0))).first()
     target = max(shard_bytes, total // MAX_BINS)
-    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    return bin_, per_bin.select("bin", F.floor(F.coalesce(F.sum("b").over(before), F.lit(0)) / F.lit(target)).cast("int").alias("shard"))
+    levels, leaves, inner = [], [], []
+    rows = small.where(F.col("key").isNotNull()).withColumn("range", F.lit(0))
+    ranges = [] if low is None else [(0, low, max(1, -(-(high - low + 1) // MAX_BINS)))]
+    while ranges:
+        levels.append(_cut(spark, ranges))
+        rows = _binned(rows, levels[-1])
+        cells = stored(_cells(rows), "warc-cells")
+        heavy = (F.col("b") > target) & (F.col("first") < F.col("last"))
+        leaves.append(cells.where(~heavy))
+        found = cells.where(heavy).orderBy("first").collect()
+        bins = max(4, MAX_BINS // max(1, len(found)))
+        start = ranges[-1][0] + 1
+        ranges = [(start + i, r["first"], max(1, -(-(r["last"] - r["first"] + 1) // bins))) for i, r in enumerate(found)]
+        named = [(r["range"], r["bin"], n[0]) for r, n in zip(found, ranges)]
+        inner.append(spark.createDataFrame(named, "range int, bin long, next int"))
+        rows = rows.join(F.broadcast(inner[-1]), ["range", "bin"]).drop("range", "bin").withColumnRenamed("next", "range")
+    keyless = small.where(F.col("key").isNull()).agg(F.sum(F.col("size") + 512).alias("b")).where(F.col("b").isNotNull())
+    last = keyless.select(F.lit(-1).alias("range"), F.lit(0).cast("long").alias("bin"), "b", F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"))
+    for x in leaves:
+        last = last.unionByName(x)
+    before = Window.orderBy(F.col("first").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    # A cell of a single key may hold several shards, which its digests share.
+    parts = F.when(F.col("first") < F.col("last"), 1).otherwise(F.greatest(F.lit(1), F.ceil(F.col("b") / target))).cast("int")
+    begin = F.floor(F.coalesce(F.sum("b").over(before), F.lit(0)) / F.lit(target))
+    more = F.coalesce(F.sum(parts - 1).over(before), F.lit(0))
+    cut = last.select("range", "bin", (begin + more).cast("int").alias("shard"), parts.alias("parts"), F.lit(None).cast("int").alias("next"))
+    for x in inner:
+        cut = cut.unionByName(x, allowMissingColumns=True)
+    return levels, stored(cut, "warc-cuts")
+
+
+def _placed(rows: DataFrame, levels: list[DataFrame], cut: DataFrame) -> DataFrame:
+    """``rows`` (key, digest) with their ``shard``."""
+    none = F.lit(None).cast("int")
+    rows = rows.withColumns({"range": F.when(F.col("key").isNull(), -1).otherwise(0), "shard": none, "parts": none})
+    for i, ranges in enumerate(levels or [None]):
+        if ranges is None:
+            rows = rows.withColumn("bin", F.lit(0).cast("long"))
+        else:
+            rows = rows.join(F.broadcast(ranges), "range", "left")
+            rows = rows.withColumn("bin", F.when(F.col("range") < 0, 0).otherwise(F.expr(_BIN))).drop("low", "width")
+        here = cut.select("range", "bin", F.col("shard").alias("its_shard"), F.col("parts").alias("its_parts"), "next")
+        rows = rows.join(F.broadcast(here), ["range", "bin"], "left")
+        # A row that has its shard is in no range of the next level.
+        rows = rows.withColumns({"shard": F.coalesce("shard", "its_shard"), "parts": F.coalesce("parts", "its_parts"), "range": F.col("next")})
+        rows = rows.drop("bin", "its_shard", "its_parts", "next")
+    share = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
+    return rows.withColumn("shard", (F.col("shard") + F.shiftright(share * F.col("parts"), 32)).cast("int")).drop("range", "parts")
 
 
 def write(rows: DataFrame, key: str, target: str, payload: str, folder: str | None = None, shard_bytes: int = SHARD_BYTES,
@@ -186,17 +260,10 @@ def write(rows: DataFrame, key: str, target: str, payload: str, folder: str | No
         F.lit(None).cast("binary").alias("payload"), "refers_to",
     )
     tagged = pages.unionByName(marks)
-    keyless = F.lit(-1) - F.pmod(F.xxhash64("digest"), F.lit(KEYLESS)).cast("int")
-    cut = shards(small, shard_bytes)
-    if cut is None:
-        placed = tagged.withColumn("shard", keyless)
-    else:
-        # At most MAX_BINS rows of 12 bytes.
-        placed = tagged.withColumn("bin", cut[0]).join(F.broadcast(cut[1]), "bin", "left").withColumn("shard", F.coalesce("shard", keyless))
-    placed = placed.withColumn("shard", F.when(F.col("shard") < 0, F.col("shard") + (1 << 30)).otherwise(F.col("shard")))
+    placed = _placed(tagged, *shards(small, shard_bytes))
     sent = placed.select("shard", "key", "digest", "is_page", "target", "payload", "refers_to")
     n = max(1, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sent = sent.repartition(n, "shard").sortWithinPartitions("shard", "key", "digest", "is_page", "target")
+    sent = sent.repartition(n, "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_last(), "digest", "is_page", "target")
     files, path = _files(folder)
     files.create_dir(path, recursive=True)
     return stored(sent.mapInArrow(_writer(folder, roll_bytes), MANIFEST), "warc-manifest")

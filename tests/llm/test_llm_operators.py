@@ -1,17 +1,20 @@
 """Each operator against a plain Python version on small, awkward inputs."""
 
 import hashlib
+import pkgutil
 import re
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import chat, components, jaccard, licenses, mixing, neighbours, packing, quality, secrets, toxicity, warc
-from strata.llm.queries import tokenizer_path
+from strata.llm.queries import ORACLES, tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -314,11 +317,23 @@ def test_jaccard_with_small_fragments_blocks_and_listed_shingles(spark, monkeypa
     # listed, groups split into block pairs.
     monkeypatch.setattr(jaccard, "FRAGMENT", 500)
     monkeypatch.setattr(jaccard, "BLOCK", 3)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 60)
     monkeypatch.setattr(jaccard, "LEAST_FREQUENT", 8)
     texts = near_copies(8)
     assert sorted(rows(jaccard.report(docs_of(spark, texts)))) == linked_brute(texts)
 
 
+def test_jaccard_with_swollen_fragments(spark, monkeypatch):
+    """Fragments beyond their size hand all shingles back uncounted; shingles of
+    a noticeable share of the documents that are too rare for the list count."""
+    texts = near_copies() + [f"common words in very many of these texts here number {i} of them" for i in range(40)]
+    # Many more shingles than 256 fragments of 20 hold, without and with counting some.
+    monkeypatch.setattr(jaccard, "FRAGMENT", 20)
+    for swollen in (0, 1):
+        monkeypatch.setattr(jaccard, "SWOLLEN", swollen)
+        assert sorted(rows(jaccard.report(docs_of(spark, texts)))) == linked_brute(texts)
+
+
 def test_one_of_each_group(spark):
     texts = near_copies()
     docs = docs_of(spark, texts)
@@ -363,16 +378,39 @@ def test_warc_round_trip_and_same_files_again(spark):
     for k, _, h in data:
         if k is not None:
             first[h or ""] = min(k, first.get(h or "", k))
-    want = []
-    for k, _, h in data:
+    want, seen = [], set()
+    for k, _, h in sorted(data, key=lambda r: (r[0] is None, r[0] or 0)):
         b = (h or "").encode()
-        again = len(b) >= 100 and k != first[h or ""]
+        again = len(b) >= 100 and h in seen
+        seen.add(h)
         want.append((k, len(b), hashlib.sha256(b).hexdigest(), "revisit" if again else "response", first[h] if again else None))
     order = lambda r: tuple(str(x) for x in r)
     assert sorted(((r["key"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got), key=order) == sorted(want, key=order)
     assert {r["payload"] for r in got if r["record_type"] == "response" and r["key"] == 81} == {b"x" * 200_000}
 
 
+def test_warc_cuts_heavy_bins_keys_and_rows_without_a_key_again(spark, monkeypatch):
+    """A far-off key puts all others in one bin, one key has a third of the
+    rows, many have none; shards stay small and records unique."""
+    monkeypatch.setattr(warc, "MAX_BINS", 64)
+    page = lambda i: f"<p>{i}</p>" * 40
+    data = [(i, "u", page(i)) for i in range(200)] + [(10**12, "u", page(-1)), (-(2**62), "u", page(-2))]
+    data += [(7, f"t{i}", page(1000 + i)) for i in range(150)] + [(None, f"n{i}", page(2000 + i)) for i in range(100)]
+    data += [(None, "a", "same " * 50), (None, "b", "same " * 50), (9, "x", page(3000)), (9, "y", page(3000))]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    listed = warc.write(pages, "page_id", "url", "html", shard_bytes=20_000, roll_bytes=1 << 20)
+    rows = listed.collect()
+    assert sum(r["records"] for r in rows) == len(data) and max(r["records"] for r in rows) <= 60 and len(rows) > 10
+    got = warc.read(listed, with_payload=True).collect()
+    keys = [k for r in sorted(rows, key=lambda r: (r["shard"], r["no"])) for k in
+            [x["key"] for x in warc.read(listed.where(F.col("path") == r["path"])).collect()]] if len(rows) < 40 else None
+    assert keys is None or keys == sorted(keys, key=lambda k: (k is None, k or 0))
+    assert Counter(r["record_type"] for r in got) == {"response": len(data) - 2, "revisit": 2}
+    assert sorted(str(r["refers_to"]) for r in got if r["record_type"] == "revisit") == ["9", "None"]
+    plain = Counter((k, h) for k, _, h in data)
+    assert Counter((r["key"], r["payload"].decode() if r["record_type"] == "response" else next(h for k, _, h in data if hashlib.sha256(h.encode()).hexdigest() == r["payload_digest"])) for r in got) == plain
+
+
 def test_warc_reader_refuses_a_changed_file(spark):
     pages, _ = pages_of(spark)
     listed = warc.write(pages.limit(3), "page_id", "url", "html")
@@ -388,7 +426,8 @@ def test_licenses_by_canonical_digest(spark):
         "© me\n" + licenses.KNOWN["ISC"], "Some words.\nreleased under the MIT licence\nmore", mit + " extra", None, "", "Licensed under the Apache License, Version 2.0.",
     ]
     got = {r["doc_id"]: r for r in licenses.report(docs_of(spark, texts)).collect()}
-    assert [got[i]["license"] for i in range(8)] == ["MIT", None, "ISC", None, None, None, None, "Apache-2.0 notice"]
+    # One word a line, too, is the whole licence.
+    assert [got[i]["license"] for i in range(8)] == ["MIT", "MIT", "ISC", None, None, None, None, "Apache-2.0 notice"]
     assert got[3]["notices"] == "MIT notice" and got[7]["notices"] == "Apache-2.0 notice" and got[5]["notices"] == ""
     for i, t in enumerate(texts):
         assert got[i]["digest"] == hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest(), i
@@ -402,8 +441,7 @@ def test_licenses_whole_published_texts(spark):
     there = {"Apache-2.0": "Apache-2.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1",
              "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause (Regents)"}
     for file, name in there.items():
-        with open(f"/usr/share/common-licenses/{file}") as f:
-            texts.append(f.read())
+        texts.append(pkgutil.get_data("strata.llm", f"license_texts/{file}.txt").decode())
         want.append(name)
     # Without the title lines or the appendix.
     apache = texts[4]
@@ -434,7 +472,14 @@ def test_licenses_wrapped_and_owner_lines(spark):
     assert all(licenses.canonical_text("a sentence on the\n" + x) != "a sentence on the" for x in lines)
     for x in texts[::9] + ["a\n" + x for x in owner + lines] + ["x\n\ncopyright me\n", "x\n\ncopyright me\r\n \r\ny", "copyright me", "copyright", "copyright \n", "x\ncopyright me\n\n"]:
         texts.append(x)
-    got = {r["doc_id"]: r["digest"] for r in licenses.report(docs_of(spark, texts)).collect()}
+    texts += ["\ncopyright me\n\nx", "(c)  copyright  me", "(c) copyright  notice", "a\n\ncopyright  law\n\nb", "copyright \t\n\nx", "x\n\r\ncopyright a\n\ncopyright b\n\t\ny"]
+    rows = licenses.report(docs_of(spark, texts)).collect()
+    got = {r["doc_id"]: r["digest"] for r in rows}
+    # The SQL's rule of each line is the same.
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": list(range(len(texts))), "text": texts}))
+    sql = con.execute(ORACLES["op10_license_digest"]).fetchall()
+    assert sorted(sql) == sorted((r["doc_id"], r["digest"], r["license"], r["notices"]) for r in rows)
     for i, t in enumerate(texts):
         assert got[i] == hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest(), t
 
@@ -477,3 +522,69 @@ def test_toxicity_cuts_come_from_rows_that_were_not_fitted(spark, monkeypatch):
     toxicity.fit(docs_of(spark, texts), labels)
     assert seen["cuts"] == seen["back"] and 40 <= len(seen["cuts"]) <= 80
     assert seen["y"] == [int(t.endswith("zorkle")) for t in seen["cuts"]] and set(seen["langs"]) == {"en"}
+
+
+# 4 --------------------------------------------------------------------------
+def test_secrets_of_a_text_with_very_many_matches(spark):
+    """Time grows with the matches: 100,000 of them, in one text, some of
+    added kinds that touch base spans, and its redaction."""
+    import time
+
+    rng = np.random.default_rng(9)
+    parts = [("token=" + "".join(rng.choice(list("abcdefghijklm"), 10))) if i % 3 else ("é Ab1cd2Ef3gh4Ij5kl6Mn7op8Qr9" + str(i)) for i in range(100_000)]
+    text = " ".join(parts)
+    docs = docs_of(spark, [text, "token=short", "password=Ab1cd2Ef3gh4Ij5kl6Mn7op8Qr9st x"])
+    t = time.time()
+    got = {r["doc_id"]: r for r in secrets.report(docs).collect()}
+    want = base_spans(text)
+    assert got[0]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest() and got[0]["n_assign"] == want.count(",") + 1
+    assert got[0]["spans"].count("mixed:") == sum(i % 3 == 0 for i in range(100_000)) and got[1]["spans"] == ""
+    assert got[2]["spans"] == "assign:0:38"
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert clean[0] == " ".join("[SECRET]" if i % 3 else "é [SECRET]" for i in range(100_000))
+    assert clean[2] == "[SECRET] x"
+    assert time.time() - t < 120
+
+
+def test_secrets_overlaps_match_brute_force(spark):
+    """Spans of all kinds against a plain pass, on texts of overlapping shapes."""
+    import random
+
+    rng = random.Random(3)
+    bits = ["token=", "Ab1cd2Ef3gh4Ij5kl6Mn7op8Qr9", "AKIA" + "B2" * 9, "0123456789abcdef" * 2, "ghp_" + "aZ9" * 14, " ", "é", "/", "_", "xoxb-" + "1aB-" * 5, "-", "secret: "]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 30))) for _ in range(200)]
+    shapes = [(re.compile(p.replace(r"\x20", " ")), g, least) for _, p, g, least in secrets.KINDS]
+
+    def spans(text):
+        found = []
+        for k, (p, g, least) in enumerate(shapes):
+            for m in p.finditer(text):
+                v = m[g]
+                mixed = secrets.KINDS[k][0] != "mixed" or (re.search("[a-z]", v) and re.search("[A-Z]", v) and re.search("[0-9][^0-9]*[0-9]", v))
+                if len(v) >= least and mixed:
+                    found.append((m.start(), k, m.end(), v))
+        base = [x for x in found if x[1] < secrets.BASE]
+        return sorted(x for x in found if x[1] < secrets.BASE or not any(b[0] < x[2] and x[0] < b[2] for b in base))
+
+    all_spans = [spans(t) for t in texts]
+    owners = {}
+    for i, found in enumerate(all_spans):
+        for *_, v in found:
+            owners.setdefault(v, set()).add(i % 3)
+    repos = {v: {i for i, f in enumerate(all_spans) if any(x[3] == v for x in f)} for v in owners}
+    live = {v for v in owners if len(owners[v]) <= secrets.MAX_OWNERS and len(repos[v]) <= secrets.MAX_REPOS}
+    got = {r["doc_id"]: r for r in secrets.report(docs_of(spark, texts)).collect()}
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs_of(spark, texts)).collect()}
+    for i, (t, found) in enumerate(zip(texts, all_spans)):
+        shown = [x for x in found if x[1] < secrets.BASE or x[3] in live]
+        assert got[i]["spans"] == ",".join(f"{secrets.KINDS[k][0]}:{s}:{e}" for s, k, e, _ in shown), t
+        assert got[i]["n_live"] == sum(x[3] in live for x in found)
+        assert got[i]["most_owners"] == max([len(owners[x[3]]) for x in found], default=0)
+        assert got[i]["most_repos"] == max([len(repos[x[3]]) for x in found], default=0)
+        out, at = "", 0
+        for s, k, e, v in found:
+            if v in live:
+                if s >= at:
+                    out += t[at:s] + secrets.PLACEHOLDER
+                at = max(at, e)
+        assert clean[i] == out + t[at:], t
