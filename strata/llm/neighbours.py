@@ -6,9 +6,14 @@ around its own projection on every line and counts in how many windows a vector
 lies. Windows widen by ``GROWTH`` (virtual rehashing: no new hash tables, only
 the newly covered ends are counted). A vector whose count reaches the collision
 threshold is verified: its exact distance is computed from the original
-components in double precision. A query stops when enough verified vectors lie
-within the radius that its windows stand for, or when the windows hold all.
-There is no cap on candidates.
+components in double precision. There is no cap on candidates.
+
+All blocks share one radius for each query, the distance of its k-th nearest in
+a bounded sample, which the final one cannot exceed. The first windows stand for
+a radius ``STEPS`` widenings below it. A query stops in a block when enough
+verified vectors lie within the radius that its windows stand for, when that
+radius reaches the shared one (what lies beyond cannot be among the nearest), or
+when the windows hold all.
 
 Equal vectors are one index entry with their k+1 smallest ids (a top k can use
 no more), equal queries are searched once. Vectors are dealt into blocks; each
@@ -16,8 +21,8 @@ task builds its block's arrays once and streams the stored queries past it in
 batches, so memory holds one block and one batch whatever the table's size. The
 blocks' nearest are merged by a ranking that is cut before its shuffle.
 
-Only the first window's width is fitted, on a bounded sample of
-``SAMPLE`` vectors; every vector is indexed.
+Only the windows' widths are fitted, on a bounded sample of ``SAMPLE`` vectors;
+every vector is indexed.
 
 Defined results: vectors that are null, empty, all zero, or hold a null or
 non-finite component take no part, nor do rows without an id; vectors of
@@ -40,8 +45,10 @@ from strata.llm.common import quoted, ship, stored, stored_at
 PROJECTIONS = 64
 #: Half the window's width in standard deviations of a projected difference at
 #: the radius, and the share of windows in which a vector must lie.
-HALF_WIDTH, THRESHOLD = 1.5, 0.75
+HALF_WIDTH, THRESHOLD = 1.25, 0.75
 GROWTH = 1.3
+#: Widenings from the first windows to the shared radius.
+STEPS = 4
 BLOCK, QUERIES = 1 << 16, 512
 SAMPLE = 1024
 SEED = 11
@@ -65,11 +72,20 @@ class Block:
         self.order = np.argsort(projected, axis=0, kind="stable").astype(np.int32).T.copy()
         self.sorted = np.sort(projected, axis=0).T.copy()
 
-    def nearest(self, queries: np.ndarray, k: int, first: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Per query: positions and distances of its verified vectors, a
-        superset of the ``k`` nearest found."""
+    def typical(self) -> float:
+        """The median distance between neighbouring rows of the block."""
+        some = self.vectors[:256]
+        apart = np.sqrt(((some[1:] - some[:-1]) ** 2).sum(axis=1))
+        return float(np.median(apart)) if len(apart) and apart.any() else 1.0
+
+    def nearest(self, queries: np.ndarray, k: int, radius: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """Per query: positions and distances of its verified vectors within its
+        radius, a superset of the ``k`` nearest found there, and how many were
+        verified. A query of unknown radius (infinite) starts from the block's
+        own distances and widens until it has ``k``."""
         n, need = len(self.vectors), int(np.ceil(THRESHOLD * PROJECTIONS))
         centres = (queries @ lines(queries.shape[1])).T
+        first = np.where(np.isfinite(radius), radius, self.typical()) / GROWTH**STEPS
         windows: list[tuple[np.ndarray, np.ndarray]] = []
 
         def window(step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +99,7 @@ class Block:
 
         for i, q in enumerate(queries):
             counts = np.zeros(n, dtype=np.int64)
-            far = np.full(n, np.inf)
+            found, far = np.zeros(0, dtype=np.int64), np.zeros(0)
             low = high = None
             step = 0
             while True:
@@ -93,32 +109,36 @@ class Block:
                 else:
                     ends = [o[a:b] for o, a, b in zip(self.order, lo, low)] + [o[a:b] for o, a, b in zip(self.order, high, hi)]
                 low, high = lo, hi
-                counts += np.bincount(np.concatenate(ends), minlength=n)
-                new = np.flatnonzero((counts >= need) & np.isinf(far))
-                if len(new):
-                    far[new] = np.sqrt(((self.vectors[new] - q) ** 2).sum(axis=1))
-                if (far <= first * GROWTH**step).sum() >= min(k, n) or (hi - lo).min() == n:
+                ends = np.concatenate(ends)
+                if len(ends):
+                    counts += np.bincount(ends, minlength=n)
+                    new = np.flatnonzero(counts >= need)
+                    # A verified vector never counts again.
+                    counts[new] = -2 * PROJECTIONS
+                    found = np.append(found, new)
+                    far = np.append(far, np.sqrt(((self.vectors[new] - q) ** 2).sum(axis=1)))
+                reached = first[i] * GROWTH**step
+                if reached >= radius[i] or (far <= reached).sum() >= min(k, n) or (hi - lo).min() == n:
                     break
                 step += 1
-            found = np.flatnonzero(np.isfinite(far))
-            yield found, far[found]
-
-
-def _first_radius(vectors: DataFrame) -> float:
-    """A radius below most nearest distances, from a bounded sample."""
-    rows = vectors.orderBy(F.xxhash64("vector")).limit(SAMPLE).collect()
-    by_dim: dict[int, list] = {}
-    for r in rows:
-        by_dim.setdefault(len(r["vector"]), []).append(r["vector"])
-    least = []
-    for group in by_dim.values():
-        x = np.array(group, dtype=float)
-        d = ((x**2).sum(1)[:, None] + (x**2).sum(1)[None]) - 2 * x @ x.T
-        np.fill_diagonal(d, np.inf)
-        least.append(np.sqrt(np.maximum(d.min(axis=1), 0)))
-    least = np.concatenate(least) if least else np.zeros(0)
-    least = least[np.isfinite(least) & (least > 0)]
-    return float(np.quantile(least, 0.1)) / 2 if len(least) else 1.0
+            near = far <= radius[i]
+            yield found[near], far[near], len(found)
+
+
+def _sampled(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """At most ``SAMPLE`` of the distinct vectors, by length."""
+    got: dict[int, list] = {}
+    for r in vectors.orderBy(F.xxhash64("vector")).limit(SAMPLE).collect():
+        got.setdefault(len(r["vector"]), []).append(r["vector"])
+    return {k: np.array(v, dtype=np.float64) for k, v in got.items()}
+
+
+def radii(queries: np.ndarray, sample: np.ndarray | None, k: int) -> np.ndarray:
+    """Per query a distance within which at least ``k`` of the sample lie;
+    infinite if the sample is smaller."""
+    if sample is None or len(sample) < k:
+        return np.full(len(queries), np.inf)
+    return np.array([np.partition(np.sqrt(((sample - q) ** 2).sum(axis=1)), k - 1)[k - 1] for q in queries])
 
 
 def _query_batches(uri: str) -> Iterator[pa.RecordBatch]:
@@ -133,7 +153,7 @@ def _matrix(column) -> np.ndarray:
     return np.array(column.to_pylist(), dtype=np.float64)
 
 
-def _search(uri: str, k: int, first: float):
+def _search(uri: str, k: int, samples):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
@@ -150,7 +170,9 @@ def _search(uri: str, k: int, first: float):
                         continue
                     batch = batch.take(pa.array(same))
                     out = ([], [], [])
-                    for key, (at, far) in zip(batch.column("qkey").to_pylist(), index.nearest(_matrix(batch.column("vector")), k + 1, first)):
+                    queries = _matrix(batch.column("vector"))
+                    near = index.nearest(queries, k + 1, radii(queries, samples.value.get(int(dim)), k + 1))
+                    for key, (at, far, _) in zip(batch.column("qkey").to_pylist(), near):
                         # Nearest entries first, until they hold k + 1 ids.
                         best = []
                         for p in np.argsort(far, kind="stable"):
@@ -192,10 +214,10 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
         .groupBy("vector").agg(F.array_sort(F.collect_set("id")).alias("ids"))
     )
     index = stored(entries, "ann-index")
-    first = _first_radius(index.select("vector"))
+    samples = spark.sparkContext.broadcast(_sampled(index.select("vector")))
     n = max(1, spark.sparkContext.defaultParallelism, -(-index.count() // BLOCK))
     dealt = index.repartition(n, F.xxhash64("vector"))
-    found = dealt.mapInArrow(_search(uri, k, first), "qkey long, vec_id long, score double")
+    found = dealt.mapInArrow(_search(uri, k, samples), "qkey long, vec_id long, score double")
     near = found.groupBy("qkey", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("qkey").orderBy("score", "vec_id"))
     best = near.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank")

@@ -144,6 +144,36 @@ def test_neighbours_match_brute_force(spark):
     assert set(got) == {i for i in good if i % 100 == 0} and [i for i, _ in got[2000]] == [2100]
 
 
+def test_neighbours_verify_few_of_clustered_vectors():
+    """Windows around a shared radius leave most of a block alone, find the
+    nearest and take less time than a plain scan of it."""
+    import time
+
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(400, 64))
+    x = centres[rng.integers(0, 400, 40_000)] + rng.normal(size=(40_000, 64)) / 4
+    block, queries, k = neighbours.Block(x), x[:200], 11
+    t = time.time()
+    plain = []
+    for q in queries:
+        d = np.sqrt(((x - q) ** 2).sum(axis=1))
+        plain.append(set(np.argpartition(d, k - 1)[:k]))
+    scan = time.time() - t
+    t = time.time()
+    radius = neighbours.radii(queries, x[1000:2024], k)
+    got = list(block.nearest(queries, k, radius))
+    assert time.time() - t < scan
+    hit = sum(len(p & set(at[np.argsort(far, kind="stable")[:k]])) for p, (at, far, _) in zip(plain, got))
+    assert hit >= 0.97 * k * len(queries)
+    assert sum(n for *_, n in got) < 0.1 * len(x) * len(queries)
+    # A query whose radius nothing in the block reaches is done at once.
+    at, far, n = next(block.nearest(centres[:1] + 100, k, np.array([0.5])))
+    assert len(at) == n == 0
+    # Without a radius the search widens until it has enough.
+    at, far, n = next(block.nearest(queries[:1], k, np.array([np.inf])))
+    assert n < len(x) and len(plain[0] & set(at[np.argsort(far)[:k]])) >= k - 1
+
+
 # 6 --------------------------------------------------------------------------
 def levels(size, weights=(5, 2, 1), cap=3):
     order = sorted(size, key=lambda s: (s is None, s))

@@ -219,13 +219,14 @@ def test_windows_do_not_depend_on_chunks(monkeypatch):
 
     def counted():
         total = Counter()
-        for b in collocations._windows(All)(iter([batch])):
+        for b in collocations._windows(All, All)(iter([batch])):
             for r in b.to_pylist():
                 total[tuple(r[c] for c in ("lang", "w1", "w2", "w3", "w4"))] += r["n"]
         keys = Counter()
-        for b in collocations._count_keys(iter([batch])):
-            for r in b.to_pylist():
-                keys[r["key"]] += r["n"]
+        for of in (collocations._count_keys(), collocations._count_keys(All)):
+            for b in of(iter([batch])):
+                for r in b.to_pylist():
+                    keys[r["key"]] += r["n"]
         return total, keys
 
     want = counted()
@@ -233,6 +234,7 @@ def test_windows_do_not_depend_on_chunks(monkeypatch):
     for size in (1, 7, 64, 1000):
         monkeypatch.setattr(collocations, "CHUNK", size)
         monkeypatch.setattr(collocations, "HELD", 50)
+        monkeypatch.setattr(collocations, "ROWS", 7)
         assert counted() == want, size
 
 
