@@ -45,12 +45,12 @@ from strata.llm.common import quoted, ship, stored, stored_at
 PROJECTIONS = 64
 #: Half the window's width in standard deviations of a projected difference at
 #: the radius, and the share of windows in which a vector must lie.
-HALF_WIDTH, THRESHOLD = 1.25, 0.75
+HALF_WIDTH, THRESHOLD = 1.45, 0.75
 GROWTH = 1.3
 #: Widenings from the first windows to the shared radius.
 STEPS = 4
 BLOCK, QUERIES = 1 << 16, 512
-SAMPLE = 1024
+SAMPLE = 4096
 SEED = 11
 
 
