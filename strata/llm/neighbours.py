@@ -13,7 +13,8 @@ a bounded sample, which the final one cannot exceed. The first windows stand for
 a radius ``STEPS`` widenings below it. A query stops in a block when enough
 verified vectors lie within the radius that its windows stand for, when that
 radius reaches the shared one (what lies beyond cannot be among the nearest), or
-when the windows hold all.
+when the windows hold all. Queries that found fewer than k this way are searched
+again without a radius, in which case each block gives as many as it has, up to k.
 
 Equal vectors are one index entry with their k+1 smallest ids (a top k can use
 no more), equal queries are searched once. Vectors are dealt into blocks; each
@@ -79,9 +80,8 @@ class Block:
         return float(np.median(apart)) if len(apart) and apart.any() else 1.0
 
     def nearest(self, queries: np.ndarray, k: int, radius: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """Per query: positions and distances of its verified vectors within its
-        radius, a superset of the ``k`` nearest found there, and how many were
-        verified. A query of unknown radius (infinite) starts from the block's
+        """Per query: positions and distances of its verified vectors, and how
+        many those are. A query of unknown radius (infinite) starts from the block's
         own distances and widens until it has ``k``."""
         n, need = len(self.vectors), int(np.ceil(THRESHOLD * PROJECTIONS))
         centres = (queries @ lines(queries.shape[1])).T
@@ -121,8 +121,7 @@ class Block:
                 if reached >= radius[i] or (far <= reached).sum() >= min(k, n) or (hi - lo).min() == n:
                     break
                 step += 1
-            near = far <= radius[i]
-            yield found[near], far[near], len(found)
+            yield found, far, len(found)
 
 
 def _sampled(vectors: DataFrame) -> dict[int, np.ndarray]:
@@ -171,7 +170,7 @@ def _search(uri: str, k: int, samples):
                     batch = batch.take(pa.array(same))
                     out = ([], [], [])
                     queries = _matrix(batch.column("vector"))
-                    near = index.nearest(queries, k + 1, radii(queries, samples.value.get(int(dim)), k + 1))
+                    near = index.nearest(queries, k + 1, radii(queries, samples and samples.value.get(int(dim)), k + 1))
                     for key, (at, far, _) in zip(batch.column("qkey").to_pylist(), near):
                         # Nearest entries first, until they hold k + 1 ids.
                         best = []
@@ -217,10 +216,19 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
     samples = spark.sparkContext.broadcast(_sampled(index.select("vector")))
     n = max(1, spark.sparkContext.defaultParallelism, -(-index.count() // BLOCK))
     dealt = index.repartition(n, F.xxhash64("vector"))
-    found = dealt.mapInArrow(_search(uri, k, samples), "qkey long, vec_id long, score double")
-    near = found.groupBy("qkey", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("qkey").orderBy("score", "vec_id"))
-    best = near.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank")
+
+    def merged(uri: str, radius_from) -> DataFrame:
+        found = dealt.mapInArrow(_search(uri, k, radius_from), "qkey long, vec_id long, score double")
+        near = found.groupBy("qkey", "vec_id").agg(F.min("score").alias("score"))
+        rank = F.row_number().over(Window.partitionBy("qkey").orderBy("score", "vec_id"))
+        return near.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank")
+
+    best = stored(merged(uri, samples), "ann-found")
+    # A query that found too few within its radius is searched without one.
+    full = best.groupBy("qkey").agg(F.count("*").alias("n")).where(F.col("n") > k).select("qkey")
+    short, short_uri = stored_at(queries.join(full, "qkey", "left_anti"), "ann-short")
+    if not short.isEmpty():
+        best = best.join(full, "qkey", "left_semi").unionByName(merged(short_uri, None))
     whose = vectors.where("asks").select("id", "vector").join(queries, "vector").select(F.col("id").alias("query_id"), "qkey").distinct()
     own = whose.join(best, "qkey").where(F.col("query_id") != F.col("vec_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
