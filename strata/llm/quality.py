@@ -12,7 +12,10 @@ characters (line ends not counted), or that fails the whole-text base rules,
 is rejected. Lines without a word are dropped silently and count as nothing.
 
 Everything is a per-row expression: one scan, no shuffle, nothing that grows
-with a group. Defined results: a null text is an empty text (no words, so the
+with a group; a text of any length is judged whole. The stock phrases are those
+of four languages (English, French, German, Spanish), sentence ends those of the
+Latin, Greek, Cyrillic, Chinese, Japanese, Devanagari and Arabic scripts; in
+other languages only a stock phrase of these four fails a line. Defined results: a null text is an empty text (no words, so the
 base rules reject it); repeated rows and ties are judged row by row; an empty
 table gives an empty result; extra columns are kept, and an added column that
 would clash with one gets a numeric suffix.
@@ -26,7 +29,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import WORD, free_name, let, quoted, words
 
 SYMBOLS = r"[#*$%&|<>]"
-#: FIXED VALUES: stock phrases of page furniture, in lower case.
+#: FIXED VALUES: stock phrases of page furniture, in lower case: English, French,
+#: German, Spanish.
 BOILERPLATE = (
     "accept cookies",
     "all rights reserved",
@@ -40,9 +44,31 @@ BOILERPLATE = (
     "sign in to",
     "subscribe to",
     "terms of use",
+    "accepter les cookies",
+    "tous droits réservés",
+    "cliquez ici",
+    "politique de confidentialité",
+    "mentions légales",
+    "conditions d'utilisation",
+    "inscrivez-vous à",
+    "cookies akzeptieren",
+    "alle rechte vorbehalten",
+    "hier klicken",
+    "datenschutzerklärung",
+    "nutzungsbedingungen",
+    "newsletter abonnieren",
+    "javascript aktivieren",
+    "aceptar cookies",
+    "todos los derechos reservados",
+    "haga clic aquí",
+    "política de privacidad",
+    "términos de uso",
+    "suscríbete a",
+    "iniciar sesión",
 )
-#: FIXED VALUES: a sentence end, perhaps followed by closing marks.
-SENTENCE_END = r"[.!?:;\x{2026}][\"')\]\x{201D}\x{00BB}]*(\z|[\x20\x09-\x0D])"
+#: FIXED VALUES: a sentence end, perhaps followed by closing marks; ends of
+#: scripts that put no space behind them (Chinese, Japanese, Hindi, Arabic, Urdu).
+SENTENCE_END = r"[.!?:;\x{2026}][\"')\]\x{201D}\x{00BB}]*(\z|[\x20\x09-\x0D])|[\x{3002}\x{FF0E}\x{FF01}\x{FF1F}\x{0964}\x{0965}\x{061F}\x{06D4}]"
 #: FIXED VALUES: a word that is a menu separator.
 SEPARATOR = r"(^|[\x20\x09-\x0D])([|/>\x{00BB}\x{00B7}\x{2022}]|::)(\z|[\x20\x09-\x0D])"
 #: FIXED VALUES: a word that ends in symbols or in a row of exclamation marks.

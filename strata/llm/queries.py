@@ -111,7 +111,7 @@ _FAILS = f"""(
     (NOT regexp_matches(x, {_sql(quality.SENTENCE_END)}) AND {_count('x', _W)} >= 3)
     OR {_count('x', _sql(quality.DECORATED))} > {quality.MAX_MARKED} * {_count('x', _W)}
     OR ({_count('x', _sql(quality.SEPARATOR))} >= 2 AND {_count('x', _sql(quality.SEPARATOR))} > 0.15 * {_count('x', _W)})
-    OR regexp_matches({_LOW}, '{'|'.join(quality.BOILERPLATE)}'))"""
+    OR regexp_matches({_LOW}, {_sql('|'.join(quality.BOILERPLATE))}))"""
 
 ORACLES["op1_warc_round_trip"] = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),

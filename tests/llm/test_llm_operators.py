@@ -68,6 +68,15 @@ def test_quality_measures_and_verdict(spark):
 
 
 # 3 --------------------------------------------------------------------------
+def test_quality_lines_of_other_languages(spark):
+    """Stock phrases of four languages, sentence ends of other scripts."""
+    prose = ["这是 一个 很长 的 句子。", "これは 長い 文 です。", "यह एक लंबा वाक्य है।", "هذه جملة طويلة جدا؟", "Une phrase vraiment longue ici !", "Ein langer Satz steht hier."]
+    stock = ["Tous droits réservés par nous.", "Alle Rechte vorbehalten bei uns.", "Todos los derechos reservados aquí.", "Lisez nos Conditions d'utilisation ici."]
+    bare = ["deux trois quatre cinq", "eins zwei drei vier"]
+    got = quality.clean_lines(docs_of(spark, ["\n".join(prose + stock + bare)])).collect()[0]
+    assert got["cleaned"].split("\n") == prose and got["n_failed_lines"] == len(stock + bare)
+
+
 def test_snapshots_collapse_to_maximal_conversations(spark):
     log = {
         1: ["a"], 2: ["a", "b"], 3: ["a", "b", "c"], 4: ["a", "x"], 5: ["a", "b", "c"], 6: ["b"], 7: ["", "b"], 8: ["a", "b", "d"] * 50,
@@ -249,6 +258,76 @@ def test_toxicity_learns_words_and_stems(spark):
     assert toxicity.clean(docs, labels).columns == docs.columns
 
 
+def plain_score(model, text):
+    """One document, one window at a time."""
+    words = toxicity.words_of(text)
+    vectors = [model.table[toxicity.features(w)].astype(float).sum(axis=0) for w in words] or [np.zeros(toxicity.DIM)]
+    pooled = []
+    for filters in model.filters:
+        responses = []
+        for p in range(len(vectors)):
+            r = np.zeros(toxicity.FILTERS)
+            for o, f in enumerate(filters):
+                if p + o < len(vectors):
+                    r += vectors[p + o] @ f.astype(float)
+            responses.append(r)
+        pooled.append(np.max(responses, axis=0))
+    z = np.maximum(np.concatenate(pooled) + model.bias, 0) @ model.out + model.out_bias
+    return 1 / (1 + np.exp(-np.clip(model.scale[0] * z + model.scale[1], -30, 30)))
+
+
+def ordered_texts(n, seed=11):
+    """Texts that are toxic if 'red' stands right before 'fox'; both words,
+    apart, are as frequent in the others."""
+    rng = np.random.default_rng(seed)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(60)]
+    texts, y = [], []
+    for i in range(n):
+        ws = list(rng.choice(vocabulary, int(rng.integers(6, 20))))
+        at = sorted(rng.choice(len(ws) - 1, 2, replace=False))
+        if i % 2:
+            ws[at[0] : at[0]] = ["red", "fox"]
+        else:
+            ws.insert(at[1] + 1, "red")
+            ws.insert(at[0], "fox")
+        texts.append(" ".join(ws))
+        y.append(i % 2)
+    return texts, np.array(y)
+
+
+def test_toxicity_scores_equal_a_plain_forward_pass(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts, y = ordered_texts(300)
+    model, _ = toxicity.train(texts, y)
+    long = " ".join(rng.choice(["red", "fox", "blue", "other", "words"], 200))
+    some = texts[:60] + [None, "", "red", "fox", "red fox", long, long + " red fox", "RED Fox 12 red-fox é"]
+    want = [plain_score(model, t) for t in some]
+    # Parts and the cache of words end in the middle of texts.
+    for part, cache in ((1 << 16, 200_000), (1, 50), (2, 50), (7, 40)):
+        monkeypatch.setattr(toxicity, "PART", part)
+        monkeypatch.setattr(toxicity, "CACHE", cache)
+        scorer = toxicity.Scorer(model)
+        assert np.allclose(scorer.many(some), want, atol=1e-4)
+        assert np.allclose([scorer.many([t])[0] for t in some], want, atol=1e-4)
+
+
+def test_toxicity_training_and_wide_filters_add_something(monkeypatch):
+    """Words in order: neither the start from word odds nor width 1 alone can
+    tell these texts apart, the trained network can."""
+    texts, y = ordered_texts(3000)
+    test, truth = ordered_texts(400, 12)
+
+    def right(epochs, widths):
+        monkeypatch.setattr(toxicity, "EPOCHS", epochs)
+        monkeypatch.setattr(toxicity, "WIDTHS", widths)
+        model, _ = toxicity.train(texts, y)
+        return np.mean((toxicity.Scorer(model).many(test) >= 0.5) == truth)
+
+    whole = right(toxicity.EPOCHS, (1, 2, 3))
+    assert whole > 0.9
+    assert right(0, (1, 2, 3)) < whole - 0.2 and right(6, (1,)) < whole - 0.2
+
+
 def test_toxicity_without_labels(spark):
     docs = docs_of(spark, ["a b", None])
     for y, want in (([], 0.0), ([(0, 0), (5, 0)], 0.0), ([(0, 1), (5, 1), (2, 1)], 1.0)):
@@ -298,6 +377,27 @@ def test_assign_balances_cost():
     assert len(used) == -(-lengths.sum() // 1024)
 
 
+def test_assign_takes_the_cheapest_sequence_with_room():
+    """The cost rule against a plain loop."""
+    rng = np.random.default_rng(8)
+    price = lambda k: packing.LINEAR * k + packing.QUADRATIC * k * k
+    for size, most in ((1, 1000), (7, 300), (400, 1023), (900, 200)):
+        lengths = rng.integers(1, most + 1, size)
+        n = -(-int(lengths.sum()) // 1024)
+        load, room, want = [0.0] * n, [1024] * n, []
+        for i in sorted(range(size), key=lambda i: (-price(int(lengths[i])), i)):
+            left, done = int(lengths[i]), 0
+            while left:
+                with_room = [q for q in range(n) if room[q] >= left]
+                q = min(with_room, key=lambda q: (load[q], q)) if with_room else max(range(n), key=lambda q: (room[q], -q))
+                k = min(left, room[q])
+                want.append((i, done, k, q, 1024 - room[q]))
+                room[q] -= k
+                load[q] += price(k)
+                done, left = done + k, left - k
+        assert packing.assign(lengths, 1024) == want
+
+
 # 9 --------------------------------------------------------------------------
 def linked_brute(texts):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -357,7 +457,7 @@ def test_jaccard_with_swollen_fragments(spark, monkeypatch):
     """Fragments beyond their size hand all shingles back uncounted; shingles of
     a noticeable share of the documents that are too rare for the list count."""
     texts = near_copies() + [f"common words in very many of these texts here number {i} of them" for i in range(40)]
-    # Many more shingles than 256 fragments of 20 hold, without and with counting some.
+    # Without any counting, and with some.
     monkeypatch.setattr(jaccard, "FRAGMENT", 20)
     for swollen in (0, 1):
         monkeypatch.setattr(jaccard, "SWOLLEN", swollen)
