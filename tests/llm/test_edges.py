@@ -68,6 +68,79 @@ def test_clashing_columns(spark):
             assert "kept_1" in got.columns and "n_words_1" in got.columns
 
 
+def test_clashing_columns_of_other_tables(spark):
+    mine = lambda df, names: df.withColumns({c: F.lit("mine") for c in names})
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}</p>" * 30) for i in range(5)], "page_id long, url string, html string")
+    taken = ["key", "digest", "shard", "bin", "range", "parts", "is_page", "target", "payload", "refers_to", "size", "low", "width", "next"]
+    got = warc.report(spark, mine(pages, taken))
+    assert sorted(r["page_id"] for r in got.collect()) == list(range(5)) and got.columns[0] == "page_id"
+    turns = spark.createDataFrame([(c, t, "user", f"t{t}") for c in range(3) for t in range(c + 1)], "conv_id long, turn long, role string, text string")
+    taken = ["conv", "pos", "h1", "h2", "next", "length", "part", "line", "lines", "kept", "rendered", "n_turns"]
+    got = chat.render(mine(turns, taken))
+    assert [(r["conv_id"], r["n_turns"]) for r in got.collect()] == [(2, 3)] and got.columns == ["conv_id", "part", "n_turns", "rendered"]
+    vectors = spark.createDataFrame([(100 * i, [float(i), 1.0]) for i in range(4)], "vec_id long, embedding array<float>")
+    taken = ["id", "vector", "asks", "qkey", "ids", "r", "score", "rank", "query_id"]
+    got = neighbours.report(mine(vectors, taken))
+    assert got.count() == 12 and got.columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_very_long_texts(spark):
+    """Texts of megabytes go through whole."""
+    n = 150_000
+    words = " ".join(f"w{i}" for i in range(n))
+    texts = [words + " password=Abcdefgh12345", words + ".\nReleased under the MIT License.", "short"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: r for r in secrets.report(docs).collect()}
+    assert got[0]["spans"] == f"assign:{len(words) + 1}:{len(texts[0])}" and got[1]["spans"] == ""
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert clean[0] == words + " " + secrets.PLACEHOLDER and clean[1] == texts[1]
+    assert {r["doc_id"]: r["size"] for r in mixing.report(docs).collect()} == {0: n + 1, 1: n + 5, 2: 1}
+    notices = {r["doc_id"]: r["notices"] for r in licenses.report(docs).collect()}
+    assert notices == {0: "", 1: "MIT notice", 2: ""}
+    turns = spark.createDataFrame([(1, 0, "user", words), (1, 1, "user", "b"), (2, 0, "user", words)], "conv_id long, turn long, role string, text string")
+    got = chat.render(turns).collect()
+    assert [(r["conv_id"], r["n_turns"]) for r in got] == [(1, 2)] and words in got[0]["rendered"]
+
+
+def test_pipeline_run_of_an_empty_table_and_of_a_long_text(spark, tmp_dir):
+    labels(spark).write.parquet(f"{tmp_dir}/labels.parquet")
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = corpus_pipeline.run(spark, tmp_dir)
+    assert got.count() == 0 and got.columns[:3] == ["doc_id", "start", "length"]
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, long, "en", "a", len(long)), (2, long, "en", "a", len(long)), (3, "token = 'Abcdef1234567890' and some more words", "en", "a", 1)]
+    spark.createDataFrame(rows, DOCS).write.mode("overwrite").parquet(f"{tmp_dir}/documents.parquet")
+    got = corpus_pipeline.run(spark, tmp_dir).collect()
+    assert {r["doc_id"] for r in got} == {1, 3} and all(r["length"] <= 1024 for r in got)
+    whole = {}
+    for r in got:
+        whole[r["doc_id"]] = whole.get(r["doc_id"], 0) + r["length"]
+    copies = {r["doc_id"]: whole[r["doc_id"]] / r["doc_tokens"] for r in got}
+    assert all(c == int(c) and c >= 1 for c in copies.values())
+
+
+def test_pipeline_drops_toxic_documents(spark, tmp_dir):
+    """Labels of both classes: held-out toxic texts go, clean ones stay."""
+    import random
+    import zlib
+
+    rng = random.Random(2)
+    rows, marks = [], []
+    for i in range(600):
+        ws = [f"v{rng.randint(0, 300)}x" for _ in range(rng.randint(20, 60))]
+        if i % 4 == 0:
+            for _ in range(2):
+                ws.insert(rng.randint(0, len(ws)), rng.choice(["zorkle", "zorklet", "vexing"]))
+        rows.append((i, " ".join(ws), "en", "ab"[i % 2], 1))
+        marks.append((i, 1, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame(marks, LABELS).write.parquet(f"{tmp_dir}/labels.parquet")
+    left = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, tmp_dir).collect()}
+    held = [i for i in range(600) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum(i in left for i in held if i % 4 == 0) <= 2 and sum(i not in left for i in held if i % 4) <= 5
+
+
 def test_pipeline_stages_on_a_small_table(spark, tmp_dir):
     text = "Then the old man told them a long story about the sea and the moon and the quiet harbour"
     rows = [(0, text, "en", "a", 1), (1, text + " today", "en", "b", 1), (2, None, None, None, None), (3, "", "fr", "b", 0),
