@@ -6,14 +6,14 @@ three, as lead columns padded beyond the end of the piece. A Spark ROLLUP over
 of all phrases of one to four words without separate n-gram explosions.
 
 Almost all windows of natural text are unique, and none of them can be a
-candidate: every part of a phrase that occurs ``least`` times does so too. A
-first pass therefore counts 64-bit keys of single words and of neighbouring
-pairs, exactly and distributed, and marks those that reach ``least`` in a sieve,
-a bitmap of at most ``SIEVE_BITS`` bits that is sent to the tasks. A window is
-padded from the first pair that the sieve lacks. The sieve errs to one side
-only: a false mark keeps a window that is dropped after exact counting, and with
-more frequent pairs than it can tell apart it lets more windows through; results
-are the same with any sieve.
+candidate: every part of a phrase that occurs ``least`` times does so too. Two
+passes therefore count 64-bit keys, exactly and distributed: of single words and
+neighbouring pairs, then of the triples of frequent pairs. The keys that reach
+``least`` are marked in sieves, bitmaps of at most ``SIEVE_BITS`` bits that are
+sent to the tasks. A window is padded from the first word on with which it is in
+no sieve. The sieves err to one side only: a false mark keeps a window that is
+dropped after exact counting, and with more frequent keys than they can tell
+apart they let more windows through; results are the same with any sieve.
 
 Texts are read as bytes in chunks of ``CHUNK`` (a longer text is cut at a word,
 the next three words are looked at from both sides), so memory does not depend
@@ -35,6 +35,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -49,9 +50,9 @@ UNKNOWN = "und"
 #: FIXED VALUES: bytes that end a piece, and bytes between words.
 SEPARATORS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
-CHUNK = 8 << 20
-#: Keys that a task gathers before it counts them.
-HELD = 1 << 23
+CHUNK = 2 << 20
+#: Keys that a task gathers before it counts them, rows of a batch it returns.
+HELD, ROWS = 1 << 21, 1 << 16
 #: The sieve has SPARE bits for a key, up to SIEVE_BITS (16 MB).
 SPARE, SIEVE_BITS = 32, 1 << 27
 
@@ -136,6 +137,12 @@ class Words:
         after = np.append(self.hash[1:], np.uint64(0))[: len(one)]
         return _mix(one * np.uint64(3) + _mix(after + _BASE))
 
+    def triples(self) -> np.ndarray:
+        """The sieve's key of each word with the next two (of any piece)."""
+        two = self.pairs()
+        after = np.append(self.hash[2:], np.zeros(2, dtype=np.uint64))[: len(two)]
+        return _mix(two * np.uint64(5) + _mix(after + _BASE))
+
     def text(self, i: np.ndarray) -> pa.Array:
         return pa.array([self.buffer[a:b].tobytes() for a, b in zip(self.start[i], self.end[i])], pa.binary()).cast(pa.string())
 
@@ -156,20 +163,37 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
         yield Words(held)
 
 
-def _count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(batch), ROWS):
+        yield batch.slice(i, ROWS)
+
+
+def _count_keys(pairs=None):
+    """Keys of single words and pairs with their numbers; with the pairs' sieve,
+    those of the triples of frequent pairs."""
+
+    def keys_of(words: Words) -> list[np.ndarray]:
+        if pairs is None:
+            return [words.singles()[words.own], words.pairs()[words.own & words.joined]]
+        good = words.joined & _in(pairs.value, words.pairs())
+        return [words.triples()[words.own & good & _lead(good, 1)]]
+
     def counted(held: list[np.ndarray]) -> pa.RecordBatch:
         keys, n = np.unique(np.concatenate(held), return_counts=True)
         return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-    held, size = [], 0
-    for words in chunks(batches):
-        held += [words.singles()[words.own], words.pairs()[words.own & words.joined]]
-        size += len(held[-1]) + len(held[-2])
-        if size >= HELD:
-            yield counted(held)
-            held, size = [], 0
-    if held:
-        yield counted(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for words in chunks(batches):
+            held += keys_of(words)
+            size = sum(map(len, held))
+            if size >= HELD:
+                yield from _sliced(counted(held))
+                held, size = [], 0
+        if held:
+            yield from _sliced(counted(held))
+
+    return run
 
 
 def _in(sieve: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -181,19 +205,19 @@ def _lead(x: np.ndarray, k: int) -> np.ndarray:
     return np.append(x[k:], np.zeros(k, dtype=x.dtype))[: len(x)]
 
 
-def _windows(shared):
+def _windows(pairs, triples):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve = shared.value
         for words in chunks(batches):
             if not len(words.hash):
                 continue
             _, first, word = np.unique(words.hash, return_index=True, return_inverse=True)
             word = word + 1  # 0 pads
-            goes_on = words.joined & _in(sieve, words.pairs())
-            fits = _in(sieve, words.singles())
+            two = words.joined & _in(pairs.value, words.pairs())
+            three = two & _lead(two, 1) & _in(triples.value, words.triples())
+            fits = _in(pairs.value, words.singles())
             column = [np.where(fits, word, 0)]
-            for k in range(1, LONGEST):
-                fits = fits & _lead(goes_on, k - 1)
+            for k, goes_on in ((1, two), (2, three), (3, _lead(three, 1))):
+                fits = fits & goes_on
                 column.append(np.where(fits, _lead(word, k), 0))
             # Two numbers stand for a window; equal ones are counted here.
             wide = len(first) + 1
@@ -209,8 +233,10 @@ def _windows(shared):
             names = pa.concat_arrays([pa.array([""]), words.text(first[used[used > 0] - 1])])
             place = np.zeros(wide, dtype=np.int64)
             place[used[used > 0]] = np.arange(1, (used > 0).sum() + 1)
-            out = [pa.array(words.langs).take(pa.array(words.lang[at]))] + [names.take(pa.array(place[c[at]])) for c in column]
-            yield pa.record_batch([*out, pa.array(n.astype(np.int64))], names=["lang", *_W, "n"])
+            # Words hold no blanks, so a window is one string; padding falls off.
+            joined = pc.utf8_rtrim(pc.binary_join_element_wise(*[names.take(pa.array(place[c[at]])) for c in column], " "), " ")
+            langs = pa.array(words.langs).take(pa.array(words.lang[at]))
+            yield from _sliced(pa.record_batch([langs, joined, pa.array(n.astype(np.int64))], names=["lang", "window", "n"]))
 
     return run
 
@@ -244,10 +270,17 @@ def phrases(docs: DataFrame, least: int = LEAST, text: str = "text", lang: str =
     texts = docs.select(
         F.coalesce(quoted(lang), F.lit(UNKNOWN)).alias("lang"), F.coalesce(quoted(text), F.lit("")).alias("text")
     ).where(F.col("text") != "")
-    keys = texts.mapInArrow(_count_keys, "key long, n long")
-    frequent = stored(keys.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"), "frequent-keys")
-    sieve = spark.sparkContext.broadcast(_sieve(frequent))
-    windows = texts.mapInArrow(_windows(sieve), f"lang string, {', '.join(w + ' string' for w in _W)}, n long")
+
+    def sieve(of, name: str):
+        keys = texts.mapInArrow(of, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        return spark.sparkContext.broadcast(_sieve(stored(keys.where(F.col("n") >= least).select("key"), name)))
+
+    pairs = sieve(_count_keys(), "frequent-pairs")
+    triples = sieve(_count_keys(pairs), "frequent-triples")
+    # Windows are summed as strings first: what the ROLLUP expands is small.
+    windows = texts.mapInArrow(_windows(pairs, triples), "lang string, window string, n long")
+    windows = windows.groupBy("lang", "window").agg(F.sum("n").alias("n")).withColumn("ws", F.split("window", " "))
+    windows = windows.select("lang", *[F.coalesce(F.get("ws", F.lit(k)), F.lit("")).alias(w) for k, w in enumerate(_W)], "n")
     # The grouping id tells a column that ROLLUP left out from padding.
     level = F.lit(LONGEST) - F.bit_count(F.grouping_id())
     sums = windows.rollup("lang", *_W).agg(F.sum("n").alias("a"), level.cast("int").alias("k"))
