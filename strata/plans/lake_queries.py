@@ -111,7 +111,7 @@ def rejected_values(spark, sf_dir):
     """Each value that did not cast, as it came, with file and column."""
     lake = _lake(spark, lineage_pattern=A.LINEAGE_PATTERN)
     lake.load_bronze(spec.COMPANY, A.landing(spark, sf_dir, spec.COMPANY.name), RUN_TS)
-    return lake.read("rejected_values_company_overview")
+    return lake.read("rejected_values_company_overview").select("filename", "column", "raw")
 
 
 @query("lake_replay_macro", f"""

@@ -35,7 +35,7 @@ from strata.operators.incremental import (
 from strata.operators.shape import bounded_width, conform, explode_array_struct, explode_map, get_fields, q, rejected_values
 from strata.sources import tables
 from strata.sources.landing import CORRUPT, lines_of, list_files, parse_lines, quarantine, scan_landing, split_corrupt
-from strata.session import materialize, materialize_with_mark
+from strata.session import materialize, materialize_observed, materialize_with_mark
 
 LINEAGE = ("filename",)
 
@@ -93,11 +93,6 @@ def rejected(good: DataFrame, entity: spec.EntitySpec) -> DataFrame:
     return rejected_values(shape(good, entity), entity.contract, entity.rename or None, keep=LINEAGE)
 
 
-def rejects(values: DataFrame) -> DataFrame:
-    """(column, rejected): how many values of each column did not cast."""
-    return values.groupBy("column").agg(F.count("*").alias("rejected"))
-
-
 def _empty_companies(spark: SparkSession) -> DataFrame:
     """The company dimension before any company."""
     more = [T.StructField("filename", T.StringType()), T.StructField("ingestion_timestamp", T.TimestampType())]
@@ -114,7 +109,7 @@ GOLD_OF = {
 #: Codes of the feeds that share the macro tables.
 MACRO = {spec.FFR.name: spec.FFR_CODE, spec.INFLATION.name: spec.INFLATION_CODE}
 #: Tables whose rows carry the number of their load, as a partition.
-_BY_LOAD = ("bronze", "rejects", "rejected_values", "quarantine")
+_BY_LOAD = ("bronze", "rejected_values", "quarantine")
 #: Files of a control table beyond which it is written anew as one.
 TAIL = 32
 
@@ -162,15 +157,20 @@ class Lake:
         return f"{self.db}.{name}{self.tag}"
 
     def read(self, name: str) -> DataFrame:
-        """The committed rows of a table."""
-        layer, _, entity = name.partition("_")
-        if name.startswith("rejected_values_"):
-            layer, entity = "rejected_values", name[len("rejected_values_"):]
+        """The committed rows of a table. ``rejects_<entity>`` counts the
+        rejected values of each load and column."""
+        if name.startswith("rejects_"):
+            return self._reject_counts(name[len("rejects_"):])
         rows = self.spark.table(self.t(name))
-        if layer in _BY_LOAD:
-            return rows.where(F.col("load") <= self.last_load(entity)[0]).drop("load")
+        for layer in _BY_LOAD:
+            if name.startswith(f"{layer}_"):
+                return rows.where(F.col("load") <= self.last_load(name[len(layer) + 1:])[0]).drop("load")
         return rows
 
+    def _reject_counts(self, entity_name: str) -> DataFrame:
+        values = self.read(f"rejected_values_{entity_name}").groupBy("column", "ingestion_timestamp").agg(F.count("*").alias("rejected"))
+        return values.select("column", "rejected", "ingestion_timestamp")
+
     def exists(self, name: str) -> bool:
         return tables.table_exists(self.spark, self.t(name))
 
@@ -227,9 +227,9 @@ class Lake:
     def _discard(self, entity: spec.EntitySpec, number: int) -> None:
         """Drop what a failed try of this load left. The ledger is written
         first, so an unused number has no rows there."""
-        left = (F.col("entity") == entity.name) & (F.col("load") == number)
-        if self.read("ledger").where(left).isEmpty():
+        if not tables.has_partition(self.spark, self.t("ledger"), {"entity": entity.name, "load": number}):
             return
+        left = (F.col("entity") == entity.name) & (F.col("load") == number)
         for layer in _BY_LOAD:
             tables.drop_partitions_where(self.spark, self.t(f"{layer}_{entity.name}"), F.col("load") == number)
         with self._control:
@@ -245,8 +245,11 @@ class Lake:
         bronze_name = f"bronze_{entity.name}"
         done, last = self.last_load(entity.name)
         files = list_files(spark, landing_path)
-        new = materialize(unprocessed_files(files, self.read("ledger").where((F.col("entity") == entity.name) & (F.col("load") <= done))))
-        n, low, high = new.agg(F.count("*"), F.min("modified"), F.max("modified")).first()
+        known = self.read("ledger").where((F.col("entity") == entity.name) & (F.col("load") <= done))
+        new, seen = materialize_observed(
+            unprocessed_files(files, known), n=F.count(F.lit(1)), low=F.min("modified"), high=F.max("modified")
+        )
+        n, low, high = seen["n"] or 0, seen["low"], seen["high"]
         if not n and self.exists(bronze_name):
             return 0
         number, stamp = done + 1, next_stamp(run_ts, last)
@@ -256,13 +259,11 @@ class Lake:
             rows = new.select("filename", at.alias("processed_time"), F.lit(entity.name).alias("entity"), F.lit(number).alias("load"))
             with self._control:
                 tables.overwrite_partitions(spark, self.t("ledger"), rows)
-        # Read by several writes (bronze, rejects, quarantine): evaluate once.
+        # Read by several writes (bronze, rejected values, quarantine): evaluate once.
         raw = materialize(scan_files(spark, landing_path, new, low, high, entity, self.lineage_pattern))
         good, bad = split_corrupt(raw)
         self._put(bronze_name, bronze(good, entity, stamp), number, entity.partition_by)
-        self._put(f"rejected_values_{entity.name}", rejected(good, entity), number)
-        values = spark.table(self.t(f"rejected_values_{entity.name}")).where(F.col("load") == number)
-        self._put(f"rejects_{entity.name}", rejects(values).withColumn("ingestion_timestamp", at), number)
+        self._put(f"rejected_values_{entity.name}", rejected(good, entity).withColumn("ingestion_timestamp", at), number)
         self._put(f"quarantine_{entity.name}", quarantine(bad), number)
         self._append_control("loads", spark.createDataFrame([(entity.name, number, stamp, n)], LOADS_SCHEMA), ["entity"])
         self._merge_ledger(entity.name, number)

@@ -91,9 +91,16 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def materialize_with_mark(df, ts_col: str):
-    """``materialize`` and the greatest ``ts_col`` (None without rows), taken
-    while the rows are written, not in a second pass."""
+def materialize_observed(df, **aggregates):
+    """``materialize`` and a dict of aggregates of the rows, taken while they
+    are written, not in a second pass."""
     seen = Observation()
-    done = materialize(df.observe(seen, F.max(F.col(ts_col)).alias("mark")))
-    return done, seen.get.get("mark")
+    done = materialize(df.observe(seen, *[a.alias(name) for name, a in aggregates.items()]))
+    got = seen.get
+    return done, {name: got.get(name) for name in aggregates}
+
+
+def materialize_with_mark(df, ts_col: str):
+    """``materialize`` and the greatest ``ts_col`` (None without rows)."""
+    done, got = materialize_observed(df, mark=F.max(F.col(ts_col)))
+    return done, got["mark"]

@@ -265,6 +265,12 @@ def _drop_partitions(spark: SparkSession, to: _Layout, gone: DataFrame) -> None:
     spark.catalog.refreshTable(to.generation)
 
 
+def has_partition(spark: SparkSession, name: str, values: dict) -> bool:
+    """Is there a partition of these values? Asks the catalog, reads nothing."""
+    spec = ", ".join(f"`{p}` = {_literal(v)}" for p, v in values.items())
+    return bool(spark.sql(f"SHOW PARTITIONS {_quote_name(_generation(spark, name))} PARTITION ({spec})").collect())
+
+
 def drop_partitions_where(spark: SparkSession, name: str, predicate) -> None:
     """Drop all partitions that a predicate on partition columns selects."""
     if table_exists(spark, name):

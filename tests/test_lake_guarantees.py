@@ -113,7 +113,7 @@ def test_a_load_that_fails_before_its_commit_leaves_nothing(lake, land):
     interrupt_before_commit(lake, spec.TSD, land, NOW)
     assert lake.load_bronze(spec.TSD, land, NOW) == 1
     assert lake.read("bronze_time_series_daily").count() == 2
-    assert rows(lake.read("rejected_values_time_series_daily")) == [("c", "close", "x")]
+    assert rows(lake.read("rejected_values_time_series_daily"), "filename", "column", "raw") == [("c", "close", "x")]
     assert rows(lake.read("rejects_time_series_daily"), "column", "rejected") == [("close", 1)]
     assert lake.read("quarantine_time_series_daily").count() == 1 and lake.ledger(spec.TSD.name).count() == 2
 
