@@ -49,11 +49,8 @@ from strata.llm.common import WORD, free_name, quoted, ship, stored
 from strata.llm.components import components
 
 WIDTH, PERCENT = 5, 80
-#: Shingles per fragment, bytes of text handled at a time.
+#: Shingles per fragment (up to half as many more), bytes of text handled at a time.
 FRAGMENT, CHUNK = 2 << 20, 4 << 20
-#: A power of two of fragments, so that a fragment's number is the hash's first
-#: bits; with at least so many, seven bytes hold the others.
-LEAST_FRAGMENTS = 256
 #: A fragment that grows beyond this many times its size is not counted.
 SWOLLEN = 4
 #: Classes and shingles per block.
@@ -162,20 +159,28 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _low(h: np.ndarray) -> bytes:
-    """The low 56 bits of each hash; the fragment's number holds the others."""
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+def _shift(fragments: int) -> int:
+    """Fragments are a power of two: a hash shifted by so many bits is its
+    fragment, and the lower bits are all that has to travel with it."""
+    return 64 - (fragments.bit_length() - 1)
 
 
-def _unlow(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 7, 8), dtype=np.uint8)
-    out[:, :7] = np.frombuffer(b, dtype=np.uint8).reshape(-1, 7)
+def _low(h: np.ndarray, shift: int) -> bytes:
+    """The bytes of each hash that hold its lower ``shift`` bits."""
+    wide = -(-shift // 8)
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]).tobytes()
+
+
+def _unlow(b: bytes, shift: int) -> np.ndarray:
+    wide = -(-shift // 8)
+    out = np.zeros((len(b) // wide, 8), dtype=np.uint8)
+    out[:, :wide] = np.frombuffer(b, dtype=np.uint8).reshape(-1, wide)
     return out.view("<u8").reshape(-1)
 
 
-def _first_bits(fragments: int) -> np.uint64:
-    """The shift that leaves a hash's fragment."""
-    return np.uint64(64 - (fragments.bit_length() - 1))
+def _whole(low: np.ndarray, fragment: np.ndarray, shift: int) -> np.ndarray:
+    """The hashes again. (Bits that both parts hold are the same.)"""
+    return low if shift == 64 else low | (fragment << np.uint64(shift))
 
 
 PACKED = "fragment int, classes binary, counts binary, low binary"
@@ -186,6 +191,8 @@ def _deal(fragments: int, frequent):
     Listed frequent shingles go to fragment numbers beyond the others, spread
     by the run's first class, so that one shingle's rows meet in no one task."""
 
+    shift = _shift(fragments)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = frequent.value
         for batch in batches:
@@ -197,7 +204,7 @@ def _deal(fragments: int, frequent):
                 size = np.array([len(s) for s in once.values()])
                 h = np.concatenate(list(once.values()))
                 owner = np.repeat(np.arange(len(size)), size)
-                part = (h >> _first_bits(fragments)).astype(np.int32)
+                part = (h >> np.uint64(shift)).astype(np.int32) if shift < 64 else np.zeros(len(h), dtype=np.int32)
                 if len(listed):
                     at = np.searchsorted(listed, h)
                     hot = listed[np.minimum(at, len(listed) - 1)] == h
@@ -208,7 +215,7 @@ def _deal(fragments: int, frequent):
                 rows = ([], [], [], [])
                 for a, b in zip(cut, np.append(cut[1:], len(part))):
                     who, count = np.unique(owner[a:b], return_counts=True)
-                    for column, value in zip(rows, (int(part[a]), ids[who].tobytes(), count.astype("<u4").tobytes(), _low(h[a:b]))):
+                    for column, value in zip(rows, (int(part[a]), ids[who].tobytes(), count.astype("<u4").tobytes(), _low(h[a:b], shift))):
                         column.append(value)
                 yield pa.record_batch([pa.array(rows[0], pa.int32()), *[pa.array(c, pa.binary()) for c in rows[1:]]], names=["fragment", "classes", "counts", "low"])
 
@@ -245,6 +252,7 @@ def _words64(ids: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _count(fragments: int, buckets: int, most: int):
     """One fragment: how many classes hold each shingle. What two or more hold
     goes back to the classes, packed per bucket of classes."""
+    shift = _shift(fragments)
 
     def emit(fragment, c0, c1, count, h, often):
         bucket = (c0 % np.uint64(buckets)).astype(np.int64)
@@ -260,15 +268,15 @@ def _count(fragments: int, buckets: int, most: int):
         for a, b in zip(cut, np.append(cut[1:], len(bucket))):
             ids = np.stack([c0[a:b], c1[a:b]], axis=1).astype(">u8").tobytes()
             x, y = at[a], at[b]
-            for column, value in zip(rows, (int(bucket[a]), fragment, ids, count[a:b].astype("<u4").tobytes(), _low(h[x:y]), often[x:y].tobytes())):
+            for column, value in zip(rows, (int(bucket[a]), fragment, ids, count[a:b].astype("<u4").tobytes(), _low(h[x:y], shift), often[x:y].tobytes())):
                 column.append(value)
         return pa.record_batch([pa.array(c, t) for c, t in zip(rows, _SHARED_TYPES)], names=[x.split(" ")[0] for x in SHARED.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows, swollen in _parts(batches, fragments, most):
+        for number, rows, swollen in _parts(batches, fragments, most * -(-shift // 8)):
             c0, c1 = _words64(b"".join(r[0] for r in rows))
             count = np.frombuffer(b"".join(r[1] for r in rows), dtype="<u4").astype(np.int64)
-            h = np.concatenate([_unlow(r[2]) for r in rows])
+            h = np.concatenate([_unlow(r[2], shift) for r in rows])
             rows.clear()
             # A class comes once for each run of texts that has a copy of it.
             order = np.lexsort((c1, c0))
@@ -297,8 +305,8 @@ def _count(fragments: int, buckets: int, most: int):
 
 
 def _parts(batches: Iterator[pa.RecordBatch], fragments: int, most: int) -> Iterator[tuple[int, list, bool]]:
-    """Rows (classes, counts, low) of one fragment, and whether it has more than
-    ``most`` shingles. Only counting needs to see a fragment whole; rows of
+    """Rows (classes, counts, low) of one fragment, and whether its shingles take
+    more than ``most`` bytes. Only counting needs to see a fragment whole; rows of
     listed shingles, and of a fragment once it has too many, are handed on."""
     now, held, size, swollen = None, [], 0, False
     for batch in batches:
@@ -309,7 +317,7 @@ def _parts(batches: Iterator[pa.RecordBatch], fragments: int, most: int) -> Iter
             if f != now:
                 now, size, swollen = f, 0, False
             held.append(tuple(batch.column(c)[i].as_py() for c in (1, 2, 3)))
-            size += len(held[-1][2]) // 7
+            size += len(held[-1][2])
             if size > most and f < fragments:
                 swollen = True
                 yield now, held, True
@@ -324,12 +332,13 @@ KEPT = "class binary, n int, prefix array<bigint>, parts array<array<bigint>>"
 def _assemble(fragments: int):
     """One bucket of classes: their shared shingles, rarest first. Classes with
     too few of them end here."""
+    shift = _shift(fragments)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _groups(batches, 0):
             c0, c1 = _words64(b"".join(r["classes"] for r in rows))
             count = np.frombuffer(b"".join(r["counts"] for r in rows), dtype="<u4").astype(np.int64)
-            low = np.concatenate([_unlow(r["low"]) for r in rows])
+            low = np.concatenate([_unlow(r["low"], shift) for r in rows])
             name = np.repeat(np.array([r["fragment"] for r in rows], dtype=np.uint64), [len(r["often"]) for r in rows])
             often = np.frombuffer(b"".join(r["often"] for r in rows), dtype=np.uint8)
             rows.clear()
@@ -352,7 +361,7 @@ def _assemble(fragments: int):
             stays = 100 * shared >= PERCENT * n
             keep = stays[owner]
             owner, often = owner[keep], often[keep]
-            shingle = (low[keep] | (name[keep] << _first_bits(fragments))).view(np.int64)
+            shingle = _whole(low[keep], name[keep], shift).view(np.int64)
             order = np.lexsort((shingle, often, owner))
             owner, shingle = owner[order], shingle[order]
             part = (low[keep][order] >> np.uint64(46)).astype(np.int64) % PARTS
@@ -460,8 +469,8 @@ def linked(docs: DataFrame, own: DataFrame, frequent: DataFrame, text: str = "te
     spark = docs.sparkSession
     classes = own.where(F.col("n") > 0).groupBy("class").agg(F.first("n").alias("n"))
     count, total = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    fragments = LEAST_FRAGMENTS
-    while fragments * FRAGMENT < total:
+    fragments = 1
+    while fragments * FRAGMENT * 3 < total * 2:
         fragments *= 2
     # At most (mean set size / FREQUENT) entries.
     often = frequent.where(F.col("times") >= max(LEAST_FREQUENT, FREQUENT * count)).select("shingle").collect()
