@@ -1,7 +1,7 @@
 """WARC: deterministic sharded writer, and the reader that checks it.
 
 Records are range-sorted by key into shards of about equal bytes. The shard
-borders come from exact byte counts in key bins (at most ``MAX_BINS`` of them),
+borders come from exact byte counts in key bins (never more than ``MAX_BINS``),
 not from a sample, so the same table always gives the same files. A bin that
 holds more than a shard is cut again between its own first and last key, until
 none does; a single key that does, and rows without a key, are cut by digest.
@@ -44,7 +44,8 @@ from strata.session import work_path
 
 LEAST_REVISIT = 100
 SHARD_BYTES, ROLL_BYTES = 64 << 20, 32 << 20
-MAX_BINS = 1 << 16
+#: Bins of a first cut; cells of all later ones together, and shards, at most.
+BINS, MAX_BINS = 1 << 12, 1 << 16
 #: FIXED VALUES: names and values of the WARC 1.1 format.
 VERSION = b"WARC/1.1\r\n"
 DATE = "1970-01-01T00:00:00Z"
@@ -194,7 +195,7 @@ def shards(small: DataFrame, shard_bytes: int) -> tuple[list[DataFrame], DataFra
     target = max(shard_bytes, total // MAX_BINS)
     levels, leaves, inner = [], [], []
     rows = small.where(F.col("key").isNotNull()).withColumn("range", F.lit(0))
-    ranges = [] if low is None else [(0, low, max(1, -(-(high - low + 1) // MAX_BINS)))]
+    ranges = [] if low is None else [(0, low, max(1, -(-(high - low + 1) // BINS)))]
     while ranges:
         levels.append(_cut(spark, ranges))
         rows = _binned(rows, levels[-1])
@@ -202,7 +203,7 @@ def shards(small: DataFrame, shard_bytes: int) -> tuple[list[DataFrame], DataFra
         heavy = (F.col("b") > target) & (F.col("first") < F.col("last"))
         leaves.append(cells.where(~heavy))
         found = cells.where(heavy).orderBy("first").collect()
-        bins = max(4, MAX_BINS // max(1, len(found)))
+        bins = max(4, min(BINS, MAX_BINS // max(1, len(found))))
         start = ranges[-1][0] + 1
         ranges = [(start + i, r["first"], max(1, -(-(r["last"] - r["first"] + 1) // bins))) for i, r in enumerate(found)]
         named = [(r["range"], r["bin"], n[0]) for r, n in zip(found, ranges)]

@@ -92,6 +92,26 @@ def test_snapshots_collapse_to_maximal_conversations(spark):
     assert got[8].count("<|") == 150
 
 
+def test_snapshots_of_a_conversation_in_many_parts(spark):
+    """A third of all turns are one conversation's, others belong to none; the
+    order's parts cut both, and their inner prefixes are found."""
+    long = [(7, t, "user", f"turn {t}") for t in range(600)]
+    none = [(None, t, "user", f"stray {t % 90}") for t in range(500)]
+    short = [(100 + c, t, "user", f"turn {t}") for c, n in enumerate((1, 2, 300, 599, 600)) for t in range(n)]
+    short += [(200, t, "user", f"turn {t}" if t < 550 else "other") for t in range(560)] + [(201, 0, "user", "stray 1")]
+    data = long + none + short
+    cut = chat.slices(chat.ordered(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")))
+    assert cut.where("conv = 7").count() > 1 or cut.where("conv is null").count() > 1
+    got = chat.render(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).collect()
+    turns = {}
+    for r in sorted(got, key=lambda r: r["part"]):
+        turns.setdefault(r["conv_id"], []).append(r["rendered"])
+        assert r["n_turns"] == {7: 600, None: 500, 200: 560, 201: 1}[r["conv_id"]]
+    assert set(turns) == {7, None, 200, 201}
+    assert "".join(turns[7]) == "".join(f"<|user|>\nturn {t}\n" for t in range(600))
+    assert "".join(turns[None]) == "".join(f"<|user|>\nstray {t % 90}\n" for t in range(500))
+
+
 # 4 --------------------------------------------------------------------------
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -523,6 +543,7 @@ def test_warc_cuts_heavy_bins_keys_and_rows_without_a_key_again(spark, monkeypat
     """A far-off key puts all others in one bin, one key has a third of the
     rows, many have none; shards stay small and records unique."""
     monkeypatch.setattr(warc, "MAX_BINS", 64)
+    monkeypatch.setattr(warc, "BINS", 16)
     page = lambda i: f"<p>{i}</p>" * 40
     data = [(i, "u", page(i)) for i in range(200)] + [(10**12, "u", page(-1)), (-(2**62), "u", page(-2))]
     data += [(7, f"t{i}", page(1000 + i)) for i in range(150)] + [(None, f"n{i}", page(2000 + i)) for i in range(100)]
