@@ -50,9 +50,9 @@ UNKNOWN = "und"
 #: FIXED VALUES: bytes that end a piece, and bytes between words.
 SEPARATORS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Keys that a task gathers before it counts them, rows of a batch it returns.
-HELD, ROWS = 1 << 21, 1 << 16
+HELD, ROWS = 1 << 20, 1 << 15
 #: The sieve has SPARE bits for a key, up to SIEVE_BITS (16 MB).
 SPARE, SIEVE_BITS = 32, 1 << 27
 
