@@ -26,20 +26,23 @@ import json
 import threading
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.dedup import dedup_latest
 from strata.operators.shape import q
 from strata.operators.upsert import delete_where, upsert
-from strata.session import materialize, work_path
+from strata.session import materialize
 
 MERGE_PROVIDERS = ("delta", "iceberg")
 #: The hidden partition column of keyed tables, and the rows of a bucket beyond
 #: which buckets are split.
 BUCKET = "_bucket"
 BUCKET_ROWS = 2_000_000
+#: A bucket is a folder and a catalog entry, so their number is bounded: beyond
+#: it buckets grow. A bucket is merged in up to ``PIECES`` tasks.
+MAX_BUCKETS, PIECES = 1024, 4
 #: The overwrite mode is a setting of the session, which loads in other threads
 #: share.
 _MODE_LOCK = threading.Lock()
@@ -101,9 +104,10 @@ def bucket_of(keys, buckets: int) -> Column:
 
 
 def buckets_for(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
-    """A power of two of buckets that hold ``bucket_rows`` on average at most."""
+    """A power of two of buckets that hold ``bucket_rows`` on average at most,
+    or ``MAX_BUCKETS`` larger ones."""
     n = 1
-    while n * bucket_rows < rows:
+    while n * bucket_rows < rows and n < MAX_BUCKETS:
         n *= 2
     return n
 
@@ -222,12 +226,13 @@ def overwrite_partitions(spark: SparkSession, name: str, df: DataFrame, partitio
     _overwrite(spark, to, to.fit(df))
 
 
-def _overwrite(spark: SparkSession, to: _Layout, rows: DataFrame) -> int:
+def _overwrite(spark: SparkSession, to: _Layout, rows: DataFrame, clustered: bool = False) -> int:
     """Dynamic partition overwrite; the number of rows written. Spark writes
     beside the old files and swaps when all tasks are done, so ``rows`` may
-    come from the table itself."""
+    come from the table itself. ``clustered``: tasks hold few partitions each
+    already, so rows are written where they are."""
     seen = Observation()
-    rows = _rebalanced(rows, to.parts).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows = (rows if clustered else _rebalanced(rows, to.parts)).observe(seen, F.count(F.lit(1)).alias("n"))
     mode = "spark.sql.sources.partitionOverwriteMode"
     with _MODE_LOCK:
         before = spark.conf.get(mode)
@@ -259,10 +264,11 @@ def _literal(v) -> str:
 
 def _drop_partitions(spark: SparkSession, to: _Layout, gone: DataFrame) -> None:
     """Drop the listed partitions: a list of partition values, no rows."""
-    for r in gone.collect():
-        values = ", ".join(f"`{p}` = {_literal(r[p])}" for p in to.parts)
-        spark.sql(f"ALTER TABLE {_quote_name(to.generation)} DROP IF EXISTS PARTITION ({values})")
-    spark.catalog.refreshTable(to.generation)
+    specs = ["PARTITION (" + ", ".join(f"`{p}` = {_literal(r[p])}" for p in to.parts) + ")" for r in gone.collect()]
+    for i in range(0, len(specs), 100):
+        spark.sql(f"ALTER TABLE {_quote_name(to.generation)} DROP IF EXISTS {', '.join(specs[i : i + 100])}")
+    if specs:
+        spark.catalog.refreshTable(to.generation)
 
 
 def has_partition(spark: SparkSession, name: str, values: dict) -> bool:
@@ -286,23 +292,35 @@ def _same(left: str, right: str, cols) -> Column:
     return cond
 
 
-def _rewrite_partitions(spark: SparkSession, to: _Layout, touched: DataFrame, rows: DataFrame) -> None:
-    """Make ``rows`` the whole content of the touched partitions, some of which
-    may be left without rows."""
-    staged = write_snapshot(rows, work_path(spark, "staging", to.generation.replace(".", "_")), to.parts)
-    restaged = spark.read.schema(rows.schema).parquet(staged).select(*[q(c) for c in to.table.columns])
-    _overwrite(spark, to, restaged)
-    have = restaged.select(*[q(p) for p in to.parts]).distinct().alias("h")
-    _drop_partitions(spark, to, touched.alias("t").join(have, _same("t", "h", to.parts), "left_anti"))
+def _matches(left: str, right: str, keys, null_safe: bool) -> Column:
+    """Equality of the keys of two aliased frames."""
+    cond = F.lit(True)
+    for k in keys:
+        t, s = F.col(f"{left}.`{k}`"), F.col(f"{right}.`{k}`")
+        cond = cond & (t.eqNullSafe(s) if null_safe else t == s)
+    return cond
+
+
+def _merged(to: _Layout, touched: DataFrame, src: DataFrame, keys, null_safe: bool) -> DataFrame:
+    """The touched buckets after an upsert, each in a few tasks and in order:
+    old and new rows meet in one shuffle by bucket, which also serves the write.
+    A stored row stays unless a source row has its key."""
+    new = "_new" if "_new" not in to.table.columns else f"_new_{uuid.uuid4().hex[:8]}"
+    piece = f"_piece_{uuid.uuid4().hex[:8]}"
+    old = to.table.alias("t").join(touched.alias("p"), _same("t", "p", to.parts), "left_semi")
+    both = old.withColumn(new, F.lit(0)).unionByName(src.withColumn(new, F.lit(1)))
+    # Another hash than the bucket's, so that pieces of a bucket are alike in size.
+    both = both.withColumn(piece, F.pmod(F.hash(*[q(k) for k in keys]), F.lit(PIECES))).repartition(BUCKET, piece)
+    stays = F.max(q(new)).over(Window.partitionBy(BUCKET, piece, *[q(k) for k in keys])) == q(new)
+    if not null_safe:
+        for k in keys:
+            stays = stays | q(k).isNull()
+    return both.withColumn(new, stays).where(q(new)).select(*[q(c) for c in to.table.columns])
 
 
 def _merge(target: str, src: DataFrame, keys, null_safe: bool) -> None:
     """J1 by the table's own MERGE."""
-    cond = F.lit(True)
-    for k in keys:
-        t, s = F.col(f"{target}.`{k}`"), F.col(f"s.`{k}`")
-        cond = cond & (t.eqNullSafe(s) if null_safe else t == s)
-    src.alias("s").mergeInto(target, cond).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    src.alias("s").mergeInto(target, _matches(target, "s", keys, null_safe)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
 def _provider(spark: SparkSession, name: str) -> str:
@@ -364,27 +382,37 @@ def upsert_table(
         replace_table(spark, name, whole, (), keys, 1)
         _split(spark, name, seen.get["n"], 1, bucket_rows)
         return
-    touched = src.select(*[q(p) for p in parts])
+    of_parts = [q(p) for p in parts]
+    touched = src.select(*of_parts).distinct()
     # A bucket follows from a key that holds the bucket's columns.
     moves = not set(to.keys) <= set(keys) if to.buckets else moves
+    gone = None
     if moves:
-        touched = touched.unionByName(target.alias("t").join(s_keys, _same("t", "s", keys), "left_semi").select(*[q(p) for p in parts]))
-    touched = materialize(touched.distinct())
-    # The semi-join on the partition columns prunes the target scan to them.
-    old = target.alias("t").join(touched.alias("p"), _same("t", "p", parts), "left_semi")
-    rows = upsert(old, src, keys, null_safe, dedup_source=False)
-    if moves:
-        _rewrite_partitions(spark, to, touched, rows)
+        # Stored rows that leave, counted by partition; one that loses all of
+        # its rows and gets none is dropped.
+        matched = target.alias("t").join(s_keys, _matches("t", "s", keys, null_safe), "left_semi")
+        leaving = materialize(matched.groupBy(*of_parts).agg(F.count(F.lit(1)).alias("_n")))
+        whole = target.groupBy(*of_parts).agg(F.count(F.lit(1)).alias("_n"))
+        emptied = leaving.alias("l").join(whole.alias("w"), _same("l", "w", [*parts, "_n"]), "left_semi")
+        gone = materialize(emptied.drop("_n").alias("e").join(touched.alias("s"), _same("e", "s", parts), "left_anti"))
+        touched = touched.unionByName(leaving.drop("_n")).distinct()
+    touched = materialize(touched)
+    if to.buckets and not moves:
+        n = _overwrite(spark, to, _merged(to, touched, src, keys, null_safe), clustered=True)
     else:
-        n = _overwrite(spark, to, rows)
-        if to.buckets and n > bucket_rows:
-            _split(spark, name, n, touched.count(), bucket_rows)
+        # The semi-join on the partition columns prunes the target scan to them.
+        old = target.alias("t").join(touched.alias("p"), _same("t", "p", parts), "left_semi")
+        n = _overwrite(spark, to, upsert(old, src, keys, null_safe, dedup_source=False))
+    if gone is not None:
+        _drop_partitions(spark, to, gone)
+    if to.buckets and n > bucket_rows:
+        _split(spark, name, n, touched.count(), bucket_rows)
 
 
 def _split(spark: SparkSession, name: str, rows: int, buckets: int, bucket_rows: int) -> None:
     """More buckets, if ``rows`` in ``buckets`` of them are too many."""
     to = _Layout(spark, name)
-    more = buckets_for(-(-rows // buckets), bucket_rows)
+    more = min(buckets_for(-(-rows // buckets), bucket_rows), MAX_BUCKETS // max(1, to.buckets))
     if to.buckets and more > 1:
         replace_table(spark, name, to.table.drop(BUCKET), (), to.keys, to.buckets * more)
 
@@ -396,9 +424,13 @@ def delete_where_table(spark: SparkSession, name: str, predicate) -> None:
     if not to.parts:
         replace_table(spark, name, delete_where(to.table.drop(BUCKET), predicate), (), to.keys, to.buckets)
         return
-    touched = materialize(to.table.where(predicate).select(*[q(p) for p in to.parts]).distinct())
-    old = to.table.alias("t").join(touched.alias("p"), _same("t", "p", to.parts), "left_semi")
-    _rewrite_partitions(spark, to, touched, delete_where(old, predicate))
+    hit = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
+    counts = to.table.groupBy(*[q(p) for p in to.parts]).agg(F.count_if(hit).alias("_hit"), F.count_if(~hit).alias("_left"))
+    touched = materialize(counts.where("_hit > 0"))
+    old = to.table.alias("t").join(touched.where("_left > 0").alias("p"), _same("t", "p", to.parts), "left_semi")
+    # Rows stay in their partitions: a file's rows left are written by the task that read it.
+    _overwrite(spark, to, delete_where(old, predicate), clustered=True)
+    _drop_partitions(spark, to, touched.where("_left = 0"))
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
