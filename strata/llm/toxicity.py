@@ -6,12 +6,14 @@ widths run over the word vectors, each keeps its largest response over the
 whole text (max pooling), and a logistic layer gives the score, which is then
 scaled on held-back rows to read as a probability.
 
-The model is trained in numpy on the driver from a bounded sample of labelled
-rows: at most ``MAX_TOXIC`` + ``MAX_CLEAN`` texts of at most ``LONGEST``
-characters, the ones smallest by a hash of their id. The sample is chosen from
-the labels alone and its ids (a bounded set) are broadcast to fetch the texts.
-Rows whose crc32(id as text) mod 3 is 1 are never used. The model has a fixed
-size; scoring is one scan of all whole texts, in parts, without a shuffle.
+The model learns from every labelled row whose crc32(id as text) mod 3 is not
+1, whole texts of any length. A few (``SHARD_ROWS``, ``SHARD_CHARS``) are trained
+on at once on the driver. More are dealt into shards of that size by a hash: the
+word odds of all rows start one model, each shard trains a copy of it, and the
+changes are averaged, a word's by the texts that hold it.
+Sums are of integers, so reruns agree. Scale and cuts come from the counts of all
+held-back rows by score. The driver sees the model, which has a fixed size, and
+these counts; scoring is one scan of all whole texts, in parts, without a shuffle.
 
 Only the text enters a score. Thresholds on the score are calibrated on the
 held-back rows, per language where these hold enough toxic texts of it, and are
@@ -33,16 +35,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.llm.common import free_name, quoted, ship
+from strata.llm.common import free_name, quoted, ship, stored
 
-MAX_TOXIC, MAX_CLEAN, LONGEST = 2000, 4000, 20_000
+SHARD_ROWS, SHARD_CHARS = 6000, 1 << 25
+#: The unit of the integer sums of the shards' changes.
+UNIT = float(1 << 30)
+#: Bins of a raw output of 1, when outputs are counted.
+BINS = 32
 BUCKETS, DIM = 1 << 19, 8
 WIDTHS, FILTERS = (1, 2, 3), 6
 STEMS = (4, 5, 6)
-EPOCHS, BATCH, RATE = 6, 32, 0.05
+EPOCHS, SHARD_EPOCHS, BATCH, RATE = 6, 3, 32, 0.05
 CUT = 0.7
 #: Toxic texts that a language needs in the held-back rows for a cut of its own.
 LEAST_TOXIC = 8
@@ -99,10 +105,8 @@ def _layout(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return flat, begin, begin + lengths
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[Model, np.ndarray]:
-    """Fit on texts and 0/1 labels; also gives the positions of the fifth that
-    is held back for the scale and the cuts."""
-    rng = np.random.default_rng(seed)
+def _numbered(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Word numbers per text, the buckets in use, and each word's among them."""
     vocab: dict[str, int] = {"": 0}
     docs = [np.array([vocab.setdefault(w, len(vocab)) for w in words_of(t)], dtype=np.int64) for t in texts]
     feats = np.zeros((len(vocab), 1 + len(STEMS)), dtype=np.int64)
@@ -110,20 +114,23 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[Model, n
         if i:
             feats[i] = features(w)
     rows, local = np.unique(feats, return_inverse=True)
-    local = local.reshape(feats.shape)
-    order = rng.permutation(len(docs))
-    back, fit = order[: len(docs) // 5], order[len(docs) // 5 :]
-    # Start from how much more often a feature is in toxic texts.
-    seen = np.zeros((2, len(rows)))
+    return docs, rows, local.reshape(feats.shape)
+
+
+def _seen(docs: list[np.ndarray], local: np.ndarray, n_rows: int, labels: np.ndarray, fit) -> np.ndarray:
+    """2 x rows: clean and toxic texts that hold a feature."""
+    seen = np.zeros((2, n_rows))
     for i in fit:
         seen[labels[i], np.unique(local[docs[i]])] += 1
-    n_clean, n_toxic = np.bincount(labels[fit], minlength=2)
+    return seen
+
+
+def _start(seen: np.ndarray, n_clean: int, n_toxic: int, table: np.ndarray, rng) -> Model:
+    """The untrained model, from a random table: how much more often a feature is in toxic texts."""
     odds = np.log((seen[1] + 0.5) / (n_toxic + 1)) - np.log((seen[0] + 0.5) / (n_clean + 1))
     n_seen = seen.sum(axis=0)
     odds *= n_seen / (n_seen + 4)
-    table = rng.normal(0, 0.1, (len(rows), DIM))
     table[:, 0] = 0.25 * odds
-    table[rows == 0] = 0
     filters = [rng.normal(0, 0.1, (w, DIM, FILTERS)) for w in WIDTHS]
     # Half of the filters start from the odds of their first word, the others
     # from chance, of either sign, and are free to learn words in order.
@@ -134,11 +141,16 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[Model, n
         w[:, :, half:] *= 5
     bias[:, half:] = 0
     out[:, half:] = rng.choice([-0.3, 0.3], out[:, half:].shape)
-    model = Model(table, filters, bias.reshape(-1), out.reshape(-1), -2.0)
+    return Model(table, filters, bias.reshape(-1), out.reshape(-1), -2.0)
+
+
+def _learn(model: Model, docs: list[np.ndarray], local: np.ndarray, labels: np.ndarray, fit: np.ndarray, weight: np.ndarray,
+           epochs: int, rng) -> None:
+    """Gradient steps on the texts ``fit``; ``model.table`` has the rows in use."""
+    table, filters = model.table, model.filters
     sums = [np.zeros_like(x) for x in (table, *filters, model.bias, model.out)]
     sum_b = 0.0
-    weight = np.where(labels == 1, 0.5 * len(fit) / max(1, n_toxic), 0.5 * len(fit) / max(1, n_clean))
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         shuffled = rng.permutation(fit)
         for s in range(0, len(shuffled), BATCH):
             part = shuffled[s : s + BATCH]
@@ -182,29 +194,51 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[Model, n
             model.out -= RATE * go / (np.sqrt(sums[-1]) + 1e-6)
             sum_b += d.sum() ** 2
             model.out_bias -= RATE * d.sum() / (np.sqrt(sum_b) + 1e-6)
+
+
+def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[Model, np.ndarray]:
+    """Fit on texts and 0/1 labels; also gives the positions of the fifth that
+    is held back for the scale and the cuts."""
+    rng = np.random.default_rng(seed)
+    docs, rows, local = _numbered(texts)
+    order = rng.permutation(len(docs))
+    back, fit = order[: len(docs) // 5], order[len(docs) // 5 :]
+    n_clean, n_toxic = np.bincount(labels[fit], minlength=2)
+    table = rng.normal(0, 0.1, (len(rows), DIM))
+    model = _start(_seen(docs, local, len(rows), labels, fit), n_clean, n_toxic, table, rng)
+    table[rows == 0] = 0
+    _learn(model, docs, local, labels, fit, _weights(labels, n_clean, n_toxic), EPOCHS, rng)
     whole = np.zeros((BUCKETS, DIM), dtype=np.float32)
-    whole[rows] = table
+    whole[rows] = model.table
     model.table = whole
-    model.filters = [w.astype(np.float32) for w in filters]
+    model.filters = [w.astype(np.float32) for w in model.filters]
     _scale(model, [texts[i] for i in back], labels[back])
     return model, back
 
 
+def _weights(labels: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
+    n = n_clean + n_toxic
+    return np.where(labels == 1, 0.5 * n / max(1, n_toxic), 0.5 * n / max(1, n_clean))
+
+
 def _scale(model: Model, texts: list[str], labels: np.ndarray) -> None:
-    """Logistic fit of the raw output on held-back rows, by Newton's method,
-    towards smoothed labels so that separable rows give a finite fit."""
     if len(set(labels.tolist())) < 2:
         return
     p = Scorer(model).many(texts)
-    z = np.log(p) - np.log1p(-p)
-    n1 = labels.sum()
-    target = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (len(labels) - n1 + 2))
+    _fit_scale(model, np.log(p) - np.log1p(-p), labels, np.ones(len(labels), dtype=np.int64))
+
+
+def _fit_scale(model: Model, z: np.ndarray, labels: np.ndarray, times: np.ndarray) -> None:
+    """Logistic fit of the raw output on held-back rows, by Newton's method,
+    towards smoothed labels so that separable rows give a finite fit."""
+    n1, n = (labels * times).sum(), times.sum()
+    target = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n - n1 + 2))
     x = np.stack([z, np.ones_like(z)], axis=1)
     b = np.array([1.0, 0.0])
     for _ in range(25):
         q = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        h = (x * (q * (1 - q))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (target - q) - 1e-3 * (b - np.array([1.0, 0.0])))
+        h = (x * (q * (1 - q) * times)[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(h, x.T @ ((target - q) * times) - 1e-3 * (b - np.array([1.0, 0.0])))
         b = b + np.clip(step, -1, 1)
     if b[0] > 0:
         model.scale = (float(b[0]), float(b[1]))
@@ -262,56 +296,173 @@ class Scorer:
         return self.model.score(np.stack(pooled).astype(float)) if pooled else np.zeros(0)
 
 
+def _best(s: np.ndarray, y: np.ndarray, times: np.ndarray) -> float:
+    """The middle of the cuts with the fewest errors."""
+    order = np.argsort(s)
+    s, y, times = s[order], y[order], times[order]
+    # Errors if everything from position i on is called toxic.
+    wrong = np.concatenate([[0], np.cumsum(y * times)]) + np.concatenate([np.cumsum(((1 - y) * times)[::-1])[::-1], [0]])
+    i = np.flatnonzero(wrong == wrong.min())
+    lo, hi = i[0], i[-1]
+    edge = lambda k: 0.5 * ((s[k - 1] if k else 0.0) + (s[k] if k < len(s) else 1.0))
+    return float(np.clip(0.5 * (edge(lo) + edge(hi)), 0.3, 0.9))
+
+
 def calibrate(model: Model, texts: list[str], langs: list, labels: np.ndarray) -> None:
     """Cuts per language: the middle of the best gap between the scores of
     clean and toxic held-back texts, where the language has enough toxic ones.
     Without held-back texts of both classes the cuts stay at CUT."""
     if len(set(labels.tolist())) < 2:
         return
+    once = np.ones(len(labels), dtype=np.int64)
+    _centre(model, Scorer(model).many(texts), labels, once)
     scores = Scorer(model).many(texts)
-
-    def best(s: np.ndarray, y: np.ndarray) -> float:
-        order = np.argsort(s)
-        s, y = s[order], y[order]
-        # Errors if everything from position i on is called toxic.
-        wrong = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
-        i = np.flatnonzero(wrong == wrong.min())
-        lo, hi = i[0], i[-1]
-        edge = lambda k: 0.5 * ((s[k - 1] if k else 0.0) + (s[k] if k < len(s) else 1.0))
-        return float(np.clip(0.5 * (edge(lo) + edge(hi)), 0.3, 0.9))
-
-    # Move the scale so that the best cut over all languages reads CUT.
-    found = np.clip(best(scores, labels), 0.4, 0.9)
-    a, b = model.scale
-    model.scale = (a, b + float(np.log(CUT / (1 - CUT)) - np.log(found / (1 - found))))
-    scores = Scorer(model).many(texts)
-    model.cut = best(scores, labels)
+    model.cut = _best(scores, labels, once)
     for lang in sorted({x for x in langs if x is not None}):
         mine = np.array([x == lang for x in langs])
         if labels[mine].sum() >= LEAST_TOXIC:
-            model.cuts[lang] = best(scores[mine], labels[mine])
+            model.cuts[lang] = _best(scores[mine], labels[mine], once[mine])
+
 
+def _centre(model: Model, scores: np.ndarray, labels: np.ndarray, times: np.ndarray) -> None:
+    """Move the scale so that the best cut over all languages reads CUT."""
+    found = np.clip(_best(scores, labels, times), 0.4, 0.9)
+    a, b = model.scale
+    model.scale = (a, b + float(np.log(CUT / (1 - CUT)) - np.log(found / (1 - found))))
+
+
+def _pack(model: Model) -> np.ndarray:
+    """All but the table, as rows that look like the table's."""
+    flat = np.concatenate([*[w.reshape(-1) for w in model.filters], model.bias, model.out, [model.out_bias]])
+    return np.concatenate([flat, np.zeros(-len(flat) % DIM)]).reshape(-1, DIM)
+
+
+def _unpack(model: Model, rows: np.ndarray) -> None:
+    flat, at = rows.reshape(-1), 0
+    for j, w in enumerate(model.filters):
+        model.filters[j] = flat[at : at + w.size].reshape(w.shape).copy()
+        at += w.size
+    n = len(model.bias)
+    model.bias, model.out, model.out_bias = flat[at : at + n].copy(), flat[at + n : at + 2 * n].copy(), float(flat[at + 2 * n])
+
+
+_COUNTED = "row int, clean long, toxic long"
+_CHANGED = "row int, w long, " + ", ".join(f"d{i} long" for i in range(DIM))
+
+
+def _train_shards(rows: DataFrame, shards: int) -> Model:
+    """Train on all rows (t, g, y, h, back) of any number, in shards."""
+    spark = rows.sparkSession
+    ship(spark)
+    fit = rows.where(~F.col("back"))
+    sizes = {r["y"]: r["n"] for r in fit.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((2, BUCKETS), dtype=np.int64)
+        for part in batches:
+            docs, used, local = _numbered(part["t"].to_list())
+            total[:, used] += _seen(docs, local, len(used), part["y"].to_numpy(), range(len(docs))).astype(np.int64)
+        at = np.flatnonzero(total.any(axis=0))
+        yield pd.DataFrame({"row": at.astype(np.int32), "clean": total[0, at], "toxic": total[1, at]})
+
+    # Bounded: one row per bucket of the table.
+    held = fit.select("t", "y").mapInPandas(counted, _COUNTED).groupBy("row").agg(F.sum("clean"), F.sum("toxic")).toArrow()
+    seen = np.zeros((2, BUCKETS))
+    seen[:, held.column(0).to_numpy()] = [held.column(1).to_numpy(), held.column(2).to_numpy()]
+    rng = np.random.default_rng(7)
+    table = 0.1 * rng.standard_normal((BUCKETS, DIM), dtype=np.float32)
+    model = _start(seen, n_clean, n_toxic, table, rng)
+    table[0] = 0
+    del held, seen
+    shared = spark.sparkContext.broadcast(model)
+
+    def changed(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["h", "t"])
+        docs, used, local = _numbered(part["t"].to_list())
+        y, m = part["y"].to_numpy(), shared.value
+        mine = Model(m.table[used].astype(float), [w.copy() for w in m.filters], m.bias.copy(), m.out.copy(), m.out_bias)
+        before = np.concatenate([mine.table, _pack(mine)])
+        rng = np.random.default_rng([7, int(part["shard"].iloc[0])])
+        _learn(mine, docs, local, y, np.arange(len(docs)), _weights(y, n_clean, n_toxic), SHARD_EPOCHS, rng)
+        delta = np.concatenate([mine.table, _pack(mine)]) - before
+        more = len(delta) - len(used)
+        w = np.concatenate([_seen(docs, local, len(used), y, range(len(docs))).sum(axis=0), np.full(more, len(docs))])
+        sums = np.rint(delta * w[:, None] * UNIT).astype(np.int64)
+        got = {"row": np.concatenate([used, BUCKETS + np.arange(more)]).astype(np.int32), "w": w.astype(np.int64)}
+        return pd.DataFrame({**got, **{f"d{i}": sums[:, i] for i in range(DIM)}})
+
+    dealt = fit.withColumn("shard", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int")).repartition(shards, "shard")
+    mean = [(F.sum(f"d{i}") / F.lit(UNIT) / F.sum("w")).cast("float").alias(f"d{i}") for i in range(DIM)]
+    # Bounded: the size of the model.
+    moved = dealt.groupBy("shard").applyInPandas(changed, _CHANGED).where("w > 0").groupBy("row").agg(*mean).toArrow()
+    at = moved.column("row").to_numpy()
+    of_table, rest = at < BUCKETS, _pack(model)
+    for i in range(DIM):
+        d = moved.column(f"d{i}").to_numpy()
+        table[at[of_table], i] += d[of_table]
+        rest[at[~of_table] - BUCKETS, i] += d[~of_table]
+    _unpack(model, rest)
+    model.filters = [w.astype(np.float32) for w in model.filters]
+    shared.unpersist()
+    return model
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", label: str = "toxic",
-        max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, longest: int = LONGEST) -> Model:
-    """Train on a bounded sample of the labelled rows outside the held-out fold."""
+
+def _calibrate_shards(model: Model, back: DataFrame) -> None:
+    """Scale and cuts from the held-back rows, counted by raw output."""
+    shared = back.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("int")
+    def output(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(shared.value)
+        for texts in batches:
+            p = scorer.many(texts.to_list())
+            yield pd.Series(np.rint(BINS * (np.log(p) - np.log1p(-p))), dtype="int32")
+
+    count = F.sum("n").alias("n")
+    held = stored(back.select("g", "y", output("t").alias("z")).groupBy("g", "y", "z").agg(F.count("*").alias("n")), "toxic-held")
+    own = held.where("y = 1 AND g IS NOT NULL").groupBy("g").agg(count).where(F.col("n") >= LEAST_TOXIC).select("g")
+    arrays = lambda df: [df[c].to_numpy().astype(np.int64) for c in ("z", "y", "n")]
+    z, y, n = arrays(held.groupBy("y", "z").agg(count).orderBy("z", "y").toArrow())
+    if len(set(y.tolist())) < 2:
+        return
+    z = z / BINS
+    scored = lambda x: 1 / (1 + np.exp(-np.clip(model.scale[0] * x + model.scale[1], -30, 30)))
+    _fit_scale(model, z, y, n)
+    _centre(model, scored(z), y, n)
+    model.cut = _best(scored(z), y, n)
+    for lang, mine in held.join(own, "g").orderBy("g", "z", "y").toArrow().to_pandas().groupby("g"):
+        z, y, n = arrays(mine)
+        model.cuts[lang] = _best(scored(z / BINS), y, n)
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", label: str = "toxic") -> Model:
+    """Train on all labelled rows outside the held-out fold."""
     marked = (
         labels.select(quoted(key).alias("k"), quoted(label).alias("y"))
         .where(F.col("k").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("k")))
-        .groupBy("k").agg(F.max("y").cast("int").alias("y"))
+        .groupBy("k").agg(F.max("y").cast("int").alias("y")).where("y IN (0, 1)")
     )
-    pick = lambda y, n: marked.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(n)
-    # Bounded by max_toxic + max_clean rows.
-    chosen = F.broadcast(pick(1, max_toxic).unionAll(pick(0, max_clean)))
-    rows = (
+    found = (
         docs.select(quoted(key).alias("k"), quoted(text).alias("t"), quoted(lang).alias("g"))
-        .where(F.length("t") <= longest)
-        .join(chosen, "k").orderBy(F.xxhash64("k", "t")).limit(max_toxic + max_clean).select("t", "g", "y").collect()
+        .where(F.col("t").isNotNull() & ~held_out(F.col("k")))
+        .join(marked.hint("merge"), "k").select("t", "g", "y", F.xxhash64("k", "t").alias("h"))
     )
-    texts, langs, y = [r["t"] for r in rows], [r["g"] for r in rows], np.array([r["y"] for r in rows], dtype=np.int64)
-    if len(set(y.tolist())) < 2:
+    seen = Observation()
+    rows = stored(found.observe(seen, F.count("*").alias("n"), F.sum(F.length("t")).alias("chars"), F.min("y").alias("lo"), F.max("y").alias("hi")), "toxic-labelled")
+    n, chars, lo, hi = (seen.get[x] for x in ("n", "chars", "lo", "hi"))
+    if not n or lo == hi:
         empty = np.zeros((1, DIM), dtype=np.float32)
-        return Model(empty, [], np.zeros(0), np.zeros(0), 0.0, constant=float(y[0]) if len(y) else 0.0)
+        return Model(empty, [], np.zeros(0), np.zeros(0), 0.0, constant=float(lo) if n else 0.0)
+    shards = max(-(-n // SHARD_ROWS), -(-chars // SHARD_CHARS))
+    if shards > 1:
+        rows = rows.withColumn("back", F.pmod(F.col("h"), F.lit(5)) == 0)
+        model = _train_shards(rows, shards)
+        _calibrate_shards(model, rows.where("back"))
+        return model
+    # One shard: at most SHARD_ROWS rows and SHARD_CHARS characters.
+    few = rows.orderBy("h", "t").collect()
+    texts, langs, y = [r["t"] for r in few], [r["g"] for r in few], np.array([r["y"] for r in few], dtype=np.int64)
     model, back = train(texts, y)
     # Scores of texts that the model was fitted on separate better than those of new ones.
     calibrate(model, [texts[i] for i in back], [langs[i] for i in back], y[back])
